@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfpair import constants as K
-from shelfpair.functions import scoring
+from shelfpair.functions import scoring, text
 from shelfpair.operators.blocking import BLOCK, active, block_inventory, paired_ids, with_block
 
 SHOPS = ["AH", "JUMBO", "PLUS", "ALDI"]
 
 
 def mean(column: str, digits: int) -> Column:
-    return F.round(F.avg(F.col(column).cast("double")), digits)
+    """Rounded average as DOUBLE; averages of DECIMAL columns are exact before they are rounded."""
+    return F.round(F.avg(column), digits).cast("double")
 
 
 # stored pairs
@@ -46,6 +47,11 @@ def pairs_from(pairs: DataFrame, product_id: int) -> DataFrame:
     )
 
 
+def pairs_from_ids(pairs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The same lookup for many products at once."""
+    return pairs.join(ids.select(F.col("id").alias("source_product_id")), "source_product_id", "left_semi")
+
+
 def pairs_of_type(pairs: DataFrame, kind: str) -> DataFrame:
     return pairs.filter(F.col("equivalence_type") == kind).orderBy(
         F.col("similarity_score").desc(), "source_product_id", "target_product_id"
@@ -166,6 +172,19 @@ def block_hierarchy(products: DataFrame) -> DataFrame:
     )
 
 
+def brand_blocks(products: DataFrame) -> DataFrame:
+    """Third blocking level: brands inside a block that are sold by several shops."""
+    return (
+        with_block(active(products))
+        .groupBy(
+            F.col(BLOCK[0]).alias("category"), F.col(BLOCK[1]).alias("unit"),
+            text.normalize_brand(F.col("brand")).alias("brand"),
+        )
+        .agg(F.count("*").alias("product_count"), F.countDistinct("shop_type").alias("shop_count"))
+        .filter(F.col("shop_count") > 1)
+    )
+
+
 def brand_by_shop(products: DataFrame, shops: list[str] | None = None) -> DataFrame:
     """Products per brand and shop, and whether the brand is sold in several shops."""
     shops = shops or SHOPS
