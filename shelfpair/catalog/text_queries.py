@@ -12,8 +12,7 @@ from shelfpair.operators import parsing
 from shelfpair.operators.batching import id_batches, pair_batches
 from shelfpair.operators.blocking import BLOCK, in_eligible_blocks
 from shelfpair.operators.candidates import add_features, candidate_pairs, classified, fill_missing
-from shelfpair.operators.pairing import pair_within
-from shelfpair.plans import evaluation, matching, reports, runs, siblings
+from shelfpair.plans import evaluation, matching, siblings
 
 COL = F.col
 
@@ -319,7 +318,7 @@ def _(t):
 )
 def _(t):
     rows = prompts.label_prompts(id_batches(t.products, 15), 15)
-    titles = F.regexp_extract("prompt", r"(?s)milk\" -> .*?\n(.*)\nReturn|melk\"\n(.*)\nReturn", 2)
+    titles = F.regexp_extract("prompt", r'(?s)"halfvolle melk"\n(.*)\nReturn exactly', 1)
     return rows.select("main_category", "batch_id", "size", titles.alias("titles"))
 
 
@@ -483,9 +482,8 @@ def _(t):
     same_brand = COL("brand_norm_1") == COL("brand_norm_2")
     same_title = F.array_sort("terms_1") == F.array_sort("terms_2")
     same_category = F.coalesce(COL("category_1") == COL("category_2"), F.lit(False))
-    kind = scoring.title_class(same_brand & (COL("brand_sim") == 1), same_title, COL("size_sim") == 1, COL("term_sim"), same_category)
-    plain = scoring.title_class(same_brand, same_title & (COL("brand_sim") == 1), COL("size_sim") == 1, COL("term_sim"), same_category)
-    return pairs.select("id_1", "id_2", plain.alias("title_class"))
+    kind = scoring.title_class(same_brand, same_title & (COL("brand_sim") == 1), COL("size_sim") == 1, COL("term_sim"), same_category)
+    return pairs.select("id_1", "id_2", kind.alias("title_class"))
 
 
 @query(

@@ -41,6 +41,16 @@ def largest_blocks(products: DataFrame, n: int = 10) -> DataFrame:
     return block_inventory(products).orderBy(F.col("product_count").desc(), "category", "unit").limit(n)
 
 
+def statistics(products: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Report rows (name, n): active products and blocks, stored pairs in all and per class."""
+    blocks = block_totals(products).select(
+        F.explode(F.create_map(F.lit("products"), F.col("products"), F.lit("blocks"), F.col("blocks"))).alias("name", "n")
+    )
+    total = pair_total(pairs).select(F.lit("pairs").alias("name"), F.col("total").alias("n"))
+    by_type = pairs.groupBy(F.col("equivalence_type").alias("name")).agg(F.count("*").alias("n"))
+    return blocks.unionByName(total).unionByName(by_type)
+
+
 def pairs_from(pairs: DataFrame, product_id: int) -> DataFrame:
     return pairs.filter(F.col("source_product_id") == product_id).select(
         "target_product_id", "equivalence_type", "similarity_score"
