@@ -314,45 +314,45 @@ def _(t):
 
 @query(
     "j11_vector_neighbours",
-    "SELECT id_1, id_2, round(score, 6) AS score, rank FROM ranked WHERE rank <= 10 AND score > 0.75 AND shop_type_1 <> shop_type_2",
+    "SELECT id_1, id_2, score, rank FROM ranked WHERE rank <= 10 AND score > 0.75 AND shop_type_1 <> shop_type_2",
     "product_vectors",
     S.NEIGHBOURS.format(vectors="product_vectors", on="a.block = b.block"),
 )
 def _(t):
     found = cross_shop_neighbours(t.vectors, 10, 0.75, ["block"])
-    return found.select("id_1", "id_2", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
+    return found.select("id_1", "id_2", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
 @query(
     "j11_vector_neighbours_wide",
-    "SELECT id_1, id_2, round(score, 6) AS score, rank FROM ranked WHERE rank <= 10 AND score > 0.2 AND shop_type_1 <> shop_type_2",
+    "SELECT id_1, id_2, score, rank FROM ranked WHERE rank <= 10 AND score > 0.2 AND shop_type_1 <> shop_type_2",
     "product_vectors",
     S.NEIGHBOURS.format(vectors="product_vectors", on="TRUE"),
 )
 def _(t):
     found = cross_shop_neighbours(t.vectors, 10, 0.2)
-    return found.select("id_1", "id_2", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
+    return found.select("id_1", "id_2", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
 @query(
     "j11_vector_pairs",
-    "SELECT id_1, id_2, round(score, 6) AS score FROM scored WHERE id_1 < id_2 AND score >= 0.25 AND shop_type_1 <> shop_type_2",
+    "SELECT id_1, id_2, score FROM scored WHERE id_1 < id_2 AND score >= 0.25 AND shop_type_1 <> shop_type_2",
     "product_vectors",
     S.NEIGHBOURS.format(vectors="product_vectors", on="a.block = b.block"),
 )
 def _(t):
-    return pairs_above(t.vectors, 0.25, ["block"]).select("id_1", "id_2", F.round("score", 6).alias("score"))
+    return pairs_above(t.vectors, 0.25, ["block"]).select("id_1", "id_2", "score")
 
 
 @query(
     "w06_top_neighbours",
-    "SELECT id_1, id_2, round(score, 6) AS score, rank FROM ranked WHERE rank <= 10",
+    "SELECT id_1, id_2, score, rank FROM ranked WHERE rank <= 10",
     "product_vectors",
     S.NEIGHBOURS.format(vectors="product_vectors", on="TRUE"),
 )
 def _(t):
     found = top_neighbours(t.vectors, 10)
-    return found.select("id_1", "id_2", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
+    return found.select("id_1", "id_2", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
 @query(

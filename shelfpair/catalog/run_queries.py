@@ -520,11 +520,11 @@ staged AS (SELECT * FROM stage_1 UNION ALL SELECT * FROM stage_2 UNION ALL SELEC
 
 @query(
     "m12_staged_matches",
-    """SELECT lo AS source_product_id, hi AS target_product_id, round(confidence, 6) AS confidence, kind AS equivalence_type, stage,
+    """SELECT lo AS source_product_id, hi AS target_product_id, confidence, kind AS equivalence_type, stage,
       CASE WHEN confidence >= 0.95 THEN 'approve' WHEN confidence >= 0.85 THEN 'approve_log' WHEN confidence >= 0.70 THEN 'review' ELSE 'reject' END AS action FROM staged""",
     "products product_vectors",
     STAGED,
 )
 def _(t):
     result = matching.staged_matches(t.products, t.vectors.select("id", "embedding"), even_candidates, threshold=0.3)
-    return result.pairs.withColumn("confidence", F.round("confidence", 6))
+    return result.pairs

@@ -104,7 +104,7 @@ def _(t):
 
 @query("x14_dot", "SELECT id, round(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])), 6) AS norm FROM product_vectors", "product_vectors")
 def _(t):
-    return t.vectors.select("id", F.round(similarity.dot(COL("embedding"), COL("embedding")), 6).alias("norm"))
+    return t.vectors.select("id", F.round(F.expr(similarity.dot("embedding", "embedding")), 6).alias("norm"))
 
 
 @query("x15_round_score", "SELECT id, CAST(printf('%.3f', current_price / 7) AS DOUBLE) AS rounded FROM products")

@@ -1,4 +1,4 @@
-"""Scores, classes and actions as column expressions."""
+"""Scores, classes and actions. Pair scores are SQL expressions, the rest are columns."""
 
 from __future__ import annotations
 
@@ -6,71 +6,49 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfpair import constants as K
-from shelfpair.functions.text import fixed
-
 
 def _holds(condition: Column) -> Column:
     """A comparison with a missing value does not hold."""
     return F.coalesce(condition, F.lit(False))
 
 
-def rule_score(brand: Column, terms: Column, size: Column, features: Column) -> Column:
-    return (
-        brand * K.WEIGHT_BRAND + terms * K.WEIGHT_TERMS + size * K.WEIGHT_SIZE + features * K.WEIGHT_FEATURES
-    )
-
-
-def classify(
-    brand: Column,
-    terms: Column,
-    size: Column,
-    score: Column,
-    same_category: Column,
-    same_unit: Column,
-    *,
-    identical_score: float = K.IDENTICAL_SCORE,
-    similar_score: float = K.SIMILAR_SCORE,
-    alternative_score: float = K.ALTERNATIVE_SCORE,
-) -> Column:
-    """Class of a pair; the order of the branches matters, the unrounded score is compared."""
-    same_block = same_category & same_unit
-    identical = (
-        (brand >= K.IDENTICAL_BRAND) & (score >= identical_score) & same_block & (size >= K.IDENTICAL_SIZE)
-    )
-    near_brand = (brand >= K.SIMILAR_BRAND) & (score >= similar_score)
-    near_text = (score >= K.SIMILAR_SCORE_ALONE) & same_block
-    other_brand = (
-        (brand < K.SIMILAR_BRAND)
-        & same_block
-        & (score >= alternative_score)
-        & (terms >= K.ALTERNATIVE_TERMS)
-    )
+def rule_score(brand: str, terms: str, size: str, features: str) -> str:
+    """Weighted sum as a SQL expression; the order of the additions is part of the result."""
     return (
-        F.when(_holds(identical), "identical")
-        .when(_holds(near_brand) | _holds(near_text), "similar")
-        .when(_holds(other_brand), "alternative")
-        .otherwise("no_match")
+        f"({brand} * {K.WEIGHT_BRAND}D + {terms} * {K.WEIGHT_TERMS}D + {size} * {K.WEIGHT_SIZE}D"
+        f" + {features} * {K.WEIGHT_FEATURES}D)"
     )
 
 
-def reason(kind: Column, brand, terms, size, score, same_category) -> Column:
-    """Explanation of a class with two decimals; truth values print with a capital."""
-    truth = F.initcap(same_category.cast("string"))
-    return (
-        F.when(
-            kind == "identical",
-            F.format_string("Brand:%s, Sim:%s, Terms:%s, Size:%s", fixed(brand), fixed(score), fixed(terms), fixed(size)),
-        )
-        .when(
-            kind == "similar",
-            F.format_string("Brand:%s, Sim:%s, Category:%s, Size:%s", fixed(brand), fixed(score), truth, fixed(size)),
-        )
-        .when(
-            kind == "alternative",
-            F.format_string("DiffBrand, SameCat, Sim:%s, Terms:%s, Size:%s", fixed(score), fixed(terms), fixed(size)),
-        )
-        .otherwise(F.format_string("NoMatch: Brand:%s, Sim:%s, Category:%s", fixed(brand), fixed(score), truth))
-    )
+def classify(brand: str, terms: str, size: str, score: str, same_category: str, same_unit: str) -> str:
+    """Class of a pair as a SQL expression.
+
+    The order of the branches matters and the unrounded score is compared. A comparison with a
+    missing value does not hold, as CASE takes the next branch.
+    """
+    same_block = f"({same_category} AND {same_unit})"
+    return f"""CASE
+        WHEN {brand} >= {K.IDENTICAL_BRAND}D AND {score} >= {K.IDENTICAL_SCORE}D AND {same_block}
+            AND {size} >= {K.IDENTICAL_SIZE}D THEN 'identical'
+        WHEN ({brand} >= {K.SIMILAR_BRAND}D AND {score} >= {K.SIMILAR_SCORE}D)
+            OR ({score} >= {K.SIMILAR_SCORE_ALONE}D AND {same_block}) THEN 'similar'
+        WHEN {brand} < {K.SIMILAR_BRAND}D AND {same_block} AND {score} >= {K.ALTERNATIVE_SCORE}D
+            AND {terms} >= {K.ALTERNATIVE_TERMS}D THEN 'alternative'
+        ELSE 'no_match' END"""
+
+
+def reason(kind: str, brand: str, terms: str, size: str, score: str, same_category: str) -> str:
+    """Explanation of a class as a SQL expression: two decimals, truth values with a capital.
+
+    format_number rounds the exact binary value, ties to even.
+    """
+    b, t, z, x = (f"format_number({v}, 2)" for v in (brand, terms, size, score))
+    truth = f"initcap(CAST({same_category} AS STRING))"
+    return f"""CASE {kind}
+        WHEN 'identical' THEN format_string('Brand:%s, Sim:%s, Terms:%s, Size:%s', {b}, {x}, {t}, {z})
+        WHEN 'similar' THEN format_string('Brand:%s, Sim:%s, Category:%s, Size:%s', {b}, {x}, {truth}, {z})
+        WHEN 'alternative' THEN format_string('DiffBrand, SameCat, Sim:%s, Terms:%s, Size:%s', {x}, {t}, {z})
+        ELSE format_string('NoMatch: Brand:%s, Sim:%s, Category:%s', {b}, {x}, {truth}) END"""
 
 
 def title_class(same_brand: Column, same_title: Column, same_size: Column, overlap: Column, same_category: Column) -> Column:

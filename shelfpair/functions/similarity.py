@@ -1,101 +1,78 @@
-"""Similarity measures as column expressions."""
+"""Similarity measures as Spark SQL expressions.
 
-from __future__ import annotations
+Every function takes SQL expressions (usually column names) and returns one, for use in
+``F.expr``, ``filter`` or ``selectExpr``: a long expression costs a single parse, and the same text
+serves as a join condition and as a column.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 MASK_BITS = 62  # longest text handled by one BIGINT; longer texts use the table method
 
 
-def token_overlap(a: Column, b: Column) -> Column:
+def token_overlap(a: str, b: str) -> str:
     """Jaccard overlap of two distinct-token arrays; two empty arrays give 0."""
-    common = F.size(F.array_intersect(a, b))
-    return common / F.greatest(F.size(a) + F.size(b) - common, F.lit(1))
+    ratio = f"c / CAST(greatest(size({a}) + size({b}) - c, 1) AS DOUBLE)"
+    return f"get(transform(array(size(array_intersect({a}, {b}))), c -> {ratio}), 0)"
+
 
+def overlap_at_least(a: str, b: str, tenths: int) -> str:
+    """Condition ``token_overlap >= tenths / 10`` in whole numbers, for non-empty arrays."""
+    return f"({10 + tenths} * size(array_intersect({a}, {b})) >= {tenths} * (size({a}) + size({b})))"
 
-def size_similarity(a: Column, b: Column) -> Column:
+
+def size_similarity(a: str, b: str) -> str:
     """``1 - |a-b| / max(a,b)``; equal amounts give 1, also when both are 0."""
-    return F.when(a == b, F.lit(1.0)).otherwise(1.0 - F.try_divide(F.abs(a - b), F.greatest(a, b)))
+    return f"(CASE WHEN {a} = {b} THEN 1D ELSE 1D - try_divide(abs({a} - {b}), greatest({a}, {b})) END)"
 
 
-def feature_agreement(bio_a: Column, bio_b: Column, diet_a: Column, diet_b: Column) -> Column:
-    half = F.lit(0.5)
-    none = F.lit(0.0)
-    return F.when(bio_a == bio_b, half).otherwise(none) + F.when(diet_a == diet_b, half).otherwise(none)
+def feature_agreement(bio_a: str, bio_b: str, diet_a: str, diet_b: str) -> str:
+    return f"(IF({bio_a} = {bio_b}, 0.5D, 0D) + IF({diet_a} = {diet_b}, 0.5D, 0D))"
 
 
-def character_masks(text: Column) -> Column:
+def character_masks(text: str) -> str:
     """Map character -> bit mask of its positions; precompute it once per distinct text."""
-    chars = F.split(text, "")
-    short = F.when((F.length(text) > 0) & (F.length(text) <= MASK_BITS), chars)
-
-    def mask_of(c: Column) -> Column:
-        bits = F.transform(
-            short, lambda x, i: F.when(x == c, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))
-        )
-        return F.struct(c.alias("key"), F.aggregate(bits, F.lit(0).cast("bigint"), lambda m, x: m.bitwiseOR(x)).alias("value"))
-
-    return F.map_from_entries(F.transform(F.array_distinct(short), mask_of))
-
-
-def _common_length_masks(a: Column, b: Column, masks_a: Column) -> Column:
-    """Length of the longest common subsequence by bit-parallel row updates."""
-    zero = F.lit(0).cast("bigint")
-    full = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.length(a)) - 1
-    steps = F.transform(F.split(b, ""), lambda c: F.coalesce(F.try_element_at(masks_a, c), zero))
-    last = F.aggregate(
-        steps,
-        full,
-        lambda v, m: (v + v.bitwiseAND(m)).bitwiseOR(v.bitwiseAND(F.bitwise_not(m))).bitwiseAND(full),
+    chars = f"IF(length({text}) BETWEEN 1 AND {MASK_BITS}, split({text}, ''), NULL)"
+    mask = f"aggregate(transform({chars}, (x, i) -> IF(x = c, shiftleft(1L, i), 0L)), 0L, (m, x) -> m | x)"
+    return f"map_from_entries(transform(array_distinct({chars}), c -> struct(c, {mask})))"
+
+
+def common_length(a: str, b: str, masks_a: str | None = None) -> str:
+    """Length of the longest common subsequence.
+
+    Short texts: bit-parallel row updates, one step per character of ``b``. Long texts: one row of
+    the comparison table at a time.
+    """
+    masks = masks_a or character_masks(a)
+    full = f"(shiftleft(1L, length({a})) - 1L)"
+    steps = f"transform(split({b}, ''), c -> coalesce(try_element_at({masks}, c), 0L))"
+    by_masks = f"length({a}) - bit_count(aggregate({steps}, {full}, (v, m) -> ((v + (v & m)) | (v & ~m)) & {full}))"
+    next_row = (
+        f"aggregate(sequence(1, length({b})), array(0), (r, j) -> concat(r, array("
+        f"IF(substring({b}, j, 1) = ca, get(p, j - 1) + 1, greatest(get(p, j), get(r, j - 1))))))"
     )
-    return F.length(a) - F.bit_count(last)
-
-
-def _common_length_table(a: Column, b: Column) -> Column:
-    """The same length for texts of any size, keeping one row of the comparison table."""
-    start = F.array_repeat(F.lit(0), F.length(b) + 1)
-
-    def next_row(previous: Column, ca: Column) -> Column:
-        def extend(row: Column, j: Column) -> Column:
-            cell = F.when(F.substring(b, j, F.lit(1)) == ca, F.get(previous, j - 1) + 1).otherwise(
-                F.greatest(F.get(previous, j), F.get(row, j - 1))
-            )
-            return F.concat(row, F.array(cell))
-
-        return F.aggregate(F.sequence(F.lit(1), F.length(b)), F.array(F.lit(0)), extend)
-
-    return F.element_at(F.aggregate(F.split(a, ""), start, next_row), -1)
-
-
-def common_length(a: Column, b: Column, masks_a: Column | None = None) -> Column:
-    masks = character_masks(a) if masks_a is None else masks_a
+    by_table = f"element_at(aggregate(split({a}, ''), array_repeat(0, length({b}) + 1), (p, ca) -> {next_row}), -1)"
     return (
-        F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0))
-        .when(F.length(a) <= MASK_BITS, _common_length_masks(a, b, masks))
-        .otherwise(_common_length_table(a, b))
+        f"(CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 "
+        f"WHEN length({a}) <= {MASK_BITS} THEN {by_masks} ELSE {by_table} END)"
     )
 
 
-def indel_ratio(a: Column, b: Column, masks_a: Column | None = None) -> Column:
+def indel_ratio(a: str, b: str, masks_a: str | None = None) -> str:
     """``2 * LCS / (len a + len b)``, 1 for equal texts."""
-    return F.when(a == b, F.lit(1.0)).otherwise(
-        2.0 * common_length(a, b, masks_a) / (F.length(a) + F.length(b))
-    )
+    return f"(CASE WHEN {a} = {b} THEN 1D ELSE 2D * {common_length(a, b, masks_a)} / (length({a}) + length({b})) END)"
 
 
-def brand_similarity(a: Column, b: Column, masks_a: Column | None = None) -> Column:
+def brand_similarity(a: str, b: str, masks_a: str | None = None) -> str:
     """0 if either normalised brand is unknown, else the indel ratio."""
-    return F.when((a == "unknown") | (b == "unknown"), F.lit(0.0)).otherwise(indel_ratio(a, b, masks_a))
+    return f"(CASE WHEN {a} = 'unknown' OR {b} = 'unknown' THEN 0D ELSE {indel_ratio(a, b, masks_a)} END)"
 
 
-def text_similarity(tokens_a: Column, tokens_b: Column) -> Column:
+def text_similarity(tokens_a: str, tokens_b: str) -> str:
     """White-space token overlap; 0 when either side has no token."""
-    empty = (F.size(tokens_a) == 0) | (F.size(tokens_b) == 0)
-    return F.when(empty, F.lit(0.0)).otherwise(token_overlap(tokens_a, tokens_b))
+    return f"IF(size({tokens_a}) = 0 OR size({tokens_b}) = 0, 0D, {token_overlap(tokens_a, tokens_b)})"
 
 
-def dot(a: Column, b: Column) -> Column:
+def dot(a: str, b: str) -> str:
     """Inner product in DOUBLE."""
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
+    return f"aggregate(zip_with({a}, {b}, (x, y) -> CAST(x AS DOUBLE) * CAST(y AS DOUBLE)), 0D, (s, x) -> s + x)"

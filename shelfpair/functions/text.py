@@ -121,10 +121,6 @@ def block_key(category: Column, unit: Column) -> Column:
 
 
 def exact_round(value: Column, digits: int) -> Column:
-    """Round the exact binary value, ties to even, as ``round`` does in Python."""
+    """Round the exact binary value, ties to even, for values above the last kept digit."""
     return F.replace(F.format_number(value, digits), F.lit(","), F.lit("")).cast("double")
 
-
-def fixed(value: Column, digits: int = 2) -> Column:
-    """Fixed number of decimals, rounded on the exact binary value."""
-    return F.replace(F.format_number(value, digits), F.lit(","), F.lit(""))

@@ -8,37 +8,29 @@ meet only on a common two-member key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from shelfpair.functions.similarity import character_masks, indel_ratio
 from shelfpair.operators.pairing import pair_within
 
 
-def numbered_characters(text: Column) -> Column:
-    """Members such as ``2a`` (second a), repeated characters first as they are rarer."""
-    chars = F.split(text, "")
+def numbered_characters(text: str) -> str:
+    """SQL expression for members such as ``2a`` (second a), repeated characters first as they are rarer."""
+    seen = f"substring({text}, 1, i + 1)"
+    nth = f"length({seen}) - length(replace({seen}, c, ''))"
+    return (
+        f"transform(array_sort(transform(split({text}, ''), (c, i) -> struct(-({nth}) AS o, c AS c))), "
+        "m -> concat(CAST(-m.o AS STRING), m.c))"
+    )
 
-    def numbered(c: Column, i: Column) -> Column:
-        seen = F.substring(text, F.lit(1), i + 1)
-        nth = F.length(seen) - F.length(F.replace(seen, c, F.lit("")))
-        return F.struct((-nth).alias("order"), c.alias("c"))
 
-    return F.transform(
-        F.array_sort(F.transform(chars, numbered)),
-        lambda m: F.concat((-m["order"]).cast("string"), m["c"]),
-    )
+def leading_members(text: str, ratio: float) -> str:
+    """SQL expression for the part of a brand that must hold two common members."""
+    needed = f"CAST(ceil(length({text}) * {ratio / (2.0 - ratio)!r}D - 1e-9D) AS INT)"
+    return f"slice({numbered_characters(text)}, 1, length({text}) - {needed} + 2)"
 
 
-def leading_keys(text: Column, ratio: float) -> Column:
-    """Two-member keys of the leading part of a brand."""
-    length = F.length(text)
-    needed = F.ceil(length * (ratio / (2.0 - ratio)) - 1e-9).cast("int")
-    lead = F.slice(numbered_characters(text), F.lit(1), length - needed + 2)
-    later = lambda i: F.slice(lead, i + 2, F.size(lead))
-    return F.flatten(
-        F.transform(lead, lambda m, i: F.transform(later(i), lambda n: F.concat(m, F.lit("+"), n)))
-    )
+PAIRS_OF_LEAD = "flatten(transform(lead, (m, i) -> transform(slice(lead, i + 2, size(lead)), n -> concat(m, '+', n))))"
 
 
 def near_brands(brands: DataFrame, ratio: float) -> DataFrame:
@@ -49,23 +41,17 @@ def near_brands(brands: DataFrame, ratio: float) -> DataFrame:
     if ratio <= 2.0 / 3.0:
         raise ValueError("the pruning holds for ratios above 2/3")
     keyed = (
-        brands.filter((F.col("brand") != "unknown") & (F.length("brand") >= 2))
-        .select("brand", character_masks(F.col("brand")).alias("masks"))
-        .withColumn("keys", leading_keys(F.col("brand"), ratio))
-        .withColumn("key", F.explode("keys"))
+        brands.filter("brand <> 'unknown' AND length(brand) >= 2")
+        .selectExpr("brand", f"{character_masks('brand')} AS masks", f"{leading_members('brand', ratio)} AS lead")
+        .selectExpr("brand", "masks", f"{PAIRS_OF_LEAD} AS keys")
+        .selectExpr("*", "explode(keys) AS key")
     )
 
-    def condition(a, b):
-        short = F.least(F.length(a("brand")), F.length(b("brand")))
-        long = F.greatest(F.length(a("brand")), F.length(b("brand")))
-        first_common = F.get(F.array_intersect(a("keys"), b("keys")), F.lit(0)) == F.col("key")
-        return (
-            (short * 2.0 / (short + long) >= ratio)
-            & first_common
-            & (indel_ratio(a("brand"), b("brand"), a("masks")) >= ratio)
-        )
+    def near(a, b) -> str:
+        x, y = a("brand"), b("brand")
+        longest = f"2D * least(length({x}), length({y})) / (length({x}) + length({y}))"
+        first_common = f"get(array_intersect({a('keys')}, {b('keys')}), 0) = key"
+        return f"{longest} >= {ratio}D AND {first_common} AND {indel_ratio(x, y, a('masks'))} >= {ratio}D"
 
-    pairs = pair_within(keyed, ["key"], "brand", condition)
-    return pairs.select(
-        "brand_1", "brand_2", indel_ratio(F.col("brand_1"), F.col("brand_2"), F.col("masks_1")).alias("ratio")
-    )
+    pairs = pair_within(keyed, ["key"], "brand", near)
+    return pairs.selectExpr("brand_1", "brand_2", f"{indel_ratio('brand_1', 'brand_2', 'masks_1')} AS ratio")

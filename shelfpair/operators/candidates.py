@@ -11,7 +11,7 @@ so no pair is produced twice and none has to be removed again:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfpair import constants as K
@@ -53,38 +53,53 @@ def add_leading_terms(features: DataFrame) -> DataFrame:
     An overlap of 0.3 takes ``ceil(0.3 * n)`` common terms, so two such sets share one of the first
     ``n - ceil(0.3 * n) + 1`` terms in any common order.
     """
-    words = features.select("id", "block", F.explode("terms").alias("term"))
+    words = features.selectExpr("id", "block", "explode(terms) AS term")
     frequency = words.groupBy("block", "term").agg(F.count("*").alias("uses"))
     ordered = (
         words.join(frequency, ["block", "term"])
         .groupBy("id")
-        .agg(F.array_sort(F.collect_list(F.struct("uses", "term"))).alias("_words"))
+        .agg(F.expr("array_sort(collect_list(struct(uses, term)))").alias("words"))
     )
-    size = F.size("_words")
-    needed = F.floor((size * 3 + 9) / 10).cast("int")
-    lead = F.transform(F.slice("_words", F.lit(1), size - needed + 1), lambda w: w["term"])
-    return features.join(ordered.select("id", lead.alias("lead")), "id", "left")
+    lead = "slice(words, 1, size(words) - CAST(floor((size(words) * 3 + 9) / 10) AS INT) + 1)"
+    return features.join(ordered.selectExpr("id", f"transform({lead}, w -> w.term) AS lead"), "id", "left")
 
 
-def _overlap(a, b) -> Column:
+def _other_shop(a, b) -> str:
+    return f"{a('shop_type')} <> {b('shop_type')}"
+
+
+def _overlap(a, b) -> str:
     return similarity.token_overlap(a("terms"), b("terms"))
 
 
+def _terms_close(a, b) -> str:
+    return similarity.overlap_at_least(a("terms"), b("terms"), round(10 * K.ALTERNATIVE_TERMS))
+
+
+def _size(a, b) -> str:
+    return similarity.size_similarity(a("amount"), b("amount"))
+
+
+def _features(a, b) -> str:
+    return similarity.feature_agreement(a("bio"), b("bio"), a("diet"), b("diet"))
+
+
 def _brand_pairing(rows: DataFrame, kept, chunk_rows: int) -> DataFrame:
     """Pairs in a block with equal or near brands for which ``kept`` holds.
 
     ``brand_ratio`` comes with the brand pair, so it is not computed again per pair of products.
     """
-    known = rows.filter(F.col("brand_norm") != "unknown").drop("lead", "masks")
-    equal = known.withColumns({"key_brand": F.col("brand_norm"), "brand_ratio": F.lit(1.0)})
+    known = rows.filter("brand_norm <> 'unknown'").drop("lead", "masks")
+    equal = known.selectExpr("*", "brand_norm AS key_brand", "1D AS brand_ratio")
     same = pair_within(equal, ["block", "key_brand"], "id", kept, chunk_rows)
     # stored, so that the key expressions run once per brand and are not pushed below the distinct
-    brands = stored(known.select(F.col("brand_norm").alias("brand")).distinct())
+    brands = stored(known.selectExpr("brand_norm AS brand").distinct())
     edges = stored(near_brands(brands, K.SIMILAR_BRAND))  # small, used by both sides
 
     def side(own: str) -> DataFrame:
-        key = F.concat_ws("+", "brand_1", "brand_2").alias("key_brand")
-        own_edges = edges.select(F.col(own).alias("brand_norm"), key, F.col("ratio").alias("brand_ratio"))
+        own_edges = edges.selectExpr(
+            f"{own} AS brand_norm", "concat_ws('+', brand_1, brand_2) AS key_brand", "ratio AS brand_ratio"
+        )
         return known.join(own_edges, "brand_norm").select(*equal.columns)
 
     near = pair_across(side("brand_1"), side("brand_2"), ["block", "key_brand"], "id", kept, chunk_rows)
@@ -100,75 +115,64 @@ def candidate_pairs(
     (None: any score, for callers that bring their own).
     """
     # Read by all branches below: written once, so titles are parsed once.
-    rows = stored(add_leading_terms(features.withColumn("masks", similarity.character_masks(F.col("brand_norm")))))
+    masks = f"{similarity.character_masks('brand_norm')} AS masks"
+    rows = stored(add_leading_terms(features.selectExpr("*", masks)))
 
-    def shares_terms(a, b):
-        first_common = F.get(F.array_intersect(a("lead"), b("lead")), F.lit(0)) == F.col("term")
-        return (a("shop_type") != b("shop_type")) & first_common & (_overlap(a, b) >= K.ALTERNATIVE_TERMS)
+    def shares_terms(a, b) -> str:
+        first_common = f"get(array_intersect({a('lead')}, {b('lead')}), 0) = term"
+        return f"{_other_shop(a, b)} AND {_terms_close(a, b)} AND {first_common}"
 
-    by_term = pair_within(
-        rows.withColumn("term", F.explode("lead")), ["block", "term"], "id", shares_terms, chunk_rows
+    by_term = pair_within(rows.selectExpr("*", "explode(lead) AS term"), ["block", "term"], "id", shares_terms, chunk_rows)
+    by_term = add_measures(by_term, similarity.brand_similarity("brand_norm_1", "brand_norm_2", "masks_1")).drop(
+        "term", "lead_1", "lead_2", "masks_1", "masks_2"
     )
-    by_term = add_measures(
-        by_term, similarity.brand_similarity(F.col("brand_norm_1"), F.col("brand_norm_2"), F.col("masks_1"))
-    ).drop("term", "lead_1", "lead_2", "masks_1", "masks_2")
 
-    def shares_brand(a, b):
-        overlap = _overlap(a, b)
-        apart = (a("shop_type") != b("shop_type")) & (overlap < K.ALTERNATIVE_TERMS)
+    def shares_brand(a, b) -> str:
+        apart = f"{_other_shop(a, b)} AND (size({a('terms')}) = 0 OR NOT {_terms_close(a, b)})"
         if brand_case_score is None:
             return apart
-        score = scoring.rule_score(
-            a("brand_ratio"),
-            overlap,
-            similarity.size_similarity(a("amount"), b("amount")),
-            similarity.feature_agreement(a("bio"), b("bio"), a("diet"), b("diet")),
-        )
-        return apart & (score >= brand_case_score)
+        score = scoring.rule_score(a("brand_ratio"), _overlap(a, b), _size(a, b), _features(a, b))
+        return f"{apart} AND {score} >= {brand_case_score}D"
 
-    by_brand = add_measures(_brand_pairing(rows, shares_brand, chunk_rows), F.col("brand_ratio_1"))
+    by_brand = add_measures(_brand_pairing(rows, shares_brand, chunk_rows), "brand_ratio_1")
     return by_term.unionByName(by_brand.drop("brand_ratio_1", "brand_ratio_2"))
 
 
-def add_measures(pairs: DataFrame, brand_similarity: Column) -> DataFrame:
+def add_measures(pairs: DataFrame, brand_similarity: str) -> DataFrame:
     """Add the four similarities and the rule score.
 
     The similarities come out of a generator, which the optimiser does not merge with its parents:
     they are computed once per pair instead of once per use in the class and reason expressions.
     """
-    col = F.col
-    measures = F.struct(
-        brand_similarity.alias("brand_sim"),
-        similarity.token_overlap(col("terms_1"), col("terms_2")).alias("term_sim"),
-        similarity.size_similarity(col("amount_1"), col("amount_2")).alias("size_sim"),
-        similarity.feature_agreement(col("bio_1"), col("bio_2"), col("diet_1"), col("diet_2")).alias("feature_sim"),
-    )
-    return pairs.select("*", F.inline_outer(F.array(measures))).withColumn(
-        "rule_score", scoring.rule_score(col("brand_sim"), col("term_sim"), col("size_sim"), col("feature_sim"))
+    first, second = (lambda c: f"{c}_1"), (lambda c: f"{c}_2")
+    measures = (
+        f"inline_outer(array(struct({brand_similarity} AS brand_sim, {_overlap(first, second)} AS term_sim, "
+        f"{_size(first, second)} AS size_sim, {_features(first, second)} AS feature_sim)))"
     )
+    score = scoring.rule_score("brand_sim", "term_sim", "size_sim", "feature_sim")
+    return pairs.selectExpr("*", measures).selectExpr("*", f"{score} AS rule_score")
 
 
 def classified(pairs: DataFrame, score: str = "rule_score", method: str = "rule_based") -> DataFrame:
     """Matches in the export layout; pairs without a class are left out."""
-    same_category = F.coalesce(F.col("category_1") == F.col("category_2"), F.lit(False))
-    same_unit = F.coalesce(F.col("unit_1") == F.col("unit_2"), F.lit(False))
-    measures = [F.col("brand_sim"), F.col("term_sim"), F.col("size_sim")]
-    kind = scoring.classify(*measures, F.col(score), same_category, same_unit)
+    same_category = "coalesce(category_1 = category_2, FALSE)"
+    same_unit = "coalesce(unit_1 = unit_2, FALSE)"
+    measures = ("brand_sim", "term_sim", "size_sim", score)
     return (
-        pairs.withColumn("equivalence_type", kind)
-        .filter(F.col("equivalence_type") != "no_match")
-        .select(
-            F.col("id_1").alias("source_product_id"),
-            F.col("id_2").alias("target_product_id"),
-            text.exact_round(F.col(score), 3).alias("similarity_score"),
+        pairs.selectExpr("*", f"{scoring.classify(*measures, same_category, same_unit)} AS equivalence_type")
+        .filter("equivalence_type <> 'no_match'")
+        .selectExpr(
+            "id_1 AS source_product_id",
+            "id_2 AS target_product_id",
+            f"CAST(format_number({score}, 3) AS DOUBLE) AS similarity_score",
             "equivalence_type",
-            F.lit(method).alias("method"),
-            scoring.reason(F.col("equivalence_type"), *measures, F.col(score), same_category).alias("reasoning"),
-            F.col("shop_type_1").alias("shop_1"),
-            F.col("shop_type_2").alias("shop_2"),
+            f"'{method}' AS method",
+            f"{scoring.reason('equivalence_type', *measures, same_category)} AS reasoning",
+            "shop_type_1 AS shop_1",
+            "shop_type_2 AS shop_2",
             "title_1",
             "title_2",
-            F.coalesce("brand_1", F.lit("Unknown")).alias("brand_1"),
-            F.coalesce("brand_2", F.lit("Unknown")).alias("brand_2"),
+            "coalesce(brand_1, 'Unknown') AS brand_1",
+            "coalesce(brand_2, 'Unknown') AS brand_2",
         )
     )

@@ -9,44 +9,57 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfpair.session import shuffle_partitions
 
 CHUNK_ROWS = 2048
 
-PairCondition = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
+# where(a, b): SQL condition on two rows; a and b turn a column name into that of the first or second row
+PairCondition = Callable[[Callable[[str], str], Callable[[str], str]], str]
 
 
-def with_chunks(df: DataFrame, keys: list[str], id_col: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Add ``_chunks`` (number of chunks of the row's key) and ``_chunk`` (the row's own)."""
-    large = (
+def _chunk_counts(df: DataFrame, keys: list[str], name: str, chunk_rows: int) -> DataFrame:
+    """Number of chunks of each key with more than one; a partial count runs before the shuffle."""
+    return (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > chunk_rows)
-        .select(*keys, F.ceil(F.col("_n") / chunk_rows).cast("int").alias("_chunks"))
+        .filter(f"_n > {chunk_rows}")
+        .selectExpr(*keys, f"CAST(ceil(_n / {chunk_rows}) AS INT) AS {name}")
     )
+
+
+def with_chunks(df: DataFrame, keys: list[str], id_col: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Add ``_chunks`` (number of chunks of the row's key) and ``_chunk`` (the row's own)."""
+    large = _chunk_counts(df, keys, "_large", chunk_rows)
     return (
         df.join(large, keys, "left")
-        .withColumn("_chunks", F.coalesce("_chunks", F.lit(1)))
-        .withColumn("_chunk", F.pmod(F.xxhash64(id_col), F.col("_chunks")).cast("int"))
+        .selectExpr(*df.columns, "coalesce(_large, 1) AS _chunks")
+        .selectExpr("*", f"CAST(pmod(xxhash64({id_col}), _chunks) AS INT) AS _chunk")
     )
 
 
-def _side(column_names: list[str], suffix: str) -> Callable[[str], Column]:
-    return lambda name: F.col(f"{name}_{suffix}")
+def _first(name: str) -> str:
+    return f"{name}_1"
 
 
-def _renamed(df: DataFrame, keys: list[str], columns: list[str], suffix: str) -> DataFrame:
-    return df.select(*keys, "_i", "_j", *[F.col(c).alias(f"{c}_{suffix}") for c in columns])
+def _second(name: str) -> str:
+    return f"{name}_2"
 
 
-def _lower_id_first(pairs: DataFrame, id_col: str, columns: list[str], keep: list[str]) -> DataFrame:
-    ordered = F.col(f"{id_col}_1") < F.col(f"{id_col}_2")
-    first = [F.when(ordered, F.col(f"{c}_1")).otherwise(F.col(f"{c}_2")).alias(f"{c}_1") for c in columns]
-    second = [F.when(ordered, F.col(f"{c}_2")).otherwise(F.col(f"{c}_1")).alias(f"{c}_2") for c in columns]
-    return pairs.select(*keep, *first, *second)
+def _place(df: DataFrame, keys: list[str], i: str, j: str, columns: list[str], named: Callable[[str], str]) -> DataFrame:
+    """Send rows to cell (i, j) of their key; one of the two may be a generator."""
+    n = shuffle_partitions(df.sparkSession)
+    renamed = [f"{c} AS {named(c)}" for c in columns]
+    return df.selectExpr(*keys, f"{i} AS _i", f"{j} AS _j", *renamed).repartition(n, *keys, "_i", "_j")
+
+
+def _lower_id_first(pairs: DataFrame, id_col: str, columns: list[str], keys: list[str]) -> DataFrame:
+    ordered = f"{id_col}_1 < {id_col}_2"
+    first = [f"IF({ordered}, {c}_1, {c}_2) AS {c}_1" for c in columns]
+    second = [f"IF({ordered}, {c}_2, {c}_1) AS {c}_2" for c in columns]
+    return pairs.selectExpr(*keys, *first, *second)
 
 
 def pair_within(
@@ -58,23 +71,15 @@ def pair_within(
 ) -> DataFrame:
     """Unordered pairs of rows with equal (non-null) keys for which ``where`` holds.
 
-    ``where(l, r)`` gets two functions from column name to column and must not depend on which row
-    is which. Result: the keys and each other column as ``name_1`` and ``name_2``, lower id first.
+    ``where`` must not depend on which row is which. Result: the keys and each other column as
+    ``name_1`` and ``name_2``, lower id first.
     """
     columns = [c for c in df.columns if c not in keys]
     chunked = with_chunks(df, keys, id_col, chunk_rows)
-    n = shuffle_partitions(df.sparkSession)
-    left = chunked.withColumn("_i", F.col("_chunk")).withColumn(
-        "_j", F.explode(F.sequence("_chunk", F.col("_chunks") - 1))
-    )
-    right = chunked.withColumn("_j", F.col("_chunk")).withColumn(
-        "_i", F.explode(F.sequence(F.lit(0), F.col("_chunk")))
-    )
-    cell = [*keys, "_i", "_j"]
-    left = _renamed(left, keys, columns, "1").repartition(n, *cell)
-    right = _renamed(right, keys, columns, "2").repartition(n, *cell)
-    once = (F.col("_i") < F.col("_j")) | (F.col(f"{id_col}_1") < F.col(f"{id_col}_2"))
-    met = left.join(right, cell).filter(once & where(_side(columns, "1"), _side(columns, "2")))
+    left = _place(chunked, keys, "_chunk", "explode(sequence(_chunk, _chunks - 1))", columns, _first)
+    right = _place(chunked, keys, "explode(sequence(0, _chunk))", "_chunk", columns, _second)
+    once = f"(_i < _j OR {id_col}_1 < {id_col}_2)"
+    met = left.join(right, [*keys, "_i", "_j"]).filter(f"{once} AND {where(_first, _second)}")
     return _lower_id_first(met, id_col, columns, keys)
 
 
@@ -91,27 +96,12 @@ def pair_across(
     The two sides must be disjoint for each key (no row in both), as for two different brands.
     """
     columns = [c for c in left.columns if c not in keys]
-    n = shuffle_partitions(left.sparkSession)
-    cell = [*keys, "_i", "_j"]
-
-    def chunk_counts(df: DataFrame, name: str) -> DataFrame:
-        return (
-            df.groupBy(*keys)
-            .agg(F.count("*").alias("_n"))
-            .filter(F.col("_n") > chunk_rows)
-            .select(*keys, F.ceil(F.col("_n") / chunk_rows).cast("int").alias(name))
-        )
-
-    grid = chunk_counts(left, "_rows").join(chunk_counts(right, "_cols"), keys, "full")
-
-    def placed(df: DataFrame, own: str, other: str, own_axis: str, other_axis: str) -> DataFrame:
-        return (
-            df.join(grid, keys, "left")
-            .withColumn(own_axis, F.pmod(F.xxhash64(id_col), F.coalesce(own, F.lit(1))).cast("int"))
-            .withColumn(other_axis, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
-        )
-
-    lhs = _renamed(placed(left, "_rows", "_cols", "_i", "_j"), keys, columns, "1").repartition(n, *cell)
-    rhs = _renamed(placed(right, "_cols", "_rows", "_j", "_i"), keys, columns, "2").repartition(n, *cell)
-    met = lhs.join(rhs, cell).filter(where(_side(columns, "1"), _side(columns, "2")))
+    rows = _chunk_counts(left, keys, "_rows", chunk_rows)
+    cols = _chunk_counts(right, keys, "_cols", chunk_rows)
+    grid = rows.join(cols, keys, "full")
+    own = lambda n: f"CAST(pmod(xxhash64({id_col}), coalesce({n}, 1)) AS INT)"
+    every = lambda n: f"explode(sequence(0, coalesce({n}, 1) - 1))"
+    lhs = _place(left.join(grid, keys, "left"), keys, own("_rows"), every("_cols"), columns, _first)
+    rhs = _place(right.join(grid, keys, "left"), keys, every("_rows"), own("_cols"), columns, _second)
+    met = lhs.join(rhs, [*keys, "_i", "_j"]).filter(where(_first, _second))
     return _lower_id_first(met, id_col, columns, keys)

@@ -33,8 +33,11 @@ def sample_pairs(products: DataFrame, blocks: DataFrame, per_shop: int = K.EVALU
     )
     pairs = side("1").join(side("2"), BLOCK).filter(F.col("shop_place_1") < F.col("shop_place_2"))
     tokens = lambda n: text.white_space_tokens(text.remove_shop_prefixes(F.col(f"title_{n}")))
-    return pairs.withColumn("overlap", similarity.text_similarity(tokens("1"), tokens("2"))).withColumn(
-        "expected", scoring.expected_class(F.col("overlap"), F.col("brand_1"), F.col("brand_2"))
+    return (
+        pairs.withColumns({"_tokens_1": tokens("1"), "_tokens_2": tokens("2")})
+        .withColumn("overlap", F.expr(similarity.text_similarity("_tokens_1", "_tokens_2")))
+        .withColumn("expected", scoring.expected_class(F.col("overlap"), F.col("brand_1"), F.col("brand_2")))
+        .drop("_tokens_1", "_tokens_2")
     )
 
 

@@ -54,19 +54,18 @@ def vector_matches(products: DataFrame, vectors: DataFrame | None = None, encode
     near = (
         near.join(vector("1"), "id_1")
         .join(vector("2"), "id_2")
-        .withColumn("score", F.round(similarity.dot(F.col("vec_1"), F.col("vec_2")), 9))
+        .selectExpr("*", f"round({similarity.dot('vec_1', 'vec_2')}, 9) AS score")
         .drop("vec_1", "vec_2")
     )
     # Pairs close in vector space only.
     close = pairs_above(
         features.select("block", "id", "shop_type", "embedding"), K.SIMILAR_SCORE_ALONE, ["block"]
     ).select("id_1", "id_2", "score")
-    plain = features.drop("embedding").withColumn("masks", similarity.character_masks(F.col("brand_norm")))
-    side = lambda n: plain.select(*[F.col(c).alias("block" if c == "block" and n == "1" else f"{c}_{n}") for c in plain.columns])
-    close = close.join(side("1"), "id_1").join(side("2").drop("block_2"), "id_2")
-    close = C.add_measures(
-        close, similarity.brand_similarity(F.col("brand_norm_1"), F.col("brand_norm_2"), F.col("masks_1"))
-    ).drop("masks_1", "masks_2")
+    plain = features.drop("embedding").selectExpr("*", f"{similarity.character_masks('brand_norm')} AS masks")
+    renamed = lambda n: [f"{c} AS {c}_{n}" for c in plain.columns if c != "block"]
+    close = close.join(plain.selectExpr("block", *renamed("1")), "id_1").join(plain.selectExpr(*renamed("2")), "id_2")
+    close = C.add_measures(close, similarity.brand_similarity("brand_norm_1", "brand_norm_2", "masks_1"))
+    close = close.drop("masks_1", "masks_2")
     close = close.filter((F.col("term_sim") < K.ALTERNATIVE_TERMS) & (F.col("brand_sim") < K.SIMILAR_BRAND))
     return C.classified(near.unionByName(close), "score", "semantic")
 
@@ -114,7 +113,7 @@ def exact_pairs(fingerprinted: DataFrame, group_rows: int = EXACT_GROUP_ROWS, ch
         rows.select("fingerprint", "id", "shop_type"),
         ["fingerprint"],
         "id",
-        lambda a, b: a("shop_type") != b("shop_type"),
+        lambda a, b: f"{a('shop_type')} <> {b('shop_type')}",
         chunk_rows,
     )
     return pairs.select(
