@@ -9,6 +9,7 @@ from shelfpair import constants as K
 from shelfpair.functions.text import brand_key
 from shelfpair.operators.blocking import BLOCK, brand_title_order
 from shelfpair.operators.ranking import HOT_ROWS, row_numbers, running_total
+from shelfpair.session import stored
 
 
 def interleave(products: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -21,14 +22,16 @@ def interleave(products: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     shop_group = [*BLOCK, "_brand", "shop_type"]
     rows = products.withColumn("_brand", brand_key(F.col("brand")))
     first = F.min(F.struct(F.col("brand").isNull(), F.col("brand"), F.col("title").isNull(), "title", "id"))
-    per_shop = rows.groupBy(*shop_group).agg(F.count("*").alias("n"), first.alias("first"))
+    # One row per brand and shop of a block; stored, as its counts also choose the plan below.
+    per_shop = stored(rows.groupBy(*shop_group).agg(F.count("*").alias("n"), first.alias("first")))
+    largest = per_shop.agg(F.max("n")).first()[0] or 0
     per_brand = per_shop.groupBy(*BLOCK, "_brand").agg(
         # one entry per shop
         F.array_sort(F.collect_list(F.struct("first", "shop_type", "n"))).alias("_shops"),
         F.sum("n").alias("_n"),
     )
     per_brand = running_total(per_brand, BLOCK, [F.col("_brand")], F.col("_n"), "_before", hot_rows)
-    placed = row_numbers(rows, shop_group, brand_title_order(), "_i", hot_rows)
+    placed = row_numbers(rows, shop_group, brand_title_order(), "_i", hot_rows, largest)
 
     def rows_ahead(total: Column, shop: Column, rank: Column) -> Column:
         tie = (rank < F.col("_rank")) & (shop["n"] > F.col("_i"))

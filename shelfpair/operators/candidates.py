@@ -4,8 +4,10 @@ A pair can only be kept when its title terms overlap by at least 0.3, or when it
 least 0.8 alike and its score is high enough. The two cases are generated apart and do not overlap,
 so no pair is produced twice and none has to be removed again:
 
-* term case: pairs meet on a rare title term. Terms are ordered by frequency inside the block and
-  only the leading terms that an overlap of 0.3 needs are used as keys (prefix filtering);
+* term case: pairs meet on their first common title term, with the terms of a title ordered by
+  frequency inside the block, rarest first. Given its place in the title, a term can only be the
+  first common one for partners up to some number of terms; titles meet no other partners on it.
+  A frequent term comes last, so it brings few partners or none;
 * brand case: pairs meet on an equal brand, or through the table of near brands.
 """
 
@@ -47,21 +49,46 @@ def add_features(products: DataFrame) -> DataFrame:
     )
 
 
-def add_leading_terms(features: DataFrame) -> DataFrame:
-    """Add ``lead``: the rarest terms, as many as an overlap of 0.3 needs.
-
-    An overlap of 0.3 takes ``ceil(0.3 * n)`` common terms, so two such sets share one of the first
-    ``n - ceil(0.3 * n) + 1`` terms in any common order.
-    """
+def order_terms(features: DataFrame) -> DataFrame:
+    """Put the rarest terms of the block first; a title without terms gets an empty array."""
     words = features.selectExpr("id", "block", "explode(terms) AS term")
     frequency = words.groupBy("block", "term").agg(F.count("*").alias("uses"))
     ordered = (
         words.join(frequency, ["block", "term"])
         .groupBy("id")
-        .agg(F.expr("array_sort(collect_list(struct(uses, term)))").alias("words"))
+        .agg(F.expr("transform(array_sort(collect_list(struct(uses, term))), w -> w.term)").alias("ordered"))
+    )
+    rest = [c for c in features.columns if c != "terms"]
+    return features.join(ordered, "id", "left").selectExpr(*rest, "coalesce(ordered, terms) AS terms")
+
+
+def _term_pairing(rows: DataFrame, chunk_rows: int) -> DataFrame:
+    """Pairs in a block with a term overlap of at least 0.3.
+
+    Titles of n and m terms need ``3 (n + m) / 13`` common ones. With p as the place of the first common
+    term in the title of n, at most ``n - p + 1`` are common, so m is at most ``13 (n - p + 1) / 3 - n``:
+    the reach of the term. The shorter title looks for the longer one under its own number of terms.
+    """
+    tenths = round(10 * K.ALTERNATIVE_TERMS)
+    placed = rows.selectExpr("*", "size(terms) AS n", "posexplode(terms) AS (place, term)").selectExpr(
+        "*", f"CAST(floor({10 + tenths} * (n - place) / {tenths}) AS INT) - n AS reach"
+    ).drop("place")
+    least_partner = f"CAST(ceil({tenths} * n / 10) AS INT)"
+    shorter = placed.filter("reach >= n").selectExpr("*", "n AS short")
+    longer = placed.filter(f"reach >= {least_partner}").selectExpr(
+        "*", f"explode(sequence({least_partner}, least(n, reach))) AS short"
     )
-    lead = "slice(words, 1, size(words) - CAST(floor((size(words) * 3 + 9) / 10) AS INT) + 1)"
-    return features.join(ordered.selectExpr("id", f"transform({lead}, w -> w.term) AS lead"), "id", "left")
+
+    def close(a, b) -> str:
+        once = f"({a('n')} < {b('n')} OR {a('id')} < {b('id')})"
+        common = f"array_intersect({a('terms')}, {b('terms')})"
+        return (
+            f"{once} AND {_other_shop(a, b)} AND {b('n')} <= {a('reach')} AND {_terms_close(a, b)} "
+            f"AND get({common}, 0) = term"
+        )
+
+    pairs = pair_across(shorter, longer, ["block", "term", "short"], "id", close, chunk_rows)
+    return pairs.drop("term", "short", "n_1", "n_2", "reach_1", "reach_2")
 
 
 def _other_shop(a, b) -> str:
@@ -89,7 +116,7 @@ def _brand_pairing(rows: DataFrame, kept, chunk_rows: int) -> DataFrame:
 
     ``brand_ratio`` comes with the brand pair, so it is not computed again per pair of products.
     """
-    known = rows.filter("brand_norm <> 'unknown'").drop("lead", "masks")
+    known = rows.filter("brand_norm <> 'unknown'").drop("masks")
     equal = known.selectExpr("*", "brand_norm AS key_brand", "1D AS brand_ratio")
     same = pair_within(equal, ["block", "key_brand"], "id", kept, chunk_rows)
     # stored, so that the key expressions run once per brand and are not pushed below the distinct
@@ -116,16 +143,11 @@ def candidate_pairs(
     """
     # Read by all branches below: written once, so titles are parsed once.
     masks = f"{similarity.character_masks('brand_norm')} AS masks"
-    rows = stored(add_leading_terms(features.selectExpr("*", masks)))
-
-    def shares_terms(a, b) -> str:
-        first_common = f"get(array_intersect({a('lead')}, {b('lead')}), 0) = term"
-        return f"{_other_shop(a, b)} AND {_terms_close(a, b)} AND {first_common}"
+    rows = stored(order_terms(features.selectExpr("*", masks)))
 
-    by_term = pair_within(rows.selectExpr("*", "explode(lead) AS term"), ["block", "term"], "id", shares_terms, chunk_rows)
-    by_term = add_measures(by_term, similarity.brand_similarity("brand_norm_1", "brand_norm_2", "masks_1")).drop(
-        "term", "lead_1", "lead_2", "masks_1", "masks_2"
-    )
+    by_term = add_measures(
+        _term_pairing(rows, chunk_rows), similarity.brand_similarity("brand_norm_1", "brand_norm_2", "masks_1")
+    ).drop("masks_1", "masks_2")
 
     def shares_brand(a, b) -> str:
         apart = f"{_other_shop(a, b)} AND (size({a('terms')}) = 0 OR NOT {_terms_close(a, b)})"

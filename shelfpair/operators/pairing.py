@@ -91,9 +91,10 @@ def pair_across(
     where: PairCondition,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Pairs of a left and a right row with equal keys; both sides have the same columns.
+    """Pairs of a left and a right row with equal keys for which ``where`` holds, lower id first.
 
-    The two sides must be disjoint for each key (no row in both), as for two different brands.
+    Both sides have the same columns. A pair must qualify one way round only: the sides are disjoint,
+    as for two different brands, or ``where`` says which of two rows is the left one.
     """
     columns = [c for c in left.columns if c not in keys]
     rows = _chunk_counts(left, keys, "_rows", chunk_rows)

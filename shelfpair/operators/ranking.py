@@ -27,11 +27,15 @@ def running_total(
     value: Column,
     out: str,
     hot_rows: int = HOT_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
-    """Sum of ``value`` over the earlier rows of the group. ``order`` must end in a unique key."""
+    """Sum of ``value`` over the earlier rows of the group. ``order`` must end in a unique key.
+
+    ``largest``: rows of the largest group, counted here when it is not known.
+    """
     before = (Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
-    if group and largest_group(df, group) <= hot_rows:
+    if group and (largest_group(df, group) if largest is None else largest) <= hot_rows:
         w = Window.partitionBy(*group).orderBy(*order).rowsBetween(*before)
         return df.withColumn(out, F.coalesce(F.sum(value.cast("bigint")).over(w), zero))
 
@@ -63,10 +67,15 @@ def running_total(
 
 
 def row_numbers(
-    df: DataFrame, group: list[str], order: list[Column], out: str, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    group: list[str],
+    order: list[Column],
+    out: str,
+    hot_rows: int = HOT_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Zero-based position of each row in its group. ``order`` must end in a unique key."""
-    return running_total(df, group, order, F.lit(1), out, hot_rows)
+    return running_total(df, group, order, F.lit(1), out, hot_rows, largest)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -151,7 +151,10 @@ def loose_candidates(products: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def candidate_questions(candidates: DataFrame) -> DataFrame:
-    """(source, candidate) rows in prompt order; each pair is asked once, from its lower id."""
+    """(source, candidate) rows in prompt order; each pair is asked once, from its lower id.
+
+    The rows are stored before they are numbered, as the numbering first looks at the group sizes.
+    """
     describe = F.format_string("%s | %s | %s", "shop_type_1", "brand_1", "title_1")
     rows = candidates.select(
         F.col("id_1").alias("source_id"),
@@ -162,7 +165,7 @@ def candidate_questions(candidates: DataFrame) -> DataFrame:
         F.col("title_2").alias("candidate_title"),
         F.col("rule_score"),
     )
-    return row_numbers(rows, ["source_id"], [F.col("rule_score").desc(), F.col("candidate_id")], "position")
+    return row_numbers(stored(rows), ["source_id"], [F.col("rule_score").desc(), F.col("candidate_id")], "position")
 
 
 def parse_candidate_answers(responses: DataFrame, text_column: str = "response_text") -> DataFrame:
@@ -207,7 +210,7 @@ def staged_matches(
     matched = stage_2.select(F.explode(F.array("source_product_id", "target_product_id")).alias("id"))
     rest = rest.join(matched, "id", "left_anti").drop("fingerprint")
 
-    questions = stored(candidate_questions(loose_candidates(rest)))
+    questions = candidate_questions(loose_candidates(rest))
     replies = stored(ask(candidate_prompts(questions), answer)).filter(F.col("response_text").isNotNull())
     asked = questions.select("source_id", "candidate_id")
     stage_3 = (

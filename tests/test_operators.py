@@ -23,7 +23,7 @@ def products(spark, n=120, seed=1, blocks=2):
     for i in range(n):
         rows.append(
             (
-                i, rng.choice(["AH", "JUMBO", "PLUS", "ALDI"]), " ".join(rng.sample(words, rng.randint(0, 3))),
+                i, rng.choice(["AH", "JUMBO", "PLUS", "ALDI"]), " ".join(rng.sample(words, rng.randint(0, 6))),
                 rng.choice(["huis", "huis", "huis", "huisje", "lays", "Lay's", None, ""]),
                 None if i % 17 == 0 else ("hot" if i % 3 else f"c{i % blocks}"),
                 rng.choice([0.0, 1.0, 1.5, 2.0, 2.2, float("nan"), None]), rng.choice(["kg", "kg", "l"]), 1.0 + i % 5, i % 7 != 0,
