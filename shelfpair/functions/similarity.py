@@ -12,8 +12,8 @@ MASK_BITS = 62  # longest text handled by one BIGINT; longer texts use the table
 
 def token_overlap(a: str, b: str) -> str:
     """Jaccard overlap of two distinct-token arrays; two empty arrays give 0."""
-    ratio = f"c / CAST(greatest(size({a}) + size({b}) - c, 1) AS DOUBLE)"
-    return f"get(transform(array(size(array_intersect({a}, {b}))), c -> {ratio}), 0)"
+    common = f"size(array_intersect({a}, {b}))"
+    return f"({common} / CAST(greatest(size({a}) + size({b}) - {common}, 1) AS DOUBLE))"
 
 
 def overlap_at_least(a: str, b: str, tenths: int) -> str:

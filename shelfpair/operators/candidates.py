@@ -150,11 +150,13 @@ def candidate_pairs(
     ).drop("masks_1", "masks_2")
 
     def shares_brand(a, b) -> str:
-        apart = f"{_other_shop(a, b)} AND (size({a('terms')}) = 0 OR NOT {_terms_close(a, b)})"
+        apart = f"(size({a('terms')}) = 0 OR NOT {_terms_close(a, b)})"
         if brand_case_score is None:
-            return apart
-        score = scoring.rule_score(a("brand_ratio"), _overlap(a, b), _size(a, b), _features(a, b))
-        return f"{apart} AND {score} >= {brand_case_score}D"
+            return f"{_other_shop(a, b)} AND {apart}"
+        score = lambda terms: scoring.rule_score(a("brand_ratio"), terms, _size(a, b), _features(a, b))
+        # No array is compared while the largest overlap of this case leaves the score too low.
+        possible = f"{score(f'{K.ALTERNATIVE_TERMS}D')} >= {brand_case_score}D"
+        return f"{_other_shop(a, b)} AND {possible} AND {apart} AND {score(_overlap(a, b))} >= {brand_case_score}D"
 
     by_brand = add_measures(_brand_pairing(rows, shares_brand, chunk_rows), "brand_ratio_1")
     return by_term.unionByName(by_brand.drop("brand_ratio_1", "brand_ratio_2"))
