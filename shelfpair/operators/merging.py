@@ -19,9 +19,10 @@ PAIR_VALUES = ["equivalence_type", "similarity_score"]
 def best_incoming(pairs: DataFrame, order: list[str]) -> DataFrame:
     """One row per unordered pair: best score, then first by ``order``."""
     rank = F.struct((-F.col("similarity_score")).alias("neg"), *[F.col(c) for c in order])
-    return pairs.groupBy(
+    best = pairs.groupBy(
         F.least(*PAIR_KEY).alias(PAIR_KEY[0]), F.greatest(*PAIR_KEY).alias(PAIR_KEY[1])
-    ).agg(*[F.min_by(c, rank).alias(c) for c in PAIR_VALUES])
+    ).agg(F.min_by(F.struct(*PAIR_VALUES), rank).alias("_best"))
+    return best.select(*PAIR_KEY, "_best.*")
 
 
 def merge_pairs(stored_pairs: DataFrame, incoming: DataFrame, order: list[str], now: Column | None = None) -> DataFrame:
@@ -58,9 +59,9 @@ def merge_labels(stored_labels: DataFrame, incoming: DataFrame, order: list[str]
     """Insert or replace labels by product; of several incoming rows the last by ``order`` wins."""
     now = F.current_timestamp() if now is None else now
     values = ["essence", "confidence", "model_version", "processing_time_ms"]
-    new = incoming.withColumn("essence", F.lower(strip(F.col("essence")))).groupBy("product_id").agg(
-        *[F.max_by(c, F.struct(*order)).alias(c) for c in values], F.lit(True).alias("_new")
-    )
+    cleaned = incoming.withColumn("essence", F.lower(strip(F.col("essence"))))
+    last = cleaned.groupBy("product_id").agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_last"))
+    new = last.select("product_id", "_last.*", F.lit(True).alias("_new"))
     s, n = stored_labels.alias("s"), new.alias("n")
     is_new = F.col("n._new").isNotNull()
     action = (

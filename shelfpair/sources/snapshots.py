@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
 def _file_system(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path = _path(spark, path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
@@ -19,14 +22,10 @@ def versions(spark: SparkSession, base: str) -> list[int]:
     if not fs.exists(path):
         return []
     names = [s.getPath() for s in fs.listStatus(path)]
-    done = [p for p in names if p.getName().startswith("v=") and fs.exists(type_path(spark, f"{p}/_SUCCESS"))]
+    done = [p for p in names if p.getName().startswith("v=") and fs.exists(_path(spark, f"{p}/_SUCCESS"))]
     return sorted(int(p.getName()[2:]) for p in done)
 
 
-def type_path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
 def write_snapshot(df: DataFrame, base: str, partition_by: str | None = None, sort_by: str | None = None) -> int:
     """Write the next version; readers see it when it is complete. Returns its number."""
     number = (versions(df.sparkSession, base) or [0])[-1] + 1
