@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,3 +29,8 @@ def fresh(name: str, df: DataFrame) -> str:
     while name.lower() in {column.lower() for column in df.columns}:
         name += "_"
     return name
+
+
+def plus(df: DataFrame, **added: DataType) -> StructType:
+    """The schema of ``df`` with further columns."""
+    return StructType([*df.schema.fields, *[StructField(name, kind) for name, kind in added.items()]])

@@ -6,9 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfpair.llm.bytebpe import round_trip
 from shelfpair.llm.common import table
+from shelfpair.llm.language import held_out, identify, train
+from shelfpair.llm.packing import pack, with_checksums
+from shelfpair.llm.quality import judge
 from shelfpair.llm.simhash import simhash_groups
 from shelfpair.llm.vectors import near_vectors
+from shelfpair.llm.warc import archive_and_index
+
+
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    found = identify(docs.select("doc_id", "text"), train(docs))
+    return found.select("doc_id", held_out(found.doc_id).alias("held_out"), "lang_pred", "score")
+
+
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = with_checksums(pack(table(spark, folder, "documents")))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op3_vector_duplicates(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,12 +51,31 @@ FROM embeddings e JOIN grouped g USING (vec_id) LEFT JOIN counted c USING (vec_i
 """
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return judge(docs, table(spark, folder, "labels")).drop("text")
+
+
 def op5_simhash_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(table(spark, folder, "documents"))
 
 
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(table(spark, folder, "documents"))
+
+
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    captures = archive_and_index(table(spark, folder, "pages"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "file", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
+    "op2_packing": op2_packing,
     "op3_vector_duplicates": op3_vector_duplicates,
+    "op4_quality": op4_quality,
     "op5_simhash_duplicates": op5_simhash_duplicates,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op10_warc": op10_warc,
 }
 ORACLES: dict[str, str] = {"op3_vector_duplicates": OP3_SQL}
