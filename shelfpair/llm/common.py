@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
+from shelfpair.session import stored
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -31,6 +33,51 @@ def fresh(name: str, df: DataFrame) -> str:
     return name
 
 
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with columns of these names renamed, and what gives the same columns of a later table their names back."""
+    taken = {name.lower() for name in names}
+    before, renamed = df.columns, df
+    new = {}
+    for name in before:
+        if name.lower() in taken:
+            new[name] = fresh(f"own_{name}", renamed)
+            renamed = renamed.withColumnRenamed(name, new[name])
+    return renamed, lambda later: later.select(*[F.col(f"`{new.get(name, name)}`").alias(name) for name in before])
+
+
 def plus(df: DataFrame, **added: DataType) -> StructType:
     """The schema of ``df`` with further columns."""
     return StructType([*df.schema.fields, *[StructField(name, kind) for name, kind in added.items()]])
+
+
+def smallest_by_hash(rows: DataFrame, key: str, most: int, of: int) -> DataFrame:
+    """The ``most`` rows with the smallest hashes of ``key``, stored: a bounded sample that does not depend on partitions.
+
+    ``of``: about how many rows there are. Only a share of the hash range that should hold enough rows is sorted, so tasks
+    hand on few rows however many tasks there are; the share grows until it holds enough.
+    """
+    place = F.shiftrightunsigned(F.xxhash64(key), 1)
+    share = 4.0 * most / max(of, 1)
+    while True:
+        near = rows if share >= 1 else rows.where(place < F.lit(int(share * 2**63)))
+        found = stored(near.orderBy(place, key).limit(most))
+        if share >= 1 or found.count() == most:
+            return found
+        share *= 16
+
+
+class Recent:
+    """What a worker remembers between batches: the entries asked for most lately, at most twice ``most`` of them."""
+
+    def __init__(self, most: int):
+        self.most, self.now, self.before = most, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """The keys not known; the others are in ``now`` afterwards, until the next call."""
+        if len(self.now) > self.most:
+            self.before, self.now = self.now, {}
+        ask = keys - self.now.keys()
+        found = ask & self.before.keys()
+        for key in found:
+            self.now[key] = self.before[key]
+        return list(ask - found)

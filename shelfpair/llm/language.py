@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from shelfpair.llm.common import plus, without
+from shelfpair.llm.common import plus, set_aside, smallest_by_hash, without
 
 WINDOW, DIMS, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 12
 WIDEST = max(WIDTHS)
@@ -146,8 +146,8 @@ def training_windows(docs: DataFrame, most_docs: int, per_doc: int) -> DataFrame
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     starts = [F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length("text") - WINDOW, F.lit(1))).cast("int") + 1 for k in range(per_doc)]
     cuts = F.array(*[F.substring(F.col("text"), start, F.lit(WINDOW)) for start in starts])
-    picked = usable.select("lang", cuts.alias("cuts"), F.xxhash64("doc_id").alias("h"), "doc_id").orderBy("h", "doc_id").limit(most_docs)
-    return picked.select("lang", F.explode("cuts").alias("text"))
+    picked = smallest_by_hash(usable.select("doc_id", "lang", cuts.alias("cuts")), "doc_id", most_docs, docs.count())
+    return picked.orderBy("doc_id").select("lang", F.explode("cuts").alias("text"))
 
 
 def train(docs: DataFrame, most_docs: int = 4000, per_doc: int = 2, epochs: int = 6) -> Network:
@@ -183,12 +183,6 @@ def identify(docs: DataFrame, network: Network) -> DataFrame:
 
 def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose language is identified with a score of at least ``least``; columns stay as they were."""
-    found = fresh_names(docs)
-    rows = identify(docs.withColumnsRenamed(found), train(docs))
-    kept = rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({new: old for old, new in found.items()})
-
-
-def fresh_names(docs: DataFrame) -> dict[str, str]:
-    """New names for columns that would clash with what ``identify`` adds."""
-    return {name: f"own_{name}" for name in docs.columns if name.lower() in ("lang_pred", "score")}
+    own, restored = set_aside(docs, "lang_pred", "score")
+    found = identify(own, train(own))
+    return restored(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfpair.llm.common import fresh, let, without
+from shelfpair.llm.common import fresh, let, set_aside, smallest_by_hash, without
 from shelfpair.session import stored
 
 GAP = r"[ \t\n\x0B\f\r]+"
@@ -61,13 +61,15 @@ def trusted_ids(labels: DataFrame, most: int = 20_000) -> DataFrame:
     The bound makes this the fitting sample of a classifier, which may be broadcast: ``most`` ids are 160 KB.
     """
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
-    return good.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    ids = good.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    return smallest_by_hash(ids, "doc_id", most, labels.count())
 
 
-def ratios(docs: DataFrame, trusted: DataFrame, smoothing: float = 1.0) -> DataFrame:
-    """(bucket, ratio) for all buckets: log of the n-gram's share in the trusted texts over its share in all ``docs``.
+def ratios(docs: DataFrame, trusted: DataFrame, smoothing: float = 10.0) -> DataFrame:
+    """(bucket, ratio) for all buckets: log of the n-gram's count in the trusted texts over what all ``docs`` let expect.
 
-    Both multinomials come from one pass over whole texts. Every count covers all rows of ``docs``; rows are counted per
+    The expected count is the raw count, scaled to as many n-grams as the trusted texts have; ``smoothing`` is added to
+    both, so the two multinomials agree where little is known and a text is not marked down for rare words. Both multinomials come from one pass over whole texts. Every count covers all rows of ``docs``; rows are counted per
     task into at most BUCKETS sums before anything is shuffled.
     """
     marked = docs.select("doc_id", "text").join(F.broadcast(trusted.withColumn("trusted", F.lit(1))), "doc_id", "left")
@@ -75,8 +77,10 @@ def ratios(docs: DataFrame, trusted: DataFrame, smoothing: float = 1.0) -> DataF
     counts = stored(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("target")))
     totals = counts.agg(F.struct(F.sum("raw").alias("raw"), F.sum("target").alias("target"))).scalar()
     every = counts.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    share = lambda name: (F.coalesce(name, F.lit(0)) + smoothing) / (F.coalesce(totals[name], F.lit(0)) + smoothing * BUCKETS)
-    return every.join(counts, "bucket", "left").select("bucket", F.log(share("target") / share("raw")).alias("ratio"))
+    scale = F.coalesce(totals["target"] / F.nullif(totals["raw"], F.lit(0)), F.lit(0.0))
+    expected = F.coalesce("raw", F.lit(0)) * scale
+    ratio = F.log((F.coalesce("target", F.lit(0)) + smoothing) / (expected + smoothing))
+    return every.join(counts, "bucket", "left").select("bucket", ratio.alias("ratio"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = -0.1, most_trusted: int = 20_000) -> DataFrame:
@@ -88,12 +92,12 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = -0.1, most_trus
     ratio of the hashed words and word pairs between trusted texts (``labels``: quality 1, not toxic) and all of ``docs``,
     so texts of any length compare; null without words. kept: not base_failed and score >= ``threshold``.
 
-    With no trusted text all ratios tell the same and the score says little; with no rows at all the result is empty.
+    With no trusted text every score is 0, so the base rules decide; with no rows at all the result is empty.
     Repeated rows are counted and returned as often as they come. Ties in the score fall on the same side of the threshold.
     """
     base = without(docs, *FACTS)
     facts, looked_up = fresh("facts", base), fresh("ratio_of_bucket", base)
-    trusted = stored(trusted_ids(labels, most_trusted))
+    trusted = trusted_ids(labels, most_trusted)
     learned = stored(ratios(docs, trusted))
     table = learned.agg(F.sort_array(F.collect_list(F.struct("bucket", "ratio"))).alias("t")).select(F.transform("t", lambda x: x["ratio"])).scalar()
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -121,3 +125,9 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = -0.1, most_trus
         fact("score").alias("score"),
         (~failed & (fact("score") >= threshold)).alias("kept"),
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = -0.1) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps; columns stay as they were."""
+    own, restored = set_aside(docs, *FACTS)
+    return restored(judge(own, labels, threshold).where("kept"))

@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfpair.llm.bytebpe import round_trip
 from shelfpair.llm.common import table
+from shelfpair.llm.html import main_text
 from shelfpair.llm.language import held_out, identify, train
 from shelfpair.llm.packing import pack, with_checksums
+from shelfpair.llm.pii import checked_surrogates
 from shelfpair.llm.quality import judge
 from shelfpair.llm.simhash import simhash_groups
+from shelfpair.llm.tokencounts import section_tokens
 from shelfpair.llm.vectors import near_vectors
 from shelfpair.llm.warc import archive_and_index
 
@@ -64,6 +68,19 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(table(spark, folder, "documents"))
 
 
+def op7_html(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(table(spark, folder, "pages"))
+
+
+def op8_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    found = checked_surrogates(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), F.array_sort(F.array_distinct("entities.kind")).alias("kinds"))
+
+
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return section_tokens(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     captures = archive_and_index(table(spark, folder, "pages"))
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "file", "offset")
@@ -76,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_simhash_duplicates": op5_simhash_duplicates,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_html": op7_html,
+    "op8_surrogates": op8_surrogates,
+    "op9_token_counts": op9_token_counts,
     "op10_warc": op10_warc,
 }
 ORACLES: dict[str, str] = {"op3_vector_duplicates": OP3_SQL}
