@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfpair import schemas
 from shelfpair.catalog import twins as S
 from shelfpair.catalog.registry import Tables, query
-from shelfpair.operators import blocking, merging
+from shelfpair.operators import blocking, merging, parsing
 from shelfpair.operators.candidates import add_features, candidate_pairs, fill_missing
 from shelfpair.operators.ranking import top_per_group
 from shelfpair.operators.vectors import cross_shop_neighbours, pairs_above, top_neighbours
@@ -95,6 +97,18 @@ def _(t):
     return back.select("id", *_pairs(back).columns).withColumn("similarity_score", F.col("similarity_score").cast("double"))
 
 
+AWKWARD = "SELECT id, CASE id % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN concat('a', chr(9), title) WHEN 3 THEN concat(title, chr(10), 'b', chr(13)) WHEN 4 THEN concat(chr(92), 'N') WHEN 5 THEN concat(chr(92), chr(92), 'n', title, chr(92)) ELSE title END AS title, brand FROM products"
+
+
+@query("s06_awkward_text", AWKWARD)
+def _(t):
+    """Tabs, line ends, backslashes, empty texts and nulls through COPY text and back."""
+    path = _folder(t, "awkward-copy")
+    t.products.createOrReplaceTempView("s06_products")
+    files.write_copy_text(t.spark.sql(AWKWARD.replace("FROM products", "FROM s06_products")), path)
+    return files.read_copy_text(t.spark, path, StructType.fromDDL("id bigint, title string, brand string"))
+
+
 @query(
     "s09_products_with_labels",
     "SELECT p.id, p.title, e.essence, CAST(e.confidence AS DOUBLE) AS confidence, e.model_version FROM products p LEFT JOIN product_essences e ON p.id = e.product_id",
@@ -221,14 +235,23 @@ def _(t):
     )
 
 
-@query("f14_created_between", f"SELECT {PAIR_SQL} FROM product_equivalence WHERE created_at BETWEEN TIMESTAMP '2023-12-31 00:00:00' AND TIMESTAMP '2024-01-02 00:00:00'", "product_equivalence")
+AGED = "aged AS (SELECT * REPLACE (TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(id % 97 AS INTEGER)) AS created_at) FROM product_equivalence)"
+
+
+@query("f14_created_between", f"SELECT {PAIR_SQL} FROM aged WHERE created_at BETWEEN TIMESTAMP '2024-01-01 10:00:00' AND TIMESTAMP '2024-01-02 00:00:00'", "product_equivalence", AGED)
 def _(t):
-    return _pairs(reports.pairs_created_between(t.pairs, "2023-12-31 00:00:00", "2024-01-02 00:00:00"))
+    aged = t.pairs.withColumn("created_at", F.timestamp_seconds(F.unix_timestamp("created_at") + F.col("id") % 97 * 3600))
+    return _pairs(reports.pairs_created_between(aged, "2024-01-01 10:00:00", "2024-01-02 00:00:00"))
 
 
-@query("f15_distinct_ends", "SELECT least(src, tgt) AS lo, greatest(src, tgt) AS hi FROM incoming_pairs WHERE src <> tgt", "incoming_pairs")
+@query(
+    "f15_distinct_ends",
+    "SELECT least(src, tgt) AS lo, greatest(src, tgt) AS hi FROM (SELECT src, CASE WHEN src % 3 = 0 THEN src ELSE tgt END AS tgt FROM incoming_pairs) x WHERE src <> tgt",
+    "incoming_pairs",
+)
 def _(t):
-    return t.incoming.select(F.least("src", "tgt").alias("lo"), F.greatest("src", "tgt").alias("hi")).filter("lo <> hi")
+    folded = t.incoming.withColumn("tgt", F.expr("IF(src % 3 = 0, src, tgt)"))
+    return parsing.distinct_ends(parsing.canonical(folded.select("src", "tgt"), "src", "tgt"))
 
 
 @query("f16_classified_only", "SELECT source_product_id, target_product_id, equivalence_type FROM matches", ctes=S.RULE_MATCHES)
@@ -241,10 +264,15 @@ def _(t):
     return siblings.first_of_shop(t.products, "AH", 200).select("id", "title")
 
 
-@query("f18_export_stamp", f"SELECT {PAIR_SQL}, TRUE AS stamped FROM product_equivalence", "product_equivalence")
+@query("f18_export_stamp", "SELECT source_product_id, target_product_id, TRUE AS stamped FROM matches", ctes=S.RULE_MATCHES)
 def _(t):
-    stamped = _pairs(t.pairs).withColumn("created_at", F.current_timestamp())
-    return stamped.withColumn("stamped", F.col("created_at").isNotNull()).drop("created_at")
+    """Every exported row has a stamp of the given form, not in the future and not from before the run."""
+    began = F.lit(time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime()))
+    rows = files.export_rows(matching.rule_matches(t.products))
+    form = F.col("created_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}$")
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    fresh = (F.col("created_at") >= began) & (F.col("created_at") <= now)
+    return rows.select("source_product_id", "target_product_id", (form & fresh).alias("stamped"))
 
 
 # joins
@@ -312,14 +340,34 @@ def _(t):
     return matching.exact_members(matching.with_fingerprint(t.products)).select("fingerprint", "id", "shop_type")
 
 
+COPIES = "copies AS (SELECT id, shop_type, CASE WHEN id % 5 = 0 THEN fingerprint ELSE 'one and the same' END AS fingerprint FROM fp)"
+
+
+@query(
+    "j10_crowded_group",
+    """SELECT source_product_id, target_product_id, product_count, pair_count FROM (
+      SELECT min(id) OVER (PARTITION BY fingerprint) AS source_product_id, id AS target_product_id,
+        count(*) OVER (PARTITION BY fingerprint) AS product_count, pair_count
+      FROM copies JOIN (SELECT a.fingerprint, count(*) AS pair_count FROM copies a JOIN copies b
+        ON a.fingerprint = b.fingerprint AND a.id < b.id AND a.shop_type <> b.shop_type GROUP BY 1) g USING (fingerprint)) x
+    WHERE source_product_id <> target_product_id""",
+    ctes=S.FINGERPRINTS + ", " + COPIES,
+)
+def _(t):
+    """Four of five listings are copies of one another."""
+    rows = matching.with_fingerprint(t.products)
+    crowd = rows.withColumn("fingerprint", F.when(F.col("id") % 5 == 0, F.col("fingerprint")).otherwise("one and the same"))
+    return matching.exact_matches(crowd).drop("confidence", "equivalence_type")
+
+
 @query(
     "j11_vector_neighbours",
-    "SELECT id_1, id_2, score, rank FROM ranked WHERE rank <= 10 AND score > 0.75 AND shop_type_1 <> shop_type_2",
+    "SELECT id_1, id_2, score, rank FROM ranked WHERE rank <= 10 AND score > 0.15 AND shop_type_1 <> shop_type_2",
     "product_vectors",
     S.NEIGHBOURS.format(vectors="product_vectors", on="a.block = b.block"),
 )
 def _(t):
-    found = cross_shop_neighbours(t.vectors, 10, 0.75, ["block"])
+    found = cross_shop_neighbours(t.vectors, 10, 0.15, ["block"])
     return found.select("id_1", "id_2", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
@@ -367,6 +415,17 @@ def _(t):
     return matching.loose_candidates(rest).select("id_1", "id_2", F.round("rule_score", 9).alias("rule_score"))
 
 
+@query(
+    "j14_strict_candidates",
+    """SELECT id_1, id_2, round(rule_score, 9) AS rule_score FROM measured
+    WHERE (term_sim >= 0.5E0 OR brand_sim >= 0.7E0) AND rule_score >= 0.55E0""",
+    ctes=S.RULE,
+)
+def _(t):
+    pairs = matching.loose_candidates(t.products, threshold=0.55, min_terms=0.5, min_brand=0.7)
+    return pairs.select("id_1", "id_2", F.round("rule_score", 9).alias("rule_score"))
+
+
 @query(
     "j15_brand_blocks",
     f"""SELECT main_category AS category, normalized_quantity_unit AS unit, bn AS brand, count(*) AS product_count,
@@ -378,6 +437,16 @@ def _(t):
     return reports.brand_blocks(t.products)
 
 
+@query(
+    "j15_brand_block_pairs",
+    f"""SELECT a.id AS id_1, b.id AS id_2 FROM branded a JOIN branded b ON a.main_category = b.main_category
+      AND a.normalized_quantity_unit = b.normalized_quantity_unit AND a.bn = b.bn AND a.id < b.id AND a.shop_type <> b.shop_type""",
+    ctes=f"{S.ACTIVE_ROWS}, branded AS (SELECT * FROM (SELECT *, {S.BRAND_NORM} AS bn FROM active_rows WHERE brand IS NOT NULL) x WHERE bn <> 'unknown')",
+)
+def _(t):
+    return reports.brand_block_pairs(t.products)
+
+
 # aggregates
 
 INVENTORY = "SELECT main_category AS category, normalized_quantity_unit AS unit, count(*) AS product_count, count(DISTINCT shop_type) AS shop_count FROM active_rows GROUP BY 1, 2"
@@ -545,10 +614,14 @@ def _(t):
 
 @query(
     "a24_brand_by_shop",
-    "SELECT brand, count(*) FILTER (shop_type = 'AH') AS ah, count(*) FILTER (shop_type = 'JUMBO') AS jumbo, count(*) FILTER (shop_type = 'PLUS') AS plus, count(*) FILTER (shop_type = 'ALDI') AS aldi, count(DISTINCT shop_type) > 1 AS shared FROM products WHERE brand IS NOT NULL GROUP BY 1",
+    """SELECT brand, shop_type, count(*) AS product_count, shops > 1 AS shared
+    FROM (SELECT * REPLACE (CASE WHEN id % 10 = 0 THEN 'LIDL' ELSE shop_type END AS shop_type) FROM products) p
+    JOIN (SELECT brand, count(DISTINCT CASE WHEN id % 10 = 0 THEN 'LIDL' ELSE shop_type END) AS shops FROM products GROUP BY 1) s USING (brand) GROUP BY 1, 2, shops""",
 )
 def _(t):
-    return reports.brand_by_shop(t.products)
+    """One listing in ten is of a shop that no list names."""
+    rows = t.products.withColumn("shop_type", F.expr("IF(id % 10 = 0, 'LIDL', shop_type)"))
+    return reports.brand_by_shop(rows)
 
 
 @query(

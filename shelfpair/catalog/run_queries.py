@@ -65,12 +65,6 @@ def _(t):
     return batching.interleave(blocking.in_eligible_blocks(t.products)).select("id", "position")
 
 
-@query("w01_interleaved_order_hot", "SELECT id, position FROM placed", ctes=PLACED)
-def _(t):
-    """The plan for groups too large for one task."""
-    return batching.interleave(blocking.in_eligible_blocks(t.products), hot_rows=0).select("id", "position")
-
-
 @query("w02_pair_batches", f"SELECT id, {BATCH} AS batch_id FROM placed", ctes=PLACED)
 def _(t):
     return batching.pair_batches(blocking.in_eligible_blocks(t.products), 10).select("id", "batch_id")
@@ -84,11 +78,6 @@ def _(t):
     return batching.id_batches(t.products, 15).select("id", "batch_id")
 
 
-@query("w03_id_batches_hot", ID_BATCHES.format(n=25))
-def _(t):
-    return batching.id_batches(t.products, 25, hot_rows=0).select("id", "batch_id")
-
-
 @query(
     "w04_first_per_pair",
     """SELECT response_id, lo, hi, equivalence_type FROM (SELECT *, row_number() OVER (PARTITION BY response_id, lo, hi ORDER BY line_no) AS r
@@ -255,17 +244,21 @@ def _(t):
 
 @query(
     "d02_merge_labels",
+    # one product in four comes a second time, and the later row wins
     """SELECT coalesce(e.product_id, n.product_id) AS product_id, coalesce(n.essence, e.essence) AS essence, coalesce(n.confidence, CAST(e.confidence AS DOUBLE)) AS confidence,
       CASE WHEN e.product_id IS NULL THEN 'inserted' WHEN n.product_id IS NOT NULL THEN 'updated' ELSE 'unchanged' END AS action
-    FROM product_essences e FULL JOIN (SELECT id AS product_id, lower(trim(brand)) AS essence, 0.9E0 AS confidence FROM products WHERE brand IS NOT NULL) n ON e.product_id = n.product_id""",
+    FROM product_essences e FULL JOIN (SELECT id AS product_id, CASE WHEN id % 4 = 0 THEN 'later' ELSE lower(trim(brand)) END AS essence, CASE WHEN id % 4 = 0 THEN 0.7E0 ELSE 0.9E0 END AS confidence FROM products WHERE brand IS NOT NULL) n ON e.product_id = n.product_id""",
     "products product_essences",
 )
 def _(t):
     new = t.products.filter("brand IS NOT NULL").select(
         COL("id").alias("product_id"), COL("brand").alias("essence"), F.lit(0.9).cast("decimal(3,2)").alias("confidence"),
-        F.lit("model-b").alias("model_version"), F.lit(1).alias("processing_time_ms"),
+        F.lit("model-b").alias("model_version"), F.lit(1).alias("processing_time_ms"), F.lit(1).alias("place"),
     )
-    merged = merging.merge_labels(t.labels, new, ["product_id"])
+    later = new.filter("product_id % 4 = 0").withColumns(
+        {"essence": F.lit(" Later "), "confidence": F.lit(0.7).cast("decimal(3,2)"), "place": F.lit(2)}
+    )
+    merged = merging.merge_labels(t.labels, later.unionByName(new), ["place"])
     return merged.select("product_id", "essence", COL("confidence").cast("double").alias("confidence"), "action")
 
 
@@ -321,7 +314,7 @@ FULL = PLACED + "," + CLAIMS
 @query("v01_pair_answers", "SELECT main_category, normalized_quantity_unit, batch_id, lo, hi FROM claimed", ctes=FULL)
 def _(t):
     batched = batching.pair_batches(blocking.in_eligible_blocks(t.products), 10)
-    found = runs.answered_pairs(batched, consecutive_pairs)
+    found = runs.answered_pairs(batched, batched, consecutive_pairs)[0]
     return found.select(*BLOCK, "batch_id", COL("source_product_id").alias("lo"), COL("target_product_id").alias("hi"))
 
 
@@ -401,6 +394,11 @@ def _(t):
     return reports.statistics(t.products, t.pairs)
 
 
+@query("m04_class_scores", "SELECT equivalence_type, count(*) AS n, round(avg(CAST(similarity_score AS DOUBLE)), 3) AS avg_score FROM product_equivalence GROUP BY 1", "product_equivalence")
+def _(t):
+    return reports.class_scores(t.pairs)
+
+
 @query(
     "m05_block_run",
     MERGED,
@@ -441,11 +439,14 @@ vec AS (SELECT id, list_append(list_transform(embedding, lambda x: CAST(x AS DOU
 vector_measured AS (SELECT m.*, round(list_dot_product(a.v, b.v), 9) AS score FROM measured m JOIN vec a ON a.id = m.id_1 JOIN vec b ON b.id = m.id_2)"""
 
 
+RULED = "by_rules AS (SELECT m.* FROM measured m WHERE m.id_1 NOT IN (SELECT id FROM vec) OR m.id_2 NOT IN (SELECT id FROM vec))"
+
+
 @query(
     "m09_vector_matches",
-    "SELECT * FROM matches",
+    "SELECT * FROM near UNION ALL SELECT * FROM ruled",
     "products product_vectors",
-    S.RULE + "," + VECTOR_SCORES + "," + S.matches("score", "semantic", "vector_measured"),
+    ",".join([S.RULE, VECTOR_SCORES, RULED, S.matches("score", "semantic", "vector_measured", "near"), S.matches("rule_score", "rule_based", "by_rules", "ruled")]),
 )
 def _(t):
     scaled = F.transform("embedding", lambda x: x.cast("double") * 0.6)
@@ -478,12 +479,15 @@ def _(t):
 
 @query(
     "a22_batch_quality",
-    "SELECT main_category, batch_id, count(*) AS labels, 1.0E0 AS avg_words, 0 AS unknown_count, round(avg(confidence), 6) AS avg_confidence FROM fresh_labels GROUP BY 1, 2",
-    "products product_essences",
-    LABEL_RUN,
+    """SELECT main_category, batch_id, count(*) AS labels, round(avg(CASE id % 3 WHEN 0 THEN 1.0E0 WHEN 1 THEN 2.0E0 ELSE 3.0E0 END), 6) AS avg_words,
+      count(*) FILTER (id % 3 = 0) AS unknown_count, round(avg(id % 8 / 8.0E0), 6) AS avg_confidence
+    FROM (SELECT *, CAST(floor((row_number() OVER (PARTITION BY main_category ORDER BY id) - 1) / 15) AS BIGINT) AS batch_id FROM products) x GROUP BY 1, 2""",
 )
 def _(t):
-    rows = labelling.label_products(t.products, t.labels, third_words).rows
+    rows = batching.id_batches(t.products, 15).selectExpr(
+        "main_category", "batch_id", "id % 8 / 8.0E0 AS confidence",
+        "CASE id % 3 WHEN 0 THEN 'unknown' WHEN 1 THEN 'two words' ELSE 'three more words' END AS essence",
+    )
     return reports.batch_quality(rows, ["main_category", "batch_id"])
 
 
@@ -503,28 +507,29 @@ def _(t):
 STAGED = (
     S.FINGERPRINTS
     + """,
-stage_1 AS (SELECT a.id AS lo, b.id AS hi, 0.98E0 AS confidence, 'exact' AS kind, 1 AS stage FROM fp a JOIN fp b ON a.fingerprint = b.fingerprint AND a.id < b.id AND a.shop_type <> b.shop_type),
-rest_1 AS (SELECT f.id, f.shop_type, v.embedding FROM fp f JOIN product_vectors v ON v.id = f.id WHERE f.id NOT IN (SELECT lo FROM stage_1) AND f.id NOT IN (SELECT hi FROM stage_1)),"""
-    + S.NEIGHBOURS.format(vectors="rest_1", on="TRUE")
+exact AS (SELECT a.fingerprint, count(*) AS pairs FROM fp a JOIN fp b ON a.fingerprint = b.fingerprint AND a.id < b.id AND a.shop_type <> b.shop_type GROUP BY 1),
+grouped AS (SELECT id, min(id) OVER (PARTITION BY fingerprint) AS lo, count(*) OVER (PARTITION BY fingerprint) AS n, pairs FROM fp JOIN exact USING (fingerprint)),
+stage_1 AS (SELECT lo, id AS hi, 0.98E0 AS confidence, 'exact' AS kind, 1 AS stage, n, pairs FROM grouped WHERE id <> lo),
+rest_1 AS (SELECT f.id, f.shop_type, f.main_category AS c, f.normalized_quantity_unit AS u, v.embedding FROM fp f JOIN product_vectors v ON v.id = f.id WHERE f.id NOT IN (SELECT id FROM grouped)),"""
+    + S.NEIGHBOURS.format(vectors="rest_1", on="a.c IS NOT DISTINCT FROM b.c AND a.u = b.u")
     + """,
-stage_2 AS (SELECT least(id_1, id_2) AS lo, greatest(id_1, id_2) AS hi, max(score) AS confidence, 'similar' AS kind, 2 AS stage FROM ranked WHERE rank <= 10 AND score > 0.3 AND shop_type_1 <> shop_type_2 GROUP BY 1, 2),"""
+stage_2 AS (SELECT least(id_1, id_2) AS lo, greatest(id_1, id_2) AS hi, max(score) AS confidence, 'similar' AS kind, 2 AS stage, 2 AS n, 1 AS pairs FROM ranked WHERE rank <= 10 AND score > 0.3 AND shop_type_1 <> shop_type_2 GROUP BY 1, 2),"""
     + S.RULE.replace(
         "FROM products)",
-        "FROM products WHERE id NOT IN (SELECT lo FROM stage_1 UNION ALL SELECT hi FROM stage_1 UNION ALL SELECT lo FROM stage_2 UNION ALL SELECT hi FROM stage_2))",
+        "FROM products WHERE id NOT IN (SELECT id FROM grouped UNION ALL SELECT lo FROM stage_2 UNION ALL SELECT hi FROM stage_2))",
     )
     + """,
-stage_3 AS (SELECT id_1 AS lo, id_2 AS hi, 0.9E0 AS confidence, 'similar' AS kind, 3 AS stage FROM measured WHERE (term_sim >= 0.3E0 OR brand_sim >= 0.8E0) AND rule_score >= 0.5E0 AND id_2 % 2 = 0),
+stage_3 AS (SELECT id_1 AS lo, id_2 AS hi, 0.9E0 AS confidence, 'similar' AS kind, 3 AS stage, 2 AS n, 1 AS pairs FROM measured WHERE (term_sim >= 0.3E0 OR brand_sim >= 0.8E0) AND rule_score >= 0.5E0 AND id_2 % 2 = 0),
 staged AS (SELECT * FROM stage_1 UNION ALL SELECT * FROM stage_2 UNION ALL SELECT * FROM stage_3)"""
 )
 
 
 @query(
     "m12_staged_matches",
-    """SELECT lo AS source_product_id, hi AS target_product_id, confidence, kind AS equivalence_type, stage,
+    """SELECT lo AS source_product_id, hi AS target_product_id, confidence, kind AS equivalence_type, stage, n AS product_count, pairs AS pair_count,
       CASE WHEN confidence >= 0.95 THEN 'approve' WHEN confidence >= 0.85 THEN 'approve_log' WHEN confidence >= 0.70 THEN 'review' ELSE 'reject' END AS action FROM staged""",
     "products product_vectors",
     STAGED,
 )
 def _(t):
-    result = matching.staged_matches(t.products, t.vectors.select("id", "embedding"), even_candidates, threshold=0.3)
-    return result.pairs
+    return matching.staged_matches(t.products, t.vectors.select("id", "embedding"), even_candidates, threshold=0.3)

@@ -302,8 +302,8 @@ def _(t):
 @query(
     "x29_pair_prompts",
     f"""SELECT main_category, normalized_quantity_unit, CAST(floor(position / 10) AS BIGINT) AS batch_id, count(*) AS size,
-      concat('Products in "', main_category, '" (', normalized_quantity_unit, '). List matching pairs:', chr(10),
-        string_agg({LINE}, chr(10) ORDER BY position), chr(10), chr(10), 'Matching pairs (only cross-store matches):') AS prompt
+      concat('Listings of "', main_category, '", sold by ', normalized_quantity_unit, '. Which of them belong together?', chr(10),
+        string_agg({LINE}, chr(10) ORDER BY position), chr(10), chr(10), 'Pairs of different stores:') AS prompt
     FROM placed GROUP BY 1, 2, 3""",
     ctes=f"{S.ACTIVE_ROWS}, {S.ELIGIBLE_ROWS}, {S.INTERLEAVED.format(source='eligible_rows')}",
 )
@@ -311,15 +311,23 @@ def _(t):
     return prompts.pair_prompts(pair_batches(in_eligible_blocks(t.products), 10))
 
 
+SHELF = "CASE id % 6 WHEN 0 THEN 'Zuivel' WHEN 1 THEN 'Vlees' WHEN 2 THEN 'Brood & Gebak' WHEN 3 THEN 'Drogisterij' WHEN 4 THEN 'Elders' END"
+GUIDANCE = "CASE main_category " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in prompts.GUIDANCE.items()) + f" ELSE '{prompts.GUIDANCE[prompts.GUIDANCE_DEFAULT]}' END"
+EXAMPLES = f"'{prompts.LABEL_EXAMPLES}'"
+
+
 @query(
     "x30_label_prompts",
-    """SELECT main_category, batch_id, count(*) AS size, string_agg(concat(CAST(pos % 15 + 1 AS VARCHAR), '. ', title), chr(10) ORDER BY pos) AS titles
-    FROM (SELECT *, CAST(floor(pos / 15) AS BIGINT) AS batch_id FROM (SELECT *, row_number() OVER (PARTITION BY main_category ORDER BY id) - 1 AS pos FROM products) x) y GROUP BY 1, 2""",
+    f"""SELECT main_category, batch_id, count(*) AS size, concat('Name the core product of each Dutch ', coalesce(main_category, ''), ' listing in one to three lower-case words, without brand, quantity and advertising words.', chr(10),
+      {GUIDANCE}, chr(10), {EXAMPLES}, chr(10), string_agg(concat(CAST(pos % 15 + 1 AS VARCHAR), '. ', title), chr(10) ORDER BY pos), chr(10),
+      'Return exactly ', CAST(count(*) AS VARCHAR), ' lines, one per listing, without numbers:') AS prompt
+    FROM (SELECT *, CAST(floor(pos / 15) AS BIGINT) AS batch_id FROM (SELECT *, row_number() OVER (PARTITION BY main_category ORDER BY id) - 1 AS pos
+      FROM (SELECT * REPLACE ({SHELF} AS main_category) FROM products) w) x) y GROUP BY 1, 2""",
 )
 def _(t):
-    rows = prompts.label_prompts(id_batches(t.products, 15), 15)
-    titles = F.regexp_extract("prompt", r'(?s)"halfvolle melk"\n(.*)\nReturn exactly', 1)
-    return rows.select("main_category", "batch_id", "size", titles.alias("titles"))
+    """Categories with guidance of their own, one without, and none."""
+    rows = t.products.withColumn("main_category", F.expr(SHELF))
+    return prompts.label_prompts(id_batches(rows, 15), 15)
 
 
 @query(
@@ -389,9 +397,13 @@ def _(t):
     return t.labels.select("id", scoring.confidence_action(COL("confidence").cast("double")).alias("action"))
 
 
-@query("x38_stamps", "SELECT id, '2024-01-01T00:00:00' AS stamp, '20240101_000000' AS file_stamp FROM product_essences", "product_essences")
+@query(
+    "x38_stamps",
+    "SELECT id, strftime(s, '%Y-%m-%dT%H:%M:%S') AS stamp, strftime(s, '%Y%m%d_%H%M%S') AS file_stamp FROM (SELECT id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST(id * 3607 AS INTEGER)) AS s FROM product_essences) x",
+    "product_essences",
+)
 def _(t):
-    return t.labels.select(
+    return t.labels.withColumn("created_at", F.timestamp_seconds(F.unix_timestamp("created_at") + COL("id") * 3607)).select(
         "id", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss").alias("stamp"), F.date_format("created_at", "yyyyMMdd_HHmmss").alias("file_stamp")
     )
 

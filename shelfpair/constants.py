@@ -21,9 +21,9 @@ LABEL_SYNONYMS = {
 }
 LABEL_SCORES = {"identical": 0.95, "similar": 0.75, "alternative": 0.55}
 
-# Line grammar of a pair answer, and of answers kept in a run log.
+# Line grammar of a pair answer; start of an answer in a run log, and the word of a line that follows one.
 PAIR_PATTERN = r"(?U)\[?(\d+)\]?\s*=\s*\[?(\d+)\]?\s*\((\w+)\)"
-LOG_ANSWER_PATTERN = r"(?d)LLM response \(\d+ chars\): ([^\n]+(?:\n(?!.*INFO)[^\n]+)*)"
+LOG_MARK, LOG_HEAD, LOG_LEVEL = "LLM response (", r"^\d+ chars\): ", "INFO"
 
 # Rule score weights and class thresholds.
 WEIGHT_BRAND, WEIGHT_TERMS, WEIGHT_SIZE, WEIGHT_FEATURES = 0.4, 0.3, 0.2, 0.1

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from shelfpair.functions.text import quantity_text
 from shelfpair.operators.blocking import BLOCK
 
-# First and last line of a pair prompt.
-PAIR_HEADER = 'Products in "%s" (%s). List matching pairs:'
-PAIR_FOOTER = "Matching pairs (only cross-store matches):"
+PAIR_HEADER = 'Listings of "%s", sold by %s. Which of them belong together?'
+PAIR_FOOTER = "Pairs of different stores:"
+
+LABEL_EXAMPLES = (
+    'Examples: "DOVE Deo Roller Original 50 ml" -> "deo roller"; "PLUS Bio Magere Yoghurt 1L" -> "magere yoghurt"'
+)
 
 PAIR_SYSTEM = """\
 Find listings of different stores that a shopper would compare. Never pair two listings of one store.
@@ -79,11 +82,11 @@ def label_prompts(batched: DataFrame, batch_size: int) -> DataFrame:
         F.format_string(
             "Name the core product of each Dutch %s listing in one to three lower-case words, "
             "without brand, quantity and advertising words.\n%s\n"
-            'Examples: "NIVEA Dry Comfort Anti-Transpirant 50 ml" -> "anti-transpirant"; '
-            '"AH Biologische Halfvolle Melk 1L" -> "halfvolle melk"\n%s\n'
+            "%s\n%s\n"
             "Return exactly %s lines, one per listing, without numbers:",
             F.coalesce("main_category", F.lit("")),
             guidance(F.col("main_category")),
+            F.lit(LABEL_EXAMPLES),
             F.col("lines"),
             F.col("size").cast("string"),
         ).alias("prompt"),

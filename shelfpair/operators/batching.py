@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from shelfpair import constants as K
 from shelfpair.functions.text import brand_key
 from shelfpair.operators.blocking import BLOCK, brand_title_order
-from shelfpair.operators.ranking import HOT_ROWS, row_numbers, running_total
-from shelfpair.session import stored
+from shelfpair.operators.ranking import row_numbers, running_total
 
 
-def interleave(products: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def interleave(products: DataFrame) -> DataFrame:
     """Add ``position``: brand by brand, and inside a brand one product of each shop in turn.
 
     The place of a row follows from counts. It comes after all smaller brands of its block, after
@@ -22,16 +21,15 @@ def interleave(products: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     shop_group = [*BLOCK, "_brand", "shop_type"]
     rows = products.withColumn("_brand", brand_key(F.col("brand")))
     first = F.min(F.struct(F.col("brand").isNull(), F.col("brand"), F.col("title").isNull(), "title", "id"))
-    # One row per brand and shop of a block; stored, as its counts also choose the plan below.
-    per_shop = stored(rows.groupBy(*shop_group).agg(F.count("*").alias("n"), first.alias("first")))
-    largest = per_shop.agg(F.max("n")).first()[0] or 0
+    # one row per brand and shop of a block
+    per_shop = rows.groupBy(*shop_group).agg(F.count("*").alias("n"), first.alias("first"))
     per_brand = per_shop.groupBy(*BLOCK, "_brand").agg(
         # one entry per shop
         F.array_sort(F.collect_list(F.struct("first", "shop_type", "n"))).alias("_shops"),
         F.sum("n").alias("_n"),
     )
-    per_brand = running_total(per_brand, BLOCK, [F.col("_brand")], F.col("_n"), "_before", hot_rows)
-    placed = row_numbers(rows, shop_group, brand_title_order(), "_i", hot_rows, largest)
+    per_brand = running_total(per_brand, BLOCK, [F.col("_brand")], F.col("_n"), "_before")
+    placed = row_numbers(rows, shop_group, brand_title_order(), "_i")
 
     def rows_ahead(total: Column, shop: Column, rank: Column) -> Column:
         tie = (rank < F.col("_rank")) & (shop["n"] > F.col("_i"))
@@ -54,9 +52,9 @@ def interleave(products: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def pair_batches(products: DataFrame, batch_size: int = K.PAIR_BATCH, hot_rows: int = HOT_ROWS) -> DataFrame:
+def pair_batches(products: DataFrame, batch_size: int = K.PAIR_BATCH) -> DataFrame:
     """Add ``batch_id`` per block over the interleaved order."""
-    return interleave(products, hot_rows).withColumn(
+    return interleave(products).withColumn(
         "batch_id", F.floor(F.col("position") / batch_size).cast("bigint")
     )
 
@@ -68,9 +66,7 @@ def batches_with_ids(batched: DataFrame, ids: DataFrame) -> DataFrame:
     return batched.join(hit, keys, "left_semi")
 
 
-def id_batches(
-    products: DataFrame, batch_size: int = K.LABEL_BATCH, group: str = "main_category", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def id_batches(products: DataFrame, batch_size: int = K.LABEL_BATCH, group: str = "main_category") -> DataFrame:
     """Add ``position`` and ``batch_id`` per group in id order."""
-    placed = row_numbers(products, [group], [F.col("id")], "position", hot_rows)
+    placed = row_numbers(products, [group], [F.col("id")], "position")
     return placed.withColumn("batch_id", F.floor(F.col("position") / batch_size).cast("bigint"))

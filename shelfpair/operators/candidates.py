@@ -62,14 +62,13 @@ def order_terms(features: DataFrame) -> DataFrame:
     return features.join(ordered, "id", "left").selectExpr(*rest, "coalesce(ordered, terms) AS terms")
 
 
-def _term_pairing(rows: DataFrame, chunk_rows: int) -> DataFrame:
-    """Pairs in a block with a term overlap of at least 0.3.
+def _term_pairing(rows: DataFrame, chunk_rows: int, tenths: int) -> DataFrame:
+    """Pairs in a block with a term overlap of at least ``tenths`` tenths; the figures below are for 0.3.
 
     Titles of n and m terms need ``3 (n + m) / 13`` common ones. With p as the place of the first common
     term in the title of n, at most ``n - p + 1`` are common, so m is at most ``13 (n - p + 1) / 3 - n``:
     the reach of the term. The shorter title looks for the longer one under its own number of terms.
     """
-    tenths = round(10 * K.ALTERNATIVE_TERMS)
     placed = rows.selectExpr("*", "size(terms) AS n", "posexplode(terms) AS (place, term)").selectExpr(
         "*", f"CAST(floor({10 + tenths} * (n - place) / {tenths}) AS INT) - n AS reach"
     ).drop("place")
@@ -83,7 +82,7 @@ def _term_pairing(rows: DataFrame, chunk_rows: int) -> DataFrame:
         once = f"({a('n')} < {b('n')} OR {a('id')} < {b('id')})"
         common = f"array_intersect({a('terms')}, {b('terms')})"
         return (
-            f"{once} AND {_other_shop(a, b)} AND {b('n')} <= {a('reach')} AND {_terms_close(a, b)} "
+            f"{once} AND {_other_shop(a, b)} AND {b('n')} <= {a('reach')} AND {_terms_close(a, b, tenths)} "
             f"AND get({common}, 0) = term"
         )
 
@@ -99,8 +98,8 @@ def _overlap(a, b) -> str:
     return similarity.token_overlap(a("terms"), b("terms"))
 
 
-def _terms_close(a, b) -> str:
-    return similarity.overlap_at_least(a("terms"), b("terms"), round(10 * K.ALTERNATIVE_TERMS))
+def _terms_close(a, b, tenths: int) -> str:
+    return similarity.overlap_at_least(a("terms"), b("terms"), tenths)
 
 
 def _size(a, b) -> str:
@@ -111,7 +110,7 @@ def _features(a, b) -> str:
     return similarity.feature_agreement(a("bio"), b("bio"), a("diet"), b("diet"))
 
 
-def _brand_pairing(rows: DataFrame, kept, chunk_rows: int) -> DataFrame:
+def _brand_pairing(rows: DataFrame, kept, chunk_rows: int, min_brand: float) -> DataFrame:
     """Pairs in a block with equal or near brands for which ``kept`` holds.
 
     ``brand_ratio`` comes with the brand pair, so it is not computed again per pair of products.
@@ -121,7 +120,7 @@ def _brand_pairing(rows: DataFrame, kept, chunk_rows: int) -> DataFrame:
     same = pair_within(equal, ["block", "key_brand"], "id", kept, chunk_rows)
     # stored, so that the key expressions run once per brand and are not pushed below the distinct
     brands = stored(known.selectExpr("brand_norm AS brand").distinct())
-    edges = stored(near_brands(brands, K.SIMILAR_BRAND))  # small, used by both sides
+    edges = stored(near_brands(brands, min_brand))  # small, used by both sides
 
     def side(own: str) -> DataFrame:
         own_edges = edges.selectExpr(
@@ -134,31 +133,36 @@ def _brand_pairing(rows: DataFrame, kept, chunk_rows: int) -> DataFrame:
 
 
 def candidate_pairs(
-    features: DataFrame, brand_case_score: float | None = K.SIMILAR_SCORE, chunk_rows: int = CHUNK_ROWS
+    features: DataFrame,
+    brand_case_score: float | None = K.SIMILAR_SCORE,
+    chunk_rows: int = CHUNK_ROWS,
+    min_terms: float = K.ALTERNATIVE_TERMS,
+    min_brand: float = K.SIMILAR_BRAND,
 ) -> DataFrame:
     """Cross-shop pairs of a block that can still be classified, each once, with their measures.
 
-    Kept: term overlap >= 0.3, or brand similarity >= 0.8 with a rule score >= ``brand_case_score``
-    (None: any score, for callers that bring their own).
+    Kept: term overlap >= ``min_terms`` (a multiple of 0.1 above 0), or brand similarity >= ``min_brand``
+    with a rule score >= ``brand_case_score`` (None: any score, for callers that bring their own).
     """
+    tenths = round(10 * min_terms)
     # Read by all branches below: written once, so titles are parsed once.
     masks = f"{similarity.character_masks('brand_norm')} AS masks"
     rows = stored(order_terms(features.selectExpr("*", masks)))
 
     by_term = add_measures(
-        _term_pairing(rows, chunk_rows), similarity.brand_similarity("brand_norm_1", "brand_norm_2", "masks_1")
+        _term_pairing(rows, chunk_rows, tenths), similarity.brand_similarity("brand_norm_1", "brand_norm_2", "masks_1")
     ).drop("masks_1", "masks_2")
 
     def shares_brand(a, b) -> str:
-        apart = f"(size({a('terms')}) = 0 OR NOT {_terms_close(a, b)})"
+        apart = f"(size({a('terms')}) = 0 OR NOT {_terms_close(a, b, tenths)})"
         if brand_case_score is None:
             return f"{_other_shop(a, b)} AND {apart}"
         score = lambda terms: scoring.rule_score(a("brand_ratio"), terms, _size(a, b), _features(a, b))
         # No array is compared while the largest overlap of this case leaves the score too low.
-        possible = f"{score(f'{K.ALTERNATIVE_TERMS}D')} >= {brand_case_score}D"
+        possible = f"{score(f'{min_terms}D')} >= {brand_case_score}D"
         return f"{_other_shop(a, b)} AND {possible} AND {apart} AND {score(_overlap(a, b))} >= {brand_case_score}D"
 
-    by_brand = add_measures(_brand_pairing(rows, shares_brand, chunk_rows), "brand_ratio_1")
+    by_brand = add_measures(_brand_pairing(rows, shares_brand, chunk_rows, min_brand), "brand_ratio_1")
     return by_term.unionByName(by_brand.drop("brand_ratio_1", "brand_ratio_2"))
 
 

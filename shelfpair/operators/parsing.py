@@ -36,6 +36,11 @@ def canonical(pairs: DataFrame, a: str = "id_a", b: str = "id_b") -> DataFrame:
     return pairs.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"), *rest)
 
 
+def distinct_ends(pairs: DataFrame) -> DataFrame:
+    """Pairs (lo, hi) of two different ids."""
+    return pairs.filter(F.col("lo") != F.col("hi"))
+
+
 def first_of_each_pair(pairs: DataFrame, order: list[str], within: list[str] | None = None) -> DataFrame:
     return first_per_key(pairs, [*(within or []), "lo", "hi"], order)
 
@@ -61,11 +66,22 @@ def parse_pairs(responses: DataFrame, keys: list[str], members: DataFrame, group
 
 
 def log_answers(logs: DataFrame) -> DataFrame:
-    """Distinct answers kept in run logs (columns path, value), at their first place."""
-    found = logs.select(
-        "path", F.posexplode(F.regexp_extract_all("value", F.lit(K.LOG_ANSWER_PATTERN), F.lit(1))).alias("block_no", "raw")
-    ).select("path", "block_no", strip(F.col("raw")).alias("response_text"))
-    return first_per_key(found, ["response_text"], ["path", "block_no"])
+    """Distinct answers kept in run logs (path, place, value: see ``read_logs``), at their first place.
+
+    An answer ends before the first empty line and before the first line of the log itself. Its first line is not empty.
+    """
+    head = F.regexp_extract("value", K.LOG_HEAD, 0)
+    lines = F.split(F.substr("value", F.length(head) + 1), "\n", -1)
+    ends = F.transform("lines", lambda line, k: (k > 0) & ((line == "") | line.contains(K.LOG_LEVEL)))
+    found = (
+        logs.filter(head != "")
+        .select("path", F.col("place").alias("block_no"), lines.alias("lines"))
+        .withColumn("stop", F.array_position(ends, True))
+        .filter(F.get("lines", F.lit(0)) != "")
+    )
+    kept = F.when(F.col("stop") > 0, F.slice("lines", F.lit(1), F.col("stop").cast("int") - 1)).otherwise(F.col("lines"))
+    answers_only = found.select("path", "block_no", strip(F.array_join(kept, "\n")).alias("response_text"))
+    return first_per_key(answers_only, ["response_text"], ["path", "block_no"])
 
 
 def log_pairs(responses: DataFrame, order: list[str]) -> DataFrame:

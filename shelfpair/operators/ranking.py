@@ -1,8 +1,7 @@
 """Running totals and row numbers inside groups of any size.
 
-A plain window sorts a whole group in one task. That is the right plan while the largest group is
-known to be small; beyond ``hot_rows`` the rows are range-partitioned by (group, order), each
-partition is numbered by itself, and the totals of earlier partitions are added.
+A plain window would sort a whole group in one task. Here rows are range-partitioned by (group, order), each
+partition is numbered by itself, and the totals of earlier partitions are added, so a group may have any size.
 """
 
 from __future__ import annotations
@@ -12,33 +11,10 @@ from pyspark.sql import functions as F
 
 from shelfpair.session import shuffle_partitions, stored
 
-HOT_ROWS = 1_000_000
-
-
-def largest_group(df: DataFrame, group: list[str]) -> int:
-    sizes = df.groupBy(*group).agg(F.count("*").alias("n")) if group else df.agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
-def running_total(
-    df: DataFrame,
-    group: list[str],
-    order: list[Column],
-    value: Column,
-    out: str,
-    hot_rows: int = HOT_ROWS,
-    largest: int | None = None,
-) -> DataFrame:
-    """Sum of ``value`` over the earlier rows of the group. ``order`` must end in a unique key.
-
-    ``largest``: rows of the largest group, counted here when it is not known.
-    """
+def running_total(df: DataFrame, group: list[str], order: list[Column], value: Column, out: str) -> DataFrame:
+    """Sum of ``value`` over the earlier rows of the group. ``order`` must end in a unique key."""
     before = (Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
-    if group and (largest_group(df, group) if largest is None else largest) <= hot_rows:
-        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(*before)
-        return df.withColumn(out, F.coalesce(F.sum(value.cast("bigint")).over(w), zero))
-
     n = shuffle_partitions(df.sparkSession)
     # The partition number is data from here on, so it has to be stored, not computed twice.
     placed = stored(
@@ -66,16 +42,9 @@ def running_total(
     )
 
 
-def row_numbers(
-    df: DataFrame,
-    group: list[str],
-    order: list[Column],
-    out: str,
-    hot_rows: int = HOT_ROWS,
-    largest: int | None = None,
-) -> DataFrame:
+def row_numbers(df: DataFrame, group: list[str], order: list[Column], out: str) -> DataFrame:
     """Zero-based position of each row in its group. ``order`` must end in a unique key."""
-    return running_total(df, group, order, F.lit(1), out, hot_rows, largest)
+    return running_total(df, group, order, F.lit(1), out)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

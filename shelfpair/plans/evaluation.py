@@ -11,6 +11,7 @@ from shelfpair.functions.inference import TextFunction, ask
 from shelfpair.functions.prompts import match_prompt
 from shelfpair.operators.blocking import BLOCK, evaluation_blocks, with_block
 from shelfpair.operators.ranking import top_per_group
+from shelfpair.session import stored
 
 
 def largest_evaluation_blocks(products: DataFrame, n: int = 2) -> DataFrame:
@@ -41,8 +42,10 @@ def sample_pairs(products: DataFrame, blocks: DataFrame, per_shop: int = K.EVALU
     )
 
 
-def limit_pairs(pairs: DataFrame) -> DataFrame:
-    """At most 15 meaningful pairs per block; with fewer than 5, fill up to 10 with non-matches.
+def limit_pairs(
+    pairs: DataFrame, most: int = K.EVALUATION_MAX_PAIRS, least: int = K.EVALUATION_MIN_PAIRS, fill: int = K.EVALUATION_FILL
+) -> DataFrame:
+    """At most ``most`` meaningful pairs per block; with fewer than ``least``, fill up to ``fill`` with non-matches.
 
     A block gives ``per_shop`` squared pairs for every two shops, so its window stays small.
     """
@@ -51,27 +54,30 @@ def limit_pairs(pairs: DataFrame) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*BLOCK).orderBy(empty, *order))
     meaningful = F.count_if(~empty).over(Window.partitionBy(*BLOCK))
     ranked = pairs.withColumns({"pair_rank": rank, "_meaningful": meaningful})
-    few = F.col("_meaningful") < K.EVALUATION_MIN_PAIRS
-    keep = F.when(few, F.col("pair_rank") <= K.EVALUATION_FILL).otherwise(
-        ~empty & (F.col("pair_rank") <= K.EVALUATION_MAX_PAIRS)
+    few = F.col("_meaningful") < least
+    keep = F.when(few, F.col("pair_rank") <= fill).otherwise(
+        ~empty & (F.col("pair_rank") <= most)
     )
     return ranked.filter(keep).drop("_meaningful")
 
 
 def predictions(pairs: DataFrame, models: dict[str, TextFunction]) -> DataFrame:
-    """Answers of every model for every pair: model, grp, pair ids, expected, response, error."""
+    """Answers of every model for every pair: model, grp, pair ids, expected, response, error.
+
+    A model that fails is recorded with its message; the other models go on.
+    """
     prompts = pairs.select(
         F.concat_ws("_", *BLOCK).alias("grp"), "id_1", "id_2", "expected",
         match_prompt(F.col("title_1"), F.col("shop_type_1"), F.col("title_2"), F.col("shop_type_2")).alias("prompt"),
     )
     parts = [
-        ask(prompts, answer, out="response").drop("prompt").select(F.lit(name).alias("model"), "*")
+        ask(prompts, answer, out="response", error="error").drop("prompt").select(F.lit(name).alias("model"), "*")
         for name, answer in models.items()
     ]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
-    return result.withColumn("error", F.lit(None).cast("string"))
+    return result
 
 
 def scored(answers_df: DataFrame) -> DataFrame:
@@ -130,7 +136,19 @@ def rejected_samples(pairs: DataFrame, n: int = 5) -> DataFrame:
     return pairs.filter(F.col("expected") == "no_match").orderBy("id_1", "id_2").limit(n)
 
 
-def evaluate(products: DataFrame, models: dict[str, TextFunction]) -> DataFrame:
-    """Answers of all models on the sample pairs of the two largest blocks."""
-    blocks = largest_evaluation_blocks(products)
-    return predictions(limit_pairs(sample_pairs(products, blocks)), models)
+def evaluate(
+    products: DataFrame,
+    models: dict[str, TextFunction],
+    n_blocks: int = 2,
+    per_shop: int = K.EVALUATION_PER_SHOP,
+    most: int = K.EVALUATION_MAX_PAIRS,
+) -> DataFrame:
+    """Answers of all models on at most ``most`` sample pairs of each of the ``n_blocks`` largest blocks.
+
+    Fails if the catalogue has fewer blocks that can be evaluated.
+    """
+    blocks = stored(largest_evaluation_blocks(products, n_blocks))
+    found = blocks.count()  # at most n_blocks rows
+    if found < n_blocks:
+        raise ValueError(f"{n_blocks} blocks to evaluate are asked for, there are {found}")
+    return predictions(limit_pairs(sample_pairs(products, blocks, per_shop), most), models)

@@ -43,15 +43,17 @@ def label_products(
     if preview:
         batched = batched.filter(F.col("batch_id") == 0)
     batched = stored(batched.withColumn("slot", (F.col("position") % batch_size).cast("int")))
-    replies = stored(ask(label_prompts(batched, batch_size).select(*BATCH, "prompt"), answer).drop("prompt"))
+    prompts = label_prompts(batched, batch_size).select(*BATCH, "prompt")
+    replies = stored(ask(prompts, answer, millis="processing_time_ms").drop("prompt"))
     rows = parsing.label_rows(batched, replies, BATCH)
     if preview:
         return LabelResult(rows, None)
-    incoming = rows.select(
+    timed = rows.join(replies.select(*BATCH, "processing_time_ms"), BATCH)
+    incoming = timed.select(
         F.col("id").alias("product_id"),
         "essence",
         "confidence",
         F.lit(model_version).alias("model_version"),
-        F.lit(None).cast("int").alias("processing_time_ms"),
+        "processing_time_ms",
     )
     return LabelResult(rows, merging.merge_labels(labels, incoming, ["product_id"]))

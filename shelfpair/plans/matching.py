@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +15,6 @@ from shelfpair.operators.ranking import row_numbers
 from shelfpair.operators.vectors import cross_shop_neighbours, pairs_above
 from shelfpair.session import stored
 
-EXACT_GROUP_ROWS = 1000
-
-
 def rule_matches(products: DataFrame) -> DataFrame:
     """All identical, similar and alternative pairs of a catalogue by rule score. Ids must be unique."""
     features = C.add_features(C.fill_missing(products))
@@ -41,25 +36,27 @@ def vector_matches(products: DataFrame, vectors: DataFrame | None = None, encode
 
     ``vectors``: id and embedding, or ``encode`` turns descriptions into them. A pair is kept only
     with term overlap >= 0.3, brand similarity >= 0.8, or a score >= 0.8; the first two cases come from
-    the candidate pairs, the third from the vectors themselves.
+    the candidate pairs, the third from the vectors themselves. A pair in which a product has no
+    vector is scored by the rules, and its method says so: no product is left out.
     """
     if vectors is None and encode is None:
         return rule_matches(products)
     if vectors is None:
         vectors = stored(embed(embedding_texts(products), encode).select("id", "embedding"))
-    features = C.add_features(C.fill_missing(products)).join(vectors.select("id", "embedding"), "id")
+    features = C.add_features(C.fill_missing(products)).join(vectors.select("id", "embedding"), "id", "left")
     features = stored(features)
     near = C.candidate_pairs(features.drop("embedding"), brand_case_score=None)
     vector = lambda side: vectors.select(F.col("id").alias(f"id_{side}"), F.col("embedding").alias(f"vec_{side}"))
     near = (
-        near.join(vector("1"), "id_1")
-        .join(vector("2"), "id_2")
-        .selectExpr("*", f"round({similarity.dot('vec_1', 'vec_2')}, 9) AS score")
+        near.join(vector("1"), "id_1", "left")
+        .join(vector("2"), "id_2", "left")
+        .selectExpr("*", f"round({similarity.dot('vec_1', 'vec_2')}, 9) AS score", "vec_1 IS NULL OR vec_2 IS NULL AS by_rules")
         .drop("vec_1", "vec_2")
     )
+    near = stored(near)  # scored once, read for both methods
     # Pairs close in vector space only.
     close = pairs_above(
-        features.select("block", "id", "shop_type", "embedding"), K.SIMILAR_SCORE_ALONE, ["block"]
+        features.filter("embedding IS NOT NULL").select("block", "id", "shop_type", "embedding"), K.SIMILAR_SCORE_ALONE, ["block"]
     ).select("id_1", "id_2", "score")
     plain = features.drop("embedding").selectExpr("*", f"{similarity.character_masks('brand_norm')} AS masks")
     renamed = lambda n: [f"{c} AS {c}_{n}" for c in plain.columns if c != "block"]
@@ -67,7 +64,8 @@ def vector_matches(products: DataFrame, vectors: DataFrame | None = None, encode
     close = C.add_measures(close, similarity.brand_similarity("brand_norm_1", "brand_norm_2", "masks_1"))
     close = close.drop("masks_1", "masks_2")
     close = close.filter((F.col("term_sim") < K.ALTERNATIVE_TERMS) & (F.col("brand_sim") < K.SIMILAR_BRAND))
-    return C.classified(near.unionByName(close), "score", "semantic")
+    ruled = C.classified(near.filter("by_rules"))
+    return C.classified(near.filter("NOT by_rules").drop("by_rules").unionByName(close), "score", "semantic").unionByName(ruled)
 
 
 # staged matcher
@@ -103,14 +101,32 @@ def exact_members(fingerprinted: DataFrame) -> DataFrame:
     return fingerprinted.select("fingerprint", "id", "shop_type").join(groups, "fingerprint")
 
 
-def exact_pairs(fingerprinted: DataFrame, group_rows: int = EXACT_GROUP_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Cross-shop pairs of equal fingerprint for groups of up to ``group_rows`` products.
+def exact_matches(fingerprinted: DataFrame) -> DataFrame:
+    """The exact matches in linear size: the lowest id of each group with each other member.
 
-    Larger groups (many copies) are complete in :func:`exact_members`, whose size is linear.
+    product_count and pair_count tell the size of the group and its number of cross-shop pairs;
+    :func:`exact_pairs` lists those. A member of the lowest id's own shop is in the group through the other shops.
+    """
+    first = fingerprinted.groupBy("fingerprint").agg(F.min("id").alias("first"))
+    return (
+        exact_members(fingerprinted)
+        .join(first, "fingerprint")
+        .filter(F.col("id") != F.col("first"))
+        .select(
+            F.col("first").alias("source_product_id"), F.col("id").alias("target_product_id"),
+            F.lit(K.EXACT_CONFIDENCE).alias("confidence"), F.lit("exact").alias("equivalence_type"),
+            "product_count", "pair_count",
+        )
+    )
+
+
+def exact_pairs(fingerprinted: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Cross-shop pairs of equal fingerprint, all of them: their number grows with the square of a group.
+
+    The pairs of a large group are spread over many tasks. Whoever needs groups only takes :func:`exact_matches`.
     """
-    rows = exact_members(fingerprinted).filter(F.col("product_count") <= group_rows)
     pairs = pair_within(
-        rows.select("fingerprint", "id", "shop_type"),
+        exact_members(fingerprinted).select("fingerprint", "id", "shop_type"),
         ["fingerprint"],
         "id",
         lambda a, b: f"{a('shop_type')} <> {b('shop_type')}",
@@ -144,17 +160,20 @@ def neighbour_pairs(vectors: DataFrame, k: int = K.NEIGHBOURS, threshold: float
     )
 
 
-def loose_candidates(products: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Candidate pairs of products that are still unmatched, with a relaxed rule score."""
+def loose_candidates(
+    products: DataFrame, threshold: float = 0.5, min_terms: float = K.ALTERNATIVE_TERMS, min_brand: float = K.SIMILAR_BRAND
+) -> DataFrame:
+    """Cross-shop pairs of a block with a rule score of at least ``threshold`` that have something in common.
+
+    That is a term overlap of at least ``min_terms`` (a multiple of 0.1 above 0) or a brand similarity of at least ``min_brand``.
+    """
     features = C.add_features(C.fill_missing(products))
-    return C.candidate_pairs(features, brand_case_score=threshold).filter(F.col("rule_score") >= threshold)
+    pairs = C.candidate_pairs(features, brand_case_score=threshold, min_terms=min_terms, min_brand=min_brand)
+    return pairs.filter(F.col("rule_score") >= threshold)
 
 
 def candidate_questions(candidates: DataFrame) -> DataFrame:
-    """(source, candidate) rows in prompt order; each pair is asked once, from its lower id.
-
-    The rows are stored before they are numbered, as the numbering first looks at the group sizes.
-    """
+    """(source, candidate) rows in prompt order; each pair is asked once, from its lower id."""
     describe = F.format_string("%s | %s | %s", "shop_type_1", "brand_1", "title_1")
     rows = candidates.select(
         F.col("id_1").alias("source_id"),
@@ -165,7 +184,7 @@ def candidate_questions(candidates: DataFrame) -> DataFrame:
         F.col("title_2").alias("candidate_title"),
         F.col("rule_score"),
     )
-    return row_numbers(stored(rows), ["source_id"], [F.col("rule_score").desc(), F.col("candidate_id")], "position")
+    return row_numbers(rows, ["source_id"], [F.col("rule_score").desc(), F.col("candidate_id")], "position")
 
 
 def parse_candidate_answers(responses: DataFrame, text_column: str = "response_text") -> DataFrame:
@@ -182,31 +201,28 @@ def parse_cluster_answers(responses: DataFrame, keys: list[str], text_column: st
     )
 
 
-@dataclass
-class StagedResult:
-    pairs: DataFrame  # source, target, confidence, class, stage, action
-    large_exact_groups: DataFrame  # members of exact groups too large to list as pairs
-
-
 def staged_matches(
     products: DataFrame,
     vectors: DataFrame,
     answer: TextFunction,
     k: int = K.NEIGHBOURS,
     threshold: float = K.NEIGHBOUR_THRESHOLD,
-    group_rows: int = EXACT_GROUP_ROWS,
-) -> StagedResult:
+) -> DataFrame:
     """Fingerprints first, then vector neighbours of the rest, then a model for what remains.
 
-    ``vectors``: id and embedding. Later stages see only products that are in no pair so far.
+    Result: source and target id, confidence, class, stage, action, product_count and pair_count. A row of
+    stage 1 ties a product to the lowest id of its exact group (see :func:`exact_matches`); rows of the
+    later stages are pairs. ``vectors``: id and embedding. Neighbours are sought within a block (category and unit).
+    Later stages see only products that no earlier stage has matched; one without a vector goes on to stage 3.
     """
     rows = stored(with_fingerprint(products))
     members = exact_members(rows)
-    stage_1 = exact_pairs(rows, group_rows).withColumn("stage", F.lit(1))
+    stage_1 = exact_matches(rows).withColumn("stage", F.lit(1))
     rest = rows.join(members.select("id"), "id", "left_anti")
 
-    described = rest.select("id", "shop_type").join(vectors.select("id", "embedding"), "id")
-    stage_2 = stored(neighbour_pairs(described, k, threshold)).withColumn("stage", F.lit(2))
+    block = text.block_key(F.col("main_category"), F.col("normalized_quantity_unit")).alias("block")
+    described = rest.select("id", "shop_type", block).join(vectors.select("id", "embedding"), "id")
+    stage_2 = stored(neighbour_pairs(described, k, threshold, ["block"])).withColumn("stage", F.lit(2))
     matched = stage_2.select(F.explode(F.array("source_product_id", "target_product_id")).alias("id"))
     rest = rest.join(matched, "id", "left_anti").drop("fingerprint")
 
@@ -224,7 +240,7 @@ def staged_matches(
             F.lit(3).alias("stage"),
         )
     )
-    pairs = combine_scores(stage_1.unionByName(stage_2).unionByName(stage_3)).withColumn(
-        "action", scoring.confidence_action(F.col("confidence"))
+    pairs = combine_scores(stage_2.unionByName(stage_3)).withColumns(
+        {"product_count": F.lit(2).cast("bigint"), "pair_count": F.lit(1).cast("bigint")}
     )
-    return StagedResult(pairs, members.filter(F.col("product_count") > group_rows))
+    return stage_1.unionByName(pairs).withColumn("action", scoring.confidence_action(F.col("confidence")))

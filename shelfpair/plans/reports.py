@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from shelfpair import constants as K
 from shelfpair.functions import scoring, text
 from shelfpair.operators.blocking import BLOCK, active, block_inventory, paired_ids, with_block
-
-SHOPS = ["AH", "JUMBO", "PLUS", "ALDI"]
+from shelfpair.operators.pairing import pair_within
 
 
 def mean(column: str, digits: int) -> Column:
@@ -51,6 +50,11 @@ def statistics(products: DataFrame, pairs: DataFrame) -> DataFrame:
     return blocks.unionByName(total).unionByName(by_type)
 
 
+def class_scores(pairs: DataFrame) -> DataFrame:
+    """Stored pairs and their average score per class."""
+    return pairs.groupBy("equivalence_type").agg(F.count("*").alias("n"), mean("similarity_score", 3).alias("avg_score"))
+
+
 def pairs_from(pairs: DataFrame, product_id: int) -> DataFrame:
     return pairs.filter(F.col("source_product_id") == product_id).select(
         "target_product_id", "equivalence_type", "similarity_score"
@@ -195,13 +199,21 @@ def brand_blocks(products: DataFrame) -> DataFrame:
     )
 
 
-def brand_by_shop(products: DataFrame, shops: list[str] | None = None) -> DataFrame:
-    """Products per brand and shop, and whether the brand is sold in several shops."""
-    shops = shops or SHOPS
-    counts = [F.count_if(F.col("shop_type") == s).alias(s.lower()) for s in shops]
-    return products.filter(F.col("brand").isNotNull()).groupBy("brand").agg(
-        *counts, (F.countDistinct("shop_type") > 1).alias("shared")
+def brand_block_pairs(products: DataFrame) -> DataFrame:
+    """Cross-shop pairs of one category, unit and known brand: the third blocking level as a join."""
+    rows = with_block(active(products)).select(
+        *BLOCK, text.normalize_brand(F.coalesce("brand", F.lit("Unknown"))).alias("brand_norm"), "id", "shop_type"
     )
+    known = rows.filter(F.col("brand_norm") != "unknown")
+    pairs = pair_within(known, [*BLOCK, "brand_norm"], "id", lambda a, b: f"{a('shop_type')} <> {b('shop_type')}")
+    return pairs.select("id_1", "id_2")
+
+
+def brand_by_shop(products: DataFrame) -> DataFrame:
+    """Products per brand and shop, one row each, and whether the brand is sold in several shops."""
+    counts = products.filter(F.col("brand").isNotNull()).groupBy("brand", "shop_type").agg(F.count("*").alias("product_count"))
+    shared = counts.groupBy("brand").agg((F.countDistinct("shop_type") > 1).alias("shared"))
+    return counts.join(shared, "brand")
 
 
 # labels

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfpair import constants as K
-from shelfpair.functions.inference import TextFunction, ask
-from shelfpair.functions.prompts import pair_prompts
+from shelfpair.functions.inference import TextFunction, ask, ask_cached
+from shelfpair.functions.prompts import PAIR_SYSTEM, pair_prompts
 from shelfpair.operators import blocking, merging, parsing
 from shelfpair.operators.batching import batches_with_ids, pair_batches
 from shelfpair.operators.blocking import BLOCK
@@ -23,24 +23,30 @@ PAIR_COLUMNS = ["source_product_id", "target_product_id", "equivalence_type", "s
 class RunResult:
     parsed: DataFrame  # valid pairs per answer: block, batch_id, line_no, ids, class, score
     merged: DataFrame | None  # new pair table with an action column; None for a dry run
+    cache: DataFrame | None = None  # answers by prompt, with the new ones; None if no cache was given
 
 
-def answered_pairs(batched: DataFrame, answer: TextFunction) -> DataFrame:
-    """Ask once per batch and read the valid pairs; batches without an answer are skipped.
+def answered_pairs(
+    batched: DataFrame, members: DataFrame, answer: TextFunction, cache: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Ask once per batch and read the pairs between ``members``; batches without an answer are skipped.
 
-    The answers are stored before they are read, so no batch is asked twice.
+    The answers are stored before they are read, so no batch is asked twice. With a ``cache`` of earlier
+    answers only new prompts are asked; the cache with the new answers comes back too.
     """
-    prompts = pair_prompts(batched)
-    replies = stored(ask(prompts.select(*BATCH, "prompt"), answer).drop("prompt"))
+    prompts = pair_prompts(batched).select(*BATCH, "prompt")
+    if cache is None:
+        replies, renewed = stored(ask(prompts, answer, system=PAIR_SYSTEM).drop("prompt")), None
+    else:
+        replies, renewed = ask_cached(prompts, answer, cache, PAIR_SYSTEM)
     replies = replies.filter(F.col("response_text").isNotNull())
-    pairs = parsing.parse_pairs(replies, BATCH, batched.select(*BLOCK, "id", "shop_type"), BLOCK)
-    return pairs.withColumnsRenamed({"lo": "source_product_id", "hi": "target_product_id"})
+    pairs = parsing.parse_pairs(replies, BATCH, members.select(*BLOCK, "id", "shop_type"), BLOCK)
+    return pairs.withColumnsRenamed({"lo": "source_product_id", "hi": "target_product_id"}), renewed
 
 
-def _finish(parsed: DataFrame, stored_pairs: DataFrame, dry_run: bool) -> RunResult:
-    if dry_run:
-        return RunResult(parsed, None)
-    return RunResult(parsed, merging.merge_pairs(stored_pairs, parsed, [*BATCH, "line_no"]))
+def _finish(parsed: DataFrame, renewed: DataFrame | None, stored_pairs: DataFrame, dry_run: bool) -> RunResult:
+    merged = None if dry_run else merging.merge_pairs(stored_pairs, parsed, [*BATCH, "line_no"])
+    return RunResult(parsed, merged, renewed)
 
 
 def full_run(
@@ -49,10 +55,11 @@ def full_run(
     answer: TextFunction,
     batch_size: int = K.PAIR_BATCH_RUN,
     dry_run: bool = False,
+    cache: DataFrame | None = None,
 ) -> RunResult:
     """All blocks with at least two products and two shops, in one job."""
     batched = stored(pair_batches(blocking.in_eligible_blocks(products), batch_size))
-    return _finish(answered_pairs(batched, answer), stored_pairs, dry_run)
+    return _finish(*answered_pairs(batched, batched, answer, cache), stored_pairs, dry_run)
 
 
 def block_run(
@@ -62,11 +69,12 @@ def block_run(
     answer: TextFunction,
     batch_size: int = K.PAIR_BATCH_RUN,
     dry_run: bool = False,
+    cache: DataFrame | None = None,
 ) -> RunResult:
     """One block, named ``category|unit``."""
     category, unit = blocking.parse_block_argument(block)
     rows = products.filter((F.col(BLOCK[0]) == category) & (F.col(BLOCK[1]) == unit))
-    return full_run(rows, stored_pairs, answer, batch_size, dry_run)
+    return full_run(rows, stored_pairs, answer, batch_size, dry_run, cache)
 
 
 def incremental_run(
@@ -75,6 +83,7 @@ def incremental_run(
     answer: TextFunction,
     batch_size: int = K.PAIR_BATCH_RUN,
     dry_run: bool = False,
+    cache: DataFrame | None = None,
 ) -> RunResult:
     """Clean up, then ask only about batches that hold a product without a pair.
 
@@ -86,12 +95,8 @@ def incremental_run(
     affected = eligible.join(unmatched, "id", "left_semi").select(*BLOCK).distinct()
     batched = stored(pair_batches(eligible.join(affected, BLOCK, "left_semi"), batch_size))
     # Ids of the whole block are valid answers, prompts go out for the affected batches only.
-    prompts = pair_prompts(batches_with_ids(batched, unmatched))
-    replies = stored(ask(prompts.select(*BATCH, "prompt"), answer).drop("prompt"))
-    replies = replies.filter(F.col("response_text").isNotNull())
-    parsed = parsing.parse_pairs(replies, BATCH, batched.select(*BLOCK, "id", "shop_type"), BLOCK)
-    parsed = parsed.withColumnsRenamed({"lo": "source_product_id", "hi": "target_product_id"})
-    return _finish(parsed, live, dry_run)
+    parsed, renewed = answered_pairs(batches_with_ids(batched, unmatched), batched, answer, cache)
+    return _finish(parsed, renewed, live, dry_run)
 
 
 def pairs_per_block(parsed: DataFrame) -> DataFrame:
@@ -106,8 +111,6 @@ def pairs_per_block(parsed: DataFrame) -> DataFrame:
 def recover(logs: DataFrame, products: DataFrame, stored_pairs: DataFrame) -> RunResult:
     """Pairs named in logged answers; both ends must be active, and different."""
     found = parsing.log_pairs(parsing.log_answers(logs), ["path", "block_no"])
-    found = found.filter(F.col("lo") != F.col("hi")).withColumnsRenamed(
-        {"lo": "source_product_id", "hi": "target_product_id"}
-    )
+    found = parsing.distinct_ends(found).withColumnsRenamed({"lo": "source_product_id", "hi": "target_product_id"})
     valid = blocking.live_pairs(found, products)
     return RunResult(valid, merging.merge_pairs(stored_pairs, valid, ["path", "block_no", "line_no"]))

@@ -2,32 +2,25 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = _path(spark, path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
 def versions(spark: SparkSession, base: str) -> list[int]:
-    """Complete versions of a table, oldest first; a version without its success mark is ignored."""
-    fs, path = _file_system(spark, base)
-    if not fs.exists(path):
-        return []
-    names = [s.getPath() for s in fs.listStatus(path)]
-    done = [p for p in names if p.getName().startswith("v=") and fs.exists(_path(spark, f"{p}/_SUCCESS"))]
-    return sorted(int(p.getName()[2:]) for p in done)
+    """Versions of a table, oldest first: the partitions ``v=...`` of its folder that hold files."""
+    try:
+        found = spark.read.parquet(base).select("v").distinct().collect()
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return []
+        raise
+    return sorted(r.v for r in found)
 
 
 def write_snapshot(df: DataFrame, base: str, partition_by: str | None = None, sort_by: str | None = None) -> int:
-    """Write the next version; readers see it when it is complete. Returns its number."""
+    """Write the next version. Returns its number."""
     number = (versions(df.sparkSession, base) or [0])[-1] + 1
     rows = df.sortWithinPartitions(sort_by) if sort_by else df
     writer = rows.write.mode("overwrite")
@@ -38,11 +31,11 @@ def write_snapshot(df: DataFrame, base: str, partition_by: str | None = None, so
 
 
 def read_snapshot(spark: SparkSession, base: str, schema: StructType, version: int | None = None) -> DataFrame:
-    """The given or the latest complete version; an empty table when there is none."""
-    known = versions(spark, base)
-    if not known:
+    """The given or the latest version; an empty table when there is none."""
+    number = version or (versions(spark, base) or [0])[-1]
+    if not number:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{base}/v={version or known[-1]}")
+    return spark.read.schema(schema).parquet(f"{base}/v={number}")
 
 
 def cache_key(*parts: Column) -> Column:

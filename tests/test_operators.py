@@ -1,6 +1,7 @@
 """Pairing, ranking, batching, parsing and merging on small tables, also on the paths for hot groups."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from shelfpair.operators.candidates import add_features, candidate_pairs
 from shelfpair.operators.pairing import pair_across, pair_within
 from shelfpair.operators.ranking import row_numbers, running_total
 from shelfpair.operators.vectors import pairs_above, top_neighbours
-from shelfpair.plans import matching, runs
-from shelfpair.schemas import PAIRS, PRODUCTS
+from shelfpair.plans import evaluation, labelling, matching, runs
+from shelfpair.schemas import LABELS, PAIRS, PRODUCTS
+from shelfpair.sources import files
 
 
 def products(spark, n=120, seed=1, blocks=2):
@@ -84,28 +86,25 @@ def test_candidates_do_not_depend_on_chunks(spark, chunk_rows):
 
 
 @pytest.mark.parametrize("group", [["g"], []])
-def test_hot_groups_are_numbered_like_small_ones(spark, group):
+def test_groups_are_numbered_over_partitions(spark, group):
     rng = random.Random(5)
     rows = [(i, None if i % 9 == 0 else ("hot" if i % 3 else "cold"), rng.choice(["a", "b", "c", None])) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, g string, t string").repartition(5)
     order = [F.col("t").asc_nulls_last(), F.col("id")]
-    got = {r.id: r.n for r in row_numbers(df, group, order, "n", hot_rows=0).collect()}
+    got = {r.id: r.n for r in row_numbers(df, group, order, "n").collect()}
     expected, seen = {}, {}
     for i, g, t in sorted(rows, key=lambda r: (r[2] is None, r[2] or "", r[0])):
         key = g if group else 0
         expected[i] = seen.get(key, 0)
         seen[key] = expected[i] + 1
     assert got == expected
-    small = {r.id: r.n for r in row_numbers(df, group, order, "n").collect()}
-    assert small == expected
-    total = {r.id: r.n for r in running_total(df, group, order, F.lit(2), "n", hot_rows=0).collect()}
+    total = {r.id: r.n for r in running_total(df, group, order, F.lit(2), "n").collect()}
     assert total == {i: 2 * n for i, n in expected.items()}
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1_000_000])
-def test_batches_partition_the_block(spark, hot_rows):
+def test_batches_partition_the_block(spark):
     rows = blocking.with_block(products(spark, 200))
-    got = batching.pair_batches(rows, 7, hot_rows).toPandas()
+    got = batching.pair_batches(rows, 7).toPandas()
     assert sorted(got["id"]) == sorted(r.id for r in rows.select("id").collect())
     for _, block in got.groupby(["main_category", "normalized_quantity_unit"]):
         assert sorted(block["position"]) == list(range(len(block)))
@@ -139,14 +138,15 @@ def test_chips_triple(spark):
     assert [(r.lo, r.hi, r.equivalence_type) for r in got] == [(100, 200, "identical"), (100, 300, "alternative")]
 
 
-def test_log_segmentation(spark):
+def test_log_segmentation(spark, tmp_path):
     log = (
         "10:00:00 INFO    LLM response (20 chars): 1=2 (identical)\n3=4 (similar)\n10:00:01 INFO    Batch 1\n"
         "10:00:02 INFO    LLM response (20 chars): 5=6 (similar)\n\n7=8 (similar)\n"
         "10:00:03 INFO    LLM response (20 chars): 1=2 (identical)\n3=4 (similar)\n10:00:04 INFO end\n"
         "10:00:05 INFO    LLM response (9 chars): 2=1 (alternative)\n9=9 (identical)"
     )
-    logs = spark.createDataFrame([("a.log", log)], "path string, value string")
+    (tmp_path / "a.log").write_text(log)
+    logs = files.read_logs(spark, str(tmp_path))
     answers = parsing.log_answers(logs)
     assert {r.response_text for r in answers.collect()} == {"1=2 (identical)\n3=4 (similar)", "5=6 (similar)", "2=1 (alternative)\n9=9 (identical)"}
     pairs = {(r.lo, r.hi): r.equivalence_type for r in parsing.log_pairs(answers, ["path", "block_no"]).collect()}
@@ -213,12 +213,31 @@ def test_large_exact_groups_stay_whole(spark):
     rows = [(i, "AH" if i % 2 else "PLUS", "same title", "b", "c", 1.0, "kg", 1.0, True) for i in range(30)]
     rows += [(100, "AH", "other", "b", "c", 1.0, "kg", 1.0, True), (101, "PLUS", "other", "b", "c", 1.0, "kg", 1.0, True)]
     fp = matching.with_fingerprint(spark.createDataFrame(rows, PRODUCTS))
-    small = {(r.source_product_id, r.target_product_id) for r in matching.exact_pairs(fp, group_rows=10, chunk_rows=4).collect()}
-    assert small == {(100, 101)}
+    linked = {(r.source_product_id, r.target_product_id) for r in matching.exact_matches(fp).collect()}
+    assert linked == {(0, i) for i in range(1, 30)} | {(100, 101)}
     groups = {r.product_count: r.pair_count for r in matching.exact_groups(fp).collect()}
     assert groups == {30: 225, 2: 1}
     assert matching.exact_members(fp).filter("product_count > 10").count() == 30
-    assert matching.exact_pairs(fp, chunk_rows=4).count() == 226
+    pairs = {(r.source_product_id, r.target_product_id) for r in matching.exact_pairs(fp, chunk_rows=4).collect()}
+    assert pairs == {(a, b) for a in range(30) for b in range(a + 1, 30) if (a + b) % 2} | {(100, 101)}
+
+
+def test_crowded_exact_group_reaches_every_stage_once(spark):
+    rows = [(i, ["AH", "PLUS", "ALDI"][i % 3], "same title", "b", "c", 1.0, "kg", 1.0, True) for i in range(3000)]
+    rows += [(9000 + i, ["AH", "PLUS"][i % 2], f"{'abcd'[i] * 3} thing", "b", "c", 1.0, "kg", 1.0, True) for i in range(4)]
+    frame = spark.createDataFrame(rows, PRODUCTS)
+    vectors = spark.createDataFrame([], "id long, embedding array<float>")
+    found = matching.staged_matches(frame, vectors, lambda prompts: prompts.map(lambda _: None)).collect()
+    assert {r.target_product_id for r in found} == set(range(1, 3000)) and {r.source_product_id for r in found} == {0}
+    assert {(r.stage, r.product_count, r.pair_count) for r in found} == {(1, 3000, 3_000_000)}
+    assert matching.exact_pairs(matching.with_fingerprint(frame)).count() == 3_000_000
+
+
+def test_products_without_vector_are_scored_by_rules(spark):
+    rows = [(i, "AH" if i % 2 else "PLUS", f"{'AH' if i % 2 else 'PLUS'} cola zero", "b", "c", 1.0, "kg", 1.0, True) for i in range(3)]
+    vectors = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0])], "id long, embedding array<float>")
+    found = matching.vector_matches(spark.createDataFrame(rows, PRODUCTS), vectors).collect()
+    assert {(r.source_product_id, r.target_product_id, r.method) for r in found} == {(0, 1, "semantic"), (1, 2, "rule_based")}
 
 
 def test_skipped_batches_and_dry_run(spark):
@@ -249,6 +268,56 @@ def test_ask_keeps_rows(spark):
     assert got == {1: "A", 2: "B"}
 
 
+def test_failed_calls_are_recorded(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, prompt string").coalesce(1)
+
+    def broken(prompts):
+        raise RuntimeError("no quota")
+
+    rows = ask(df, broken, error="error", millis="ms").collect()
+    assert [(r.response_text, r.error) for r in rows] == [(None, "RuntimeError: no quota")] * 2
+    with pytest.raises(Exception, match="no quota"):
+        ask(df, broken).collect()
+    assert [r.response_text for r in ask(df, lambda s: s, system="rules").orderBy("n").collect()] == ["rules\n\na", "rules\n\nb"]
+
+
+def test_one_failing_model_does_not_stop_the_others(spark):
+    def broken(prompts):
+        raise RuntimeError("down")
+
+    rows = products(spark, 200)
+    answers = evaluation.evaluate(rows, {"good": lambda p: p.map(lambda _: "identical"), "bad": broken}).cache()
+    assert {r.model for r in evaluation.accuracy(answers).collect()} == {"good"}
+    assert [(r.model, r.error) for r in evaluation.errors(answers).collect()] == [("bad", "RuntimeError: down")]
+    with pytest.raises(ValueError, match="blocks"):
+        evaluation.evaluate(rows, {"good": broken}, n_blocks=50)
+
+
+def test_a_second_run_asks_nothing(spark):
+    asked = spark.sparkContext.accumulator(0)
+    p, empty = products(spark), spark.createDataFrame([], PAIRS)
+
+    def answer(prompts):
+        asked.add(len(prompts))
+        return prompts.map(lambda _: "1=2 (identical)")
+
+    cache = spark.createDataFrame([], "cache_key string, response_text string")
+    first = runs.full_run(p, empty, answer, 5, cache=cache)
+    once, n = first.merged.count(), asked.value
+    again = runs.full_run(p, empty, answer, 5, cache=first.cache)
+    assert again.merged.count() == once and asked.value == n > 0
+
+
+def test_labels_have_a_processing_time(spark):
+    def slow(prompts):
+        time.sleep(0.3)
+        return prompts.map(lambda _: "shampoo")
+
+    labels = spark.createDataFrame([], LABELS)
+    merged = labelling.label_products(products(spark, 20), labels, slow).merged
+    assert merged.agg(F.avg("processing_time_ms")).first()[0] > 0
+
+
 def test_block_argument():
     assert blocking.parse_block_argument(" Zuivel | l ") == ("Zuivel", "l")
     with pytest.raises(ValueError):

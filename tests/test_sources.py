@@ -8,6 +8,9 @@ from shelfpair.operators import blocking
 from shelfpair.plans import reports
 from shelfpair.schemas import PAIRS, PRODUCTS
 from shelfpair.session import ensure_checkpoint_dir
+from pyspark.sql.types import StructType
+
+from shelfpair.operators import parsing
 from shelfpair.sources import files, snapshots, tables
 from shelfpair.streaming.incremental import start_incremental
 from tests.conftest import SMALL
@@ -35,12 +38,34 @@ def test_copy_text(spark, tmp_path):
     assert rows[0].created_at.year == 2024 and rows[1].created_at is None
 
 
-def test_logs_are_read_whole(spark, tmp_path):
-    (tmp_path / "run.log").write_text("a\n\nb\n")
-    assert [r.value for r in files.read_logs(spark, str(tmp_path)).collect()] == ["a\n\nb\n"]
-
-
-def test_snapshots_ignore_incomplete_versions(spark, tmp_path):
+def test_copy_text_keeps_awkward_values(spark, tmp_path):
+    values = [None, "", "\\N", "\\.", "a\tb", "a\nb\r\n", "\\", "\\\\n", "\\t", '"q"', " x ", "\b\f\v"]
+    rows = [(k, v, "end") for k, v in enumerate(values)]
+    schema = StructType.fromDDL("n int, v string, w string")
+    files.write_copy_text(spark.createDataFrame(rows, schema), f"{tmp_path}/c")
+    assert sorted(map(tuple, files.read_copy_text(spark, f"{tmp_path}/c", schema).collect())) == rows
+    (tmp_path / "d").write_text("1\ta\\tb\\\\n\t\\N\n2\t\tx\n\\.\n")
+    assert sorted(map(tuple, files.read_copy_text(spark, f"{tmp_path}/d", schema).collect())) == [(1, "a\tb\\n", None), (2, "", "x")]
+
+
+def test_logs_split_at_answers(spark, tmp_path):
+    """A log is read in parts, also with a very long answer, and its answers keep their order."""
+    long = "\n".join(f"{k}={k + 1} (similar)" for k in range(100_000))
+    answers = ["1=2 (identical)", long, "3=4 (similar)\n5=6 (similar)"]
+    text = "".join(f"10:00 INFO    LLM response ({len(a)} chars): {a}\n10:01 INFO    done\n" for a in answers)
+    (tmp_path / "run.log").write_text("start\n" + text)
+    with_parts = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300k")
+    try:
+        logs = files.read_logs(spark, str(tmp_path))
+        assert logs.rdd.getNumPartitions() > 3
+        found = parsing.log_answers(logs).orderBy("path", "block_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", with_parts)
+    assert [r.response_text for r in found] == answers
+
+
+def test_snapshots_ignore_empty_folders(spark, tmp_path):
     base = f"{tmp_path}/t"
     assert snapshots.read_snapshot(spark, base, PAIRS).count() == 0
     one = spark.range(3).selectExpr("id AS n")
