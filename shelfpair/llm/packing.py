@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -17,53 +20,52 @@ from shelfpair.llm.common import plus, without
 VOCABULARY = "word_bpe_49k.json"
 LENGTH, END = 2048, 1
 IDS = "<u4"
+#: Bytes that byte-level vocabularies show as themselves; the others are shown as the characters from 256 on.
+SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+CHARACTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in SHOWN)}
 
 
-class WordEncoder:
-    """Token ids of whole texts as little-endian bytes.
+class WordEncoder(dict):
+    """Token ids of whole texts as little-endian bytes; as a dictionary, the ids of chunks.
 
     The tokenizer drops white space and lets nothing pass over it, so the ids of a text are those of its chunks between
-    ASCII white space. Each chunk is encoded once and remembered. New chunks are encoded together, set apart by a
-    control character whose single id nothing else has; a chunk with that character is encoded on its own.
+    ASCII white space. Chunks repeat, so the latest are remembered, at most twice ``most`` of them.
+    A new chunk of printable Latin characters is lowered and split here, by the tokenizer's own pattern, and only merged by
+    the tokenizer: in that range its normal form, lower case and classes are plain. Any other new chunk goes through the
+    whole tokenizer.
     """
 
-    APART = "\x01"
+    PLAIN = re.compile(r"[\x21-\x7e\xa1-\u024f]+").fullmatch
+    SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 
-    def __init__(self, path: str, most: int = 150_000, longest: int = 48):
+    def __init__(self, path: str, most: int = 500_000, longest: int = 48):
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        (self.apart,) = self._ids(self.APART)
-        self.most, self.longest, self.known = most, longest, {}
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, chunks: list[bytes], into: dict[bytes, bytes]) -> None:
-        alone = [c for c in chunks if self.APART.encode() in c]
-        for chunk in alone:
-            into[chunk] = np.array(self._ids(chunk.decode()), IDS).tobytes()
-        rest = [c for c in chunks if self.APART.encode() not in c] if alone else chunks
-        for start in range(0, len(rest), 4096):
-            part = rest[start : start + 4096]
-            ids = np.array(self._ids(f" {self.APART} ".join(b"\n".join(part).decode().split("\n"))), IDS)
-            ends = np.append(np.flatnonzero(ids == self.apart), len(ids))
-            begin = 0
-            for chunk, end in zip(part, ends.tolist(), strict=True):
-                into[chunk] = ids[begin:end].tobytes()
-                begin = end + 1
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(text or "").encode().split() for text in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
-        new = set().union(*split) - self.known.keys() if split else set()
-        long = [c for c in new if len(c) > self.longest]
-        once: dict[bytes, bytes] = {}
-        self._learn(long, once)
-        self._learn([c for c in new if len(c) <= self.longest], self.known)
-        if not once:
-            return [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
-        get = lambda c: self.known[c] if c in self.known else once[c]
-        return [b"".join(map(get, chunks)) for chunks in split]
+        self.merge = self.tokenizer.model.tokenize
+        special = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) or r"(?!)").search
+        self.most, self.longest, self.before = most, longest, {}
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.before.get(chunk)
+        if ids is None:
+            text = chunk.decode()
+            if self.PLAIN(text) and not self.special(text):
+                words = self.SPLIT(text.lower())
+                if not text.isascii():
+                    words = [word.encode().decode("latin-1").translate(CHARACTERS) for word in words]
+                ids = array("I", [token.id for word in words for token in self.merge(word)]).tobytes()
+            else:
+                ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(chunk) <= self.longest:
+            self[chunk] = ids
+        return ids
+
+    def encode(self, text: str | None) -> bytes:
+        if len(self) > self.most:
+            self.before = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, (text or "").encode().split()))
 
 
 def cut(n: int, longest: int = LENGTH) -> list[int]:
@@ -94,9 +96,9 @@ def pieces(docs: DataFrame, path: str, end: int = END, longest: int = LENGTH) ->
         encoder = _encoder(path)
         tail = np.array([end], IDS).tobytes()
         for whole in batches:
-            for at in range(0, whole.num_rows, 64):
-                batch = whole.slice(at, 64)
-                coded = [ids + tail for ids in encoder.encode(batch.column(1).to_pylist())]
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                coded = [encoder.encode(text) + tail for text in batch.column(1).to_pylist()]
                 tokens = [len(ids) // 4 for ids in coded]
                 lengths = [cut(n, longest) for n in tokens]
                 flat = np.array([n for row in lengths for n in row], np.int64)
