@@ -16,8 +16,8 @@ from shelfpair.operators.blocking import BLOCK
 from shelfpair.operators.ranking import top_per_group
 from shelfpair.plans import labelling, matching, reports, runs
 from shelfpair.schemas import PAIRS
-from shelfpair.sources import files, snapshots
-from shelfpair.streaming.incremental import start_incremental
+from shelfpair.sources import files
+from shelfpair.streaming.incremental import load_pairs, read_table, start_incremental
 
 COL = F.col
 
@@ -365,10 +365,10 @@ def _(t):
 def _(t):
     base = _folder(t, "stream")
     t.products.write.parquet(f"{base}/arriving")
-    snapshots.write_snapshot(t.pairs.select(*PAIRS.fieldNames()), f"{base}/tables/pairs")
+    load_pairs(t.pairs, f"{base}/tables")
     run = start_incremental(t.spark, f"{base}/arriving", f"{base}/tables", f"{base}/state", consecutive_pairs)
     run.awaitTermination()
-    return _pairs(snapshots.read_snapshot(t.spark, f"{base}/tables/pairs", PAIRS))
+    return _pairs(read_table(t.spark, f"{base}/tables/pairs", PAIRS))
 
 
 @query(

@@ -12,7 +12,7 @@ from shelfpair.operators import parsing
 from shelfpair.operators.batching import id_batches, pair_batches
 from shelfpair.operators.blocking import BLOCK, in_eligible_blocks
 from shelfpair.operators.candidates import add_features, candidate_pairs, classified, fill_missing
-from shelfpair.plans import evaluation, matching, siblings
+from shelfpair.plans import evaluation, matching, reports, siblings
 
 COL = F.col
 
@@ -408,12 +408,12 @@ def _(t):
     )
 
 
-SIBLING = """
-ah AS (SELECT * FROM products WHERE shop_type = 'AH' {limit}),
+SIBLING_TITLES = " ".join(f"WHEN {k} THEN replace(st, '{a}', '{b}')" for k, (a, b) in enumerate(siblings.VARIANTS))
+SIBLING = f"""
+ah AS (SELECT * FROM products WHERE shop_type = 'AH' {{limit}}),
 swapped AS (SELECT *, replace(title, 'AH ', 'PLUS ') AS st FROM ah),
-siblings AS (SELECT id + 300000 AS id, 'PLUS' AS shop_type,
-    CASE WHEN id % 10 < 3 THEN CASE CAST(floor(id / 10) AS BIGINT) % 5 WHEN 0 THEN replace(st, 'cherry', 'kersen') WHEN 1 THEN replace(st, 'trostomaten', 'tomaten')
-      WHEN 2 THEN replace(st, 'geschrapte', 'gesneden') WHEN 3 THEN replace(st, 'kleinverpakking', 'klein') ELSE replace(st, 'grootverpakking', 'groot') END ELSE st END AS title,
+siblings AS (SELECT id + {siblings.ID_OFFSET} AS id, 'PLUS' AS shop_type,
+    CASE WHEN id % 10 < 3 THEN CASE CAST(floor(id / 10) AS BIGINT) % {len(siblings.VARIANTS)} {SIBLING_TITLES} END ELSE st END AS title,
     round(current_price * (((id * 37) % 201 + 900) / 1000.0E0), 2) AS current_price FROM swapped)"""
 
 
@@ -422,6 +422,24 @@ def _(t):
     return siblings.make_siblings(t.products.filter("shop_type = 'AH'"), "AH", "PLUS").select("id", "shop_type", "title", "current_price")
 
 
+@query("t08_sibling_samples", "SELECT id, title, current_price FROM siblings ORDER BY id LIMIT 5", ctes=SIBLING.format(limit="ORDER BY id LIMIT 50"))
+def _(t):
+    return siblings.shop_sample(siblings.sibling_catalogue(t.products.filter("shop_type = 'AH'")), "PLUS")
+
+
+@query(
+    "t08_batch_listing",
+    """SELECT id, CASE WHEN length(title) > 50 THEN concat(substring(title, 1, 47), '...') ELSE title END AS title, essence, confidence, shop_type, current_price
+    FROM (SELECT p.*, e.essence, CAST(e.confidence AS DOUBLE) AS confidence, CAST(floor((row_number() OVER (PARTITION BY p.main_category ORDER BY p.id) - 1) / 15) AS BIGINT) AS batch_id
+      FROM products p JOIN product_essences e ON p.id = e.product_id) x WHERE main_category = 'PROMO' AND batch_id = 1""",
+    "products product_essences",
+)
+def _(t):
+    rows = id_batches(reports.labelled(t.products, t.labels), 15)
+    listed = reports.batch_listing(rows, "PROMO", 1)
+    return listed.withColumn("confidence", COL("confidence").cast("double"))
+
+
 @query(
     "m13_sibling_catalogue",
     "SELECT id, shop_type, title, current_price FROM (SELECT id, shop_type, title, current_price FROM products WHERE shop_type = 'AH' ORDER BY id LIMIT 200) o UNION ALL SELECT * FROM siblings",

@@ -64,13 +64,3 @@ UNIT_BASE = {
 
 # Columns an uploaded catalogue must have.
 REQUIRED_COLUMNS = ["main_category", "normalized_quantity_unit", "title", "shop_type"]
-
-# Title variants for synthetic sibling listings.
-SIBLING_VARIANTS = [
-    ("cherry", "kersen"),
-    ("trostomaten", "tomaten"),
-    ("geschrapte", "gesneden"),
-    ("kleinverpakking", "klein"),
-    ("grootverpakking", "groot"),
-]
-SIBLING_ID_OFFSET = 300000

@@ -235,6 +235,12 @@ def labelled(products: DataFrame, labels: DataFrame) -> DataFrame:
     return products.join(labels.select(F.col("product_id").alias("id"), "essence", "confidence"), "id")
 
 
+def batch_listing(labelled_rows: DataFrame, category: str, batch_id: int) -> DataFrame:
+    """The products of one label batch as a reader sees them: short title, label, confidence, shop and price."""
+    rows = labelled_rows.filter((F.col("main_category") == category) & (F.col("batch_id") == batch_id))
+    return rows.select("id", text.short_title(F.col("title")).alias("title"), "essence", "confidence", "shop_type", "current_price")
+
+
 def products_of_label(products: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """Trusted products of one label, cheapest first."""
     return (

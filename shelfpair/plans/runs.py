@@ -84,12 +84,14 @@ def incremental_run(
     batch_size: int = K.PAIR_BATCH_RUN,
     dry_run: bool = False,
     cache: DataFrame | None = None,
+    catalogue: DataFrame | None = None,
 ) -> RunResult:
     """Clean up, then ask only about batches that hold a product without a pair.
 
     Batches are numbered over the whole block. A dry run changes nothing, not even the clean-up.
+    ``catalogue``: all products, when ``products`` are those of some blocks; it tells which pairs are live.
     """
-    live = blocking.live_pairs(stored_pairs, products)
+    live = blocking.live_pairs(stored_pairs, products if catalogue is None else catalogue)
     unmatched = stored(blocking.unmatched_ids(products, live))
     eligible = blocking.in_eligible_blocks(products)
     affected = eligible.join(unmatched, "id", "left_semi").select(*BLOCK).distinct()

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from shelfpair.operators import parsing
 from shelfpair.sources import files, snapshots, tables
-from shelfpair.streaming.incremental import start_incremental
+from shelfpair.streaming.incremental import read_table, start_incremental
 from tests.conftest import SMALL
 
 
@@ -95,10 +95,35 @@ def test_stream_over_two_arrivals(spark, tmp_path):
     for n, rows in enumerate([[product(1, "AH"), product(2, "PLUS")], [product(3, "JUMBO")]]):
         spark.createDataFrame(rows, PRODUCTS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         start_incremental(spark, f"{tmp_path}/in", f"{tmp_path}/tables", f"{tmp_path}/state", answer).awaitTermination()
-        pairs = snapshots.read_snapshot(spark, f"{tmp_path}/tables/pairs", PAIRS)
+        pairs = read_table(spark, f"{tmp_path}/tables/pairs", PAIRS)
         assert {(r.source_product_id, r.target_product_id) for r in pairs.collect()} == ({(1, 2)} if n == 0 else {(1, 2), (1, 3)})
 
 
+def test_stream_rewrites_only_parts_with_arrivals(spark, tmp_path):
+    """Products of many blocks; one of them moves, then goes: its pair stays, then goes, and other parts are left alone."""
+    def product(i, category, active=True):
+        return (i, ["AH", "PLUS"][i % 2], f"melk {category}", "b", category, 1.0, "l", 1.0, active)
+
+    def answer(prompts):
+        return prompts.map(lambda p: "\n".join(f"{k}={k + 1} (identical)" for k in range(0, 40, 2)))
+
+    def arrive(rows):
+        spark.createDataFrame(rows, PRODUCTS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        start_incremental(spark, f"{tmp_path}/in", f"{tmp_path}/tables", f"{tmp_path}/state", answer).awaitTermination()
+        files = {f.parent.name: sorted(x.name for x in f.parent.glob("part-*")) for f in (tmp_path / "tables" / "products").rglob("part-*")}
+        pairs = read_table(spark, f"{tmp_path}/tables/pairs", PAIRS).collect()
+        return files, {(r.source_product_id, r.target_product_id) for r in pairs}
+
+    before, pairs = arrive([product(i, f"c{i // 2}") for i in range(20)])
+    assert pairs == {(k, k + 1) for k in range(0, 20, 2)}
+    after, pairs = arrive([product(0, "c9")])
+    assert pairs == {(k, k + 1) for k in range(0, 20, 2)}
+    assert 0 < sum(before[p] != after[p] for p in before) <= 2
+    _, pairs = arrive([product(0, "c9", active=False)])
+    assert pairs == {(k, k + 1) for k in range(2, 20, 2)}
+    assert read_table(spark, f"{tmp_path}/tables/products", PRODUCTS).count() == 20
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
