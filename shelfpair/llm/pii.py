@@ -111,10 +111,30 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+#: First digits that issuers of cards use, with the lengths of their numbers. Other numbers are no cards, whatever their sum.
+ISSUERS = [
+    (r"4", {13, 16, 19}),
+    (r"5[1-5]|222[1-9]|22[3-9]\d|2[3-6]\d\d|27[01]\d|2720", {16}),
+    (r"6011|64[4-9]|65|352[89]|35[3-8]\d", {16, 17, 18, 19}),
+    (r"3[47]", {15}),
+    (r"30[0-5]|3[68]", {14}),
+]
+
+
+def _issuer(digits: str) -> str:
+    """The digits that tell the issuer, or nothing."""
+    for pattern, lengths in ISSUERS:
+        found = re.match(pattern, digits)
+        if found and len(digits) in lengths:
+            return found.group()
+    return ""
+
+
 def _card(text: str, key: bytes) -> str:
+    """Issuer and length stay, so surrogates of different issuers cannot meet."""
     digits = re.sub("[ -]", "", text)
-    middle = reshaped(digits[1:-1], key, f"card{digits[0]}{len(digits)}")
-    body = digits[0] + middle
+    issuer = _issuer(digits)
+    body = issuer + reshaped(digits[len(issuer) : -1], key, f"card{issuer}|{len(digits)}")
     new = iter(body + next(d for d in "0123456789" if luhn(body + d)))
     return "".join(next(new) if c.isdigit() else c for c in text)
 
@@ -185,7 +205,7 @@ def _entity(match: re.Match, key: bytes) -> list[tuple[str, int, int, str]]:
     start, end = match.span()
     if kind == "card":
         digits = re.sub("[ -]", "", text)
-        return [(kind, start, end, _card(text, key))] if luhn(digits) and digits.strip("0") else []
+        return [(kind, start, end, _card(text, key))] if _issuer(digits) and luhn(digits) else []
     if kind == "iban":
         return [(kind, start, end, _iban(text, key))] if _remainder(text.replace(" ", "")) == 1 else []
     if kind == "ipv4":

@@ -53,7 +53,7 @@ def test_check_digits_hold():
 
 
 def test_clean_text_is_left_alone():
-    for text in ["", "plain words", "in 1999 or 12345678 things", "ref 0933572829065724 x", "v 999.1.1.1 and 1.2.3", "tokens = few", "a@b", "Mr x", "Frau", "10.5 %"]:
+    for text in ["", "plain words", "in 1999 or 12345678 things", "ref 0933572829065724 x", "lot 9999999999999995", "lot 1111111111111117", "v 999.1.1.1 and 1.2.3", "tokens = few", "a@b", "Mr x", "Frau", "10.5 %"]:
         assert replace_in(text, KEY) == (text, []), text
 
 
@@ -84,7 +84,7 @@ def test_query_on_a_whole_table(spark, duck):
     hits = 0
     for r in texts:
         values = [v for p in (email, ip, secret, r"\+1 \(\d{3}\) 555-\d{4}") for v in re.findall(p, r.text or "")]
-        values += [v for v in re.findall(r"(?<!\d)\d{16}(?!\d)", r.text or "") if luhn(v)]
+        values += [v for v in re.findall(r"(?<!\d)\d{16}(?!\d)", r.text or "") if luhn(v) and v[0] == "4"]
         assert not any(v in rows[r.doc_id].text for v in values)
         hits += len(values)
         if not re.search(r"\d|@", r.text or ""):
