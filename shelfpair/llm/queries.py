@@ -17,7 +17,7 @@ from shelfpair.llm.quality import judge
 from shelfpair.llm.simhash import simhash_groups
 from shelfpair.llm.tokencounts import section_tokens
 from shelfpair.llm.vectors import near_vectors
-from shelfpair.llm.warc import archive_and_index
+from shelfpair.llm.warc import BASE32, archive_and_index
 
 
 def op1_language(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,6 +72,16 @@ def op7_html(spark: SparkSession, folder: str) -> DataFrame:
     return main_text(table(spark, folder, "pages"))
 
 
+# The given pages have one <article> each, with headings, paragraphs, bold text and line breaks in it.
+OP7_SQL = r"""
+SELECT page_id, url, text, length(text) AS n_chars FROM (
+  SELECT page_id, url, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(
+      regexp_replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<br>|</?(p|h1)>', ' ', 'g'), '</?b>', '', 'g'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text
+  FROM pages) x
+"""
+
+
 def op8_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     found = checked_surrogates(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), F.array_sort(F.array_distinct("entities.kind")).alias("kinds"))
@@ -81,9 +91,22 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return section_tokens(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+_FIVE = [f"CAST(concat('0x', substring(hex, {5 * k + 1}, 5)) AS INTEGER)" for k in range(8)]
+BASE32_SQL = "concat(" + ", ".join(f"substring('{BASE32}', ({five} >> {s} & 31) + 1, 1)" for five in _FIVE for s in (15, 10, 5, 0)) + ")"
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     captures = archive_and_index(table(spark, folder, "pages"))
-    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "file", "offset")
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP10_SQL = f"""
+WITH plain AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+coded AS (SELECT page_id, payload_bytes, {BASE32_SQL} AS payload_digest FROM plain),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM coded)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM firsts
+"""
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -98,4 +121,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_warc": op10_warc,
 }
-ORACLES: dict[str, str] = {"op3_vector_duplicates": OP3_SQL}
+ORACLES: dict[str, str] = {"op3_vector_duplicates": OP3_SQL, "op7_html": OP7_SQL, "op10_warc": OP10_SQL}

@@ -138,6 +138,7 @@ def test_near_vectors_empty_and_without_id(spark):
     assert sorted((r.vec_id or -1, r.n_links, r.component_id, r.kept) for r in got) == [(-1, 0, None, False), (4, 0, 4, True)]
 
 
-def test_vector_twin(spark, duck):
-    ok, note = compare(spark, duck, "op3", queries.op3_vector_duplicates, queries.OP3_SQL, SMALL)
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_against_its_twin(spark, duck, name):
+    ok, note = compare(spark, duck, name, queries.QUERIES[name], queries.ORACLES[name], SMALL)
     assert ok, note
