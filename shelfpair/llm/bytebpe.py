@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
-from shelfpair.llm.common import plus, without
+from shelfpair.llm.common import Recent, plus, without
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 IDS = "<i4"
@@ -36,12 +36,14 @@ class Merger:
         self.pairs = pairs
         self.keys = np.array(sorted(pairs), np.int64)
         self.values = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        single = self.single.tolist()
+        self.of_bytes = np.array([pairs.get(a << 32 | b, -1) for a in single for b in single], np.int64)
 
-    def _rank(self, a: np.ndarray, b: np.ndarray, none: int) -> np.ndarray:
-        """Ranks of pairs of ids, ``none`` for pairs that do not merge; negative ids are no neighbours."""
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids, -1 for pairs that do not merge."""
         key = a << 32 | b
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((self.keys[at] == key) & (b >= 0) & (a >= 0), self.values[at], none)
+        return np.where(self.keys[at] == key, self.values[at], -1)
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece as little-endian bytes. A piece that is itself a token is that token."""
@@ -64,48 +66,54 @@ class Merger:
 
     def _merge_together(self, pieces: list[bytes], leaves: int) -> list[bytes]:
         """The same merges as ``merge_long`` on many short pieces at once: a round merges one pair in each of them."""
-        m, none = len(pieces), 1 << 40
-        raw = np.frombuffer(b"".join(p.ljust(leaves, b"\0") for p in pieces), np.uint8).reshape(m, leaves)
-        size = np.array([len(p) for p in pieces])
+        m, never = len(pieces), np.int64(1 << 40)
+        raw = np.frombuffer(b"".join([p.ljust(leaves, b"\0") for p in pieces]), np.uint8).reshape(m, leaves)
+        size = np.array([len(p) for p in pieces])[:, None]
         place = np.arange(leaves)
-        live = place[None] < size[:, None]
-        ids = np.where(live, self.single[raw], -1)
-        after = np.where(place[None] + 1 < size[:, None], place[None] + 1, -1)  # next live position, or -1
-        before = np.where(live, place[None] - 1, -1)
-        tree = np.full((m, 2 * leaves), none * leaves, np.int64)
-        ranks = self._rank(ids[:, :-1], ids[:, 1:], none)
-        tree[:, leaves:-1] = np.where(ranks < none, ranks * leaves + place[:-1], none * leaves)
+        ids = np.where(place < size, self.single[raw], -1)
+        after = np.where(place + 1 < size, place + 1, -1)  # next live position, or -1
+        before = np.where(place < size, place - 1, -1)
+        tree = np.full((m, 2 * leaves), never, np.int64)
+        ranks = self.of_bytes[raw[:, :-1].astype(np.int64) << 8 | raw[:, 1:]]
+        tree[:, leaves:-1] = np.where((ranks >= 0) & (place[1:] < size), ranks * leaves + place[:-1], never)
         for node in range(leaves - 1, 0, -1):
             tree[:, node] = np.minimum(tree[:, 2 * node], tree[:, 2 * node + 1])
+        # everything below goes by places in the flat arrays
+        ids, after, before, tree = ids.reshape(-1), after.reshape(-1), before.reshape(-1), tree.reshape(-1)
 
         def put(rows, at, ranks):
-            node = at + leaves
-            tree[rows, node] = np.where(ranks < none, ranks * leaves + at, none * leaves)
-            node >>= 1
-            while leaves > 1 and node[0]:
-                tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
-                node >>= 1
-
-        def get(rows, at):
-            return np.where(at >= 0, ids[rows, at], -1)
-
-        rows = np.flatnonzero(tree[:, 1] < none * leaves)
-        while len(rows):
-            best = tree[rows, 1]
-            at, new = best % leaves, best // leaves
-            gone = after[rows, at]
-            right, left = after[rows, gone], before[rows, at]
-            ids[rows, at], ids[rows, gone] = new, -1
-            after[rows, at] = right
-            some = right >= 0
-            before[rows[some], right[some]] = at[some]
-            put(rows, gone, np.full(len(rows), none))
-            put(rows, at, self._rank(new, get(rows, right), none))
-            some = left >= 0
-            if some.any():
-                put(rows[some], left[some], self._rank(ids[rows[some], left[some]], new[some], none))
-            rows = rows[tree[rows, 1] < none * leaves]
-        return [row[row >= 0].astype(IDS).tobytes() for row in ids]
+            tree[rows * (2 * leaves) + leaves + at] = np.where(ranks >= 0, ranks * leaves + at, never)
+
+        def climb(rows, at):
+            base, node = rows * (2 * leaves), (leaves + at) >> 1
+            while len(node) and node[0]:
+                left = base + 2 * node
+                tree[base + node] = np.minimum(tree[left], tree[left + 1])
+                node = node >> 1
+
+        rows = np.arange(m)
+        while True:
+            best = tree[rows * (2 * leaves) + 1]
+            open_ = best < never
+            if not open_.any():
+                break
+            rows, best = rows[open_], best[open_]
+            at, new, own = best % leaves, best // leaves, rows * leaves
+            gone = after[own + at]
+            right, left = after[own + gone], before[own + at]
+            ids[own + at], ids[own + gone] = new, -1
+            after[own + at] = right
+            has_right, has_left = right >= 0, left >= 0
+            before[(own + right)[has_right]] = at[has_right]
+            put(rows, gone, np.full(len(rows), -1))
+            put(rows, at, np.where(has_right, self._rank(new, ids[own + np.maximum(right, 0)]), -1))
+            some, behind = rows[has_left], left[has_left]
+            put(some, behind, self._rank(ids[own[has_left] + behind], new[has_left]))
+            climb(np.concatenate([rows, rows, some]), np.concatenate([gone, at, behind]))
+        kept = ids.reshape(m, leaves) >= 0
+        flat = ids[kept.reshape(-1)].astype(IDS).tobytes()
+        stops = (4 * np.cumsum(kept.sum(axis=1))).tolist()
+        return [flat[a:b] for a, b in zip([0, *stops], stops)]
 
     def merge_long(self, piece: bytes) -> list[int]:
         """Merges of one piece of any length, each with three point updates of logarithmic cost."""
@@ -152,44 +160,72 @@ class Merger:
 
 
 class ByteEncoder:
-    """Ids of whole texts. Units between single spaces repeat, so their ids are remembered."""
+    """Ids of whole texts. Chunks between single spaces repeat, so a bounded number of them is remembered."""
 
     #: A space beside other white space: there the pattern's matches may cross a cut before that space.
-    CROSSING = re.compile(r"\s | \s")
+    CROSSING = re.compile(r" (?:(?=\s)|(?<=\s ))")
 
-    def __init__(self, path: str, pattern: str, most: int = 150_000, longest: int = 48):
+    def __init__(self, path: str, pattern: str, most: int = 300_000, longest: int = 48):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.merger = Merger(ranks)
-        self.words = [b""] * (max(ranks.values()) + 1)
+        words = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            self.words[rank] = token
+            words[rank] = token
+        self.lengths = np.array([len(w) for w in words])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.letters = np.frombuffer(b"".join(words), np.uint8)
         self.find = regex.compile(pattern).findall
-        self.most, self.longest, self.known = most, longest, {}
+        self.words_are_matches = r"| ?\p{L}+|" in pattern
+        self.longest, self.known, self.merged = longest, Recent(most), Recent(most // 2)
+
+    def _units(self, text: str) -> list[str | tuple[str]]:
+        """The text cut before each single space: every match of the pattern lies within one unit.
 
-    def _units(self, text: str) -> list[str]:
-        """The text cut before each single space; every match of the pattern lies within one unit."""
+        A string stands for itself with a space before it, a tuple for the text in it.
+        """
         if self.CROSSING.search(text):
-            return self.find(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + chunk for chunk in rest]] if first else [" " + chunk for chunk in rest]
+            return [(match,) for match in self.find(text)]
+        units: list = text.split(" ")
+        units[0] = (units[0],)
+        return units
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        self.known.turn()
         split = [self._units(text) if text else [] for text in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
-        new = sorted(set().union(*split) - self.known.keys()) if split else []
-        matches = [[m.encode("utf-8", "replace") for m in self.find(unit)] for unit in new]
-        distinct = list(dict.fromkeys(m for found in matches for m in found))
-        ids = dict(zip(distinct, self.merger.merge(distinct)))
-        once = {}
-        for unit, found in zip(new, matches):
-            (self.known if len(unit) <= self.longest else once)[unit] = b"".join(map(ids.__getitem__, found))
-        get = (lambda u: self.known[u] if u in self.known else once[u]) if once else self.known.__getitem__
-        return [b"".join(map(get, units)) for units in split]
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.words.__getitem__, ids))
+        found = [self.known.known(units) for units in split]
+        new = list({units[k] for units, (_, unknown) in zip(split, found) for k in unknown})
+        whole = [" " + unit if isinstance(unit, str) else unit[0] for unit in new]
+        matches = [self._matches(text) for text in whole]
+        ids = self._pieces(list(dict.fromkeys(m for each in matches for m in each)))
+        learnt = {unit: b"".join(map(ids.__getitem__, each)) for unit, each in zip(new, matches)}
+        self.known.now.update((unit, learnt[unit]) for unit, text in zip(new, whole) if len(text) <= self.longest)
+        for units, (values, unknown) in zip(split, found):
+            for k in unknown:
+                values[k] = learnt[units[k]]
+        return [b"".join(values) for values, _ in found]
+
+    def _matches(self, text: str) -> list[bytes]:
+        """Matches of the pattern. Letters after a space are one, whatever pattern of this family is given."""
+        if text[:1] == " " and text[1:].isalpha() and self.words_are_matches:
+            return [text.encode()]
+        return [m.encode("utf-8", "replace") for m in self.find(text)]
+
+    def _pieces(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of matches of the pattern; those seen lately are not merged again."""
+        self.merged.turn()
+        values, unknown = self.merged.known(pieces)
+        new = [pieces[k] for k in unknown]
+        ids = dict(zip(new, self.merger.merge(new)))
+        self.merged.now.update((piece, ids[piece]) for piece in new if len(piece) <= self.longest)
+        return {piece: ids[piece] if value is None else value for piece, value in zip(pieces, values)}
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of the ids, one after the other, and where those of each id end."""
+        lengths = self.lengths[ids]
+        stops = np.cumsum(lengths)
+        total = int(stops[-1]) if len(stops) else 0
+        return self.letters[np.arange(total) + np.repeat(self.starts[ids] - stops + lengths, lengths)], stops
 
 
 _ENCODERS: dict[tuple[str, str], ByteEncoder] = {}
@@ -217,8 +253,8 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
     def run(batches):
         own = encoder(path, pattern)
         for whole in batches:
-            for start in range(0, whole.num_rows, 64):
-                batch = whole.slice(start, 64)
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
                 coded = own.encode(batch.column(at).to_pylist())
                 offsets = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(coded), IDS))
@@ -238,10 +274,14 @@ def decode(coded: DataFrame, path: str | None = None, pattern: str | None = None
     def run(batches):
         own = encoder(path, pattern)
         for whole in batches:
-            for start in range(0, whole.num_rows, 64):
-                batch = whole.slice(start, 64)
-                decoded = [own.decode(ids or []) for ids in batch.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names)
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
+                ids = batch.column(at)
+                data, stops = own.decode(ids.flatten().to_numpy())
+                ends = np.cumsum(np.diff(ids.offsets.to_numpy()) if ids.null_count == 0 else [len(x or ()) for x in ids.to_pylist()])
+                offsets = np.concatenate([[0], np.concatenate([[0], stops])[ends]]).astype(np.int32)
+                decoded = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+                yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names)
 
     return base.mapInArrow(run, schema)
 

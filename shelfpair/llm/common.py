@@ -72,12 +72,20 @@ class Recent:
     def __init__(self, most: int):
         self.most, self.now, self.before = most, {}, {}
 
-    def missing(self, keys: set) -> list:
-        """The keys not known; the others are in ``now`` afterwards, until the next call."""
+    def turn(self) -> None:
+        """Between batches: make room, if there are too many entries."""
         if len(self.now) > self.most:
             self.before, self.now = self.now, {}
-        ask = keys - self.now.keys()
-        found = ask & self.before.keys()
-        for key in found:
-            self.now[key] = self.before[key]
-        return list(ask - found)
+
+    def known(self, keys: list) -> tuple[list, list[int]]:
+        """Values of the keys, with None for unknown ones, and the places of those."""
+        values = list(map(self.now.get, keys))
+        unknown = []
+        if None in values:
+            for k in [k for k, value in enumerate(values) if value is None]:
+                values[k] = value = self.before.get(keys[k])
+                if value is None:
+                    unknown.append(k)
+                else:
+                    self.now[keys[k]] = value
+        return values, unknown
