@@ -49,6 +49,9 @@ def windows_of(text: str) -> np.ndarray:
 class Network:
     """Byte embedding, filters of several widths, max pooling over positions, softmax over ``classes``."""
 
+    #: Windows after which the texts collected so far are worked off.
+    TOGETHER = 2048
+
     def __init__(self, classes: list[str], seed: int = 7):
         rng = np.random.default_rng(seed)
         n = len(WIDTHS) * FILTERS
@@ -117,13 +120,16 @@ class Network:
         """Language and score of whole texts: the windows' probabilities, averaged by their number of bytes."""
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         known = [i for i, t in enumerate(texts) if t and self.classes and any(map(str.isalpha, t))]
-        for start in range(0, len(known), 64):
-            part = known[start : start + 64]
-            cut = [windows_of(texts[i]) for i in part]
-            sums = self._sums(cut)
-            for i, row in zip(part, sums):
-                best = int(row.argmax())
-                langs[i], scores[i] = self.classes[best], round(min(1.0, float(row[best])), 6)
+        part: list[int] = []
+        cut: list[np.ndarray] = []
+        for i in known:
+            part.append(i)
+            cut.append(windows_of(texts[i]))
+            if i == known[-1] or sum(map(len, cut)) >= self.TOGETHER:
+                for k, row in zip(part, self._sums(cut)):
+                    best = int(row.argmax())
+                    langs[k], scores[k] = self.classes[best], round(min(1.0, float(row[best])), 6)
+                part, cut = [], []
         return langs, scores
 
     def _sums(self, cut: list[np.ndarray]) -> list[np.ndarray]:
@@ -181,7 +187,7 @@ def identify(docs: DataFrame, network: Network) -> DataFrame:
     return base.mapInArrow(run, schema)
 
 
-def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
+def keep_known(docs: DataFrame, least: float = 0.4) -> DataFrame:
     """The rows of ``docs`` whose language is identified with a score of at least ``least``; columns stay as they were."""
     own, restored = set_aside(docs, "lang_pred", "score")
     found = identify(own, train(own))
