@@ -74,17 +74,19 @@ def cut(n: int, longest: int = LENGTH) -> list[int]:
     return [longest] * (n // longest) + [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+#: Chunks that a worker process remembers, twice at most; a million take about 200 MB.
+REMEMBERED = 500_000
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
-def _encoder(path: str) -> WordEncoder:
+def _encoder(path: str, remembered: int) -> WordEncoder:
     """One encoder a worker process, so that later batches profit from what it remembers."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, remembered) not in _ENCODERS:
+        _ENCODERS[path, remembered] = WordEncoder(path, remembered)
+    return _ENCODERS[path, remembered]
 
 
-def pieces(docs: DataFrame, path: str, end: int = END, longest: int = LENGTH) -> DataFrame:
+def pieces(docs: DataFrame, path: str, end: int = END, longest: int = LENGTH, remembered: int = REMEMBERED) -> DataFrame:
     """(doc_id, start, length, doc_tokens, ids) of every piece of every row of ``docs`` (doc_id, text).
 
     A document is the ids of its whole text (null: none) and ``end``. Its pieces are powers of two of at most ``longest``
@@ -93,7 +95,7 @@ def pieces(docs: DataFrame, path: str, end: int = END, longest: int = LENGTH) ->
     """
 
     def run(batches):
-        encoder = _encoder(path)
+        encoder = _encoder(path, remembered)
         tail = np.array([end], IDS).tobytes()
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
@@ -122,14 +124,15 @@ def pieces(docs: DataFrame, path: str, end: int = END, longest: int = LENGTH) ->
     return rows.mapInArrow(run, "doc_id long, start long, length long, doc_tokens long, ids array<int>")
 
 
-def pack(docs: DataFrame, path: str | None = None, end: int = END, longest: int = LENGTH) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, end: int = END, longest: int = LENGTH, remembered: int = REMEMBERED) -> DataFrame:
     """The pieces of ``docs`` as sequences: what ``pieces`` returns, with sequence_id and offset.
 
     A piece is a sequence of its own, so no sequence crosses documents, offset is always 0, and every length is a power of
     two: nothing is padded. Sequences of one length form a bucket (the length names it), from which batches of equal
     shape are drawn; ``write_buckets`` lays them out so. sequence_id is unique; its numbers follow the partitions of a run.
+    ``remembered`` bounds the memory of the worker processes; the result does not depend on it.
     """
-    placed = pieces(docs, path or public_tokenizers.path(VOCABULARY), end, longest)
+    placed = pieces(docs, path or public_tokenizers.path(VOCABULARY), end, longest, remembered)
     return placed.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
 
 
