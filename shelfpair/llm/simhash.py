@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfpair.llm.common import fresh
 from shelfpair.llm.components import components
+from shelfpair.llm.jaccard import SIMILARITY, WIDTH, jaccard_groups
 from shelfpair.session import stored
 
 BITS, SHINGLE, SEED = 64, 3, 42
@@ -115,12 +116,14 @@ def simhash_groups(docs: DataFrame, distance: int = 2, blocks: int = 8) -> DataF
     )
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` less all but one document of each SimHash group, with their own columns.
+def drop_near_copies(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` less all but one document of each group of near copies, with their own columns.
 
+    Near copies have a Jaccard similarity of at least ``similarity`` of their shingles of ``width`` words (see
+    ``jaccard_groups``). Two fingerprint bits find hardly more than exact copies, and pairs at 0.8 differ in a dozen bits.
     The smallest doc_id stays; of repeated rows with that id one stays. Rows without doc_id stay, as no group can name them.
     """
-    kept = stored(simhash_groups(docs).where("doc_id = component_id").select("doc_id").distinct())
+    kept = stored(jaccard_groups(docs, width, similarity).where("doc_id = component_id").select("doc_id").distinct())
     mark = fresh("row_of_id", docs)
     first = Window.partitionBy("doc_id").orderBy("doc_id")
     named = docs.join(kept, "doc_id").withColumn(mark, F.row_number().over(first)).where(F.col(mark) == 1)
