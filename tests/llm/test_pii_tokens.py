@@ -11,6 +11,7 @@ import tiktoken
 
 from shelfpair.llm import queries
 from shelfpair.llm.pii import KEY, LISTED, NAMES, alphabet, clashes, luhn, name_word, permuted, replace_in, reshaped, surrogates, without_private_data
+from shelfpair.llm.pii import FIND, KINDS, hinted
 from shelfpair.llm.tokencounts import attributed, field_tokens, section_tokens
 from tests.conftest import SMALL
 
@@ -44,6 +45,31 @@ def test_form_is_kept_and_value_is_gone(text, value, form):
     assert replace_in(text, KEY)[0] == new != replace_in(text, b"other")[0]
 
 
+WITHOUT_DIGITS = {
+    "email": ["a@b.cd"],
+    "key": ["-----BEGIN PRIVATE KEY-----\nabc\n-----END PRIVATE KEY-----"],
+    "secret": ["token = abcdefgh", "API-Key: abcdefgh", "passwd=abcdefgh", "auth : 'abcdefgh'", "access_key=abcdefgh", "pwd:abcdefgh"],
+    "hex": ["0" + "a" * 31],
+    "apikey": ["AKIA" + "B" * 16, "sk-" + "AbCdEfGhIjKlMnOpQrSt", "xoxb-abcdefghij-klmnopqrst", *[f"gh{c}_" + "a" * 36 for c in "pousr"]],
+    "iban": ["DE89 3704 0044 0532 0130 00"],
+    "ipv6": ["abcd:ef:abcd:ef:abcd:ef:abcd:ef"],
+    "ipv4": ["79.31.107.87"],
+    "phone": ["+1 (017) 555-7713", "(017) 555-7713", "017-555-7713"],
+    "ssn": ["123-45-6789"],
+    "card": ["4412473014894482"],
+    "name": ["Mrs Jennifer", "Г-н\u00a0Иван"],
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_what_can_be_found_is_hinted(kind):
+    for value in WITHOUT_DIGITS[kind]:
+        text = f"Use {value} for this"
+        assert FIND.search(text)[kind] and hinted(text), text
+        new, found = replace_in(text, KEY)
+        assert value not in new and {e[0] for e in found} == {kind}, text
+
+
 def test_check_digits_hold():
     for k in range(300):
         body = f"4{k * 7919:014d}"
