@@ -20,6 +20,8 @@ from shelfpair.llm.common import plus, without
 VOCABULARY = "word_bpe_49k.json"
 LENGTH, END = 2048, 1
 IDS = "<u4"
+#: Parts that the sequences of one length are dealt to.
+SALTS = 1024
 #: Bytes that byte-level vocabularies show as themselves; the others are shown as the characters from 256 on.
 SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 CHARACTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in SHOWN)}
@@ -141,12 +143,25 @@ def write_buckets(packed: DataFrame, folder: str) -> None:
     packed.withColumn("bucket", F.col("length")).write.partitionBy("bucket").parquet(folder)
 
 
-def with_checksums(packed: DataFrame) -> DataFrame:
-    """``packed`` with ids_crc32 (CRC-32 of the ids as little-endian unsigned 32-bit numbers) in place of the ids."""
+def bucketed(packed: DataFrame) -> DataFrame:
+    """``packed`` with bucket (the length), its rows dealt by bucket and piece, sorted by bucket within a partition.
+
+    Files written from it hold runs of equal length. A hash of the piece is the salt: a frequent length spreads over partitions.
+    """
+    base = without(packed, "bucket").withColumn("bucket", F.col("length"))
+    salt = F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS))
+    return base.repartition("bucket", salt).sortWithinPartitions("bucket")
+
+
+def with_checksums(packed: DataFrame, keep: bool = False) -> DataFrame:
+    """``packed`` with ids_crc32 (CRC-32 of the ids as little-endian unsigned 32-bit numbers) in place of the ids.
+
+    ``keep``: beside the ids.
+    """
     base = without(packed, "ids_crc32")
     at = base.columns.index("ids")
-    rest = [name for name in base.columns if name != "ids"]
-    schema = plus(base.drop("ids"), ids_crc32=LongType())
+    rest = [name for name in base.columns if keep or name != "ids"]
+    schema = plus(base if keep else base.drop("ids"), ids_crc32=LongType())
 
     def run(batches):
         for batch in batches:

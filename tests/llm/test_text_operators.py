@@ -16,6 +16,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from shelfpair.llm import queries
 from shelfpair.llm.bytebpe import ByteEncoder, decode, encode
 from shelfpair.llm.language import Network, held_out, identify, keep_known, train, windows_of
@@ -95,6 +96,21 @@ def test_packing_odd_rows(spark, word_tokenizer, tmp_path):
     assert back.count() == packed.count() and back.where("bucket <> size(ids)").count() == 0
 
 
+def test_packing_stage_keeps_tokens_in_buckets(spark, word_tokenizer):
+    docs = docs_frame(spark, [*ODD, *["some words of a text " * k for k in range(1, 40)]])
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    packed = corpus_pipeline.packing(spark, docs, SMALL)
+    rows = packed.collect()
+    check_packed(rows, texts.items(), word_tokenizer)
+    back = {}
+    for r in sorted(rows, key=lambda r: r.start):
+        assert r.bucket == r.length == len(r.ids)
+        back.setdefault(r.doc_id, []).extend(r.ids)
+    assert back == {d: [*word_tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for d, t in texts.items()}
+    for part in packed.select("bucket").rdd.glom().collect():
+        assert [r.bucket for r in part] == sorted(r.bucket for r in part)
+
+
 # byte BPE
 
 
