@@ -193,22 +193,63 @@ def _order(names: tuple[str, ...], key: bytes) -> dict[str, str]:
 LISTED = {name: group for group, names in NAMES.items() for name in names}
 
 
+#: Letters of a script: the usual ones in lower case, all that count as its letters, and the consonants, vowels and last
+#: letters (by gender, and of family names) of its generated names. No listed name ends in one of these.
+SCRIPTS = {
+    "latin": ("abcdefghijklmnopqrstuvwxyz", [(0x41, 0x250)], "bdfgklmnprstvz", "aeiou", {"f": "lla", "m": "rd", "": "ng"}),
+    "cyrillic": ("абвгдежзийклмнопрстуфхцчшщъыьэюяё", [(0x400, 0x530)], "бвгдзклмнпрст", "аеиоу", {"f": "лла", "m": "слав", "": "енко"}),
+    "greek": ("αβγδεζηθικλμνξοπρσςτυφχψωάέήίόύώϊϋΐΰ", [(0x370, 0x400), (0x1F00, 0x2000)], "βγδζθκλμνπρστφ", "αεηιο", {"f": "λλα", "m": "ων", "": "ίδης"}),
+}
+
+
+@lru_cache(maxsize=8)
+def _letters(script: str) -> str:
+    every = (chr(c) for low, high in SCRIPTS[script][1] for c in range(low, high))
+    return "".join(c for c in every if unicodedata.category(c) in ("Lu", "Ll", "Lt"))
+
+
+def _generated(part: str, gender: str, script: str, key: bytes) -> str:
+    """A name of syllables and the ending of ``gender``, one to one for all parts of the script.
+
+    Parts in one of the usual cases keep it. All parts are numbered, by length and permuted within it; the number is
+    spelt in syllables, so different parts never meet.
+    """
+    usual, _, consonants, vowels, endings = SCRIPTS[script]
+    style = next((f for f in (str.title, str.lower, str.upper) if set(part.lower()) <= set(usual) and f(part.lower()) == part), None)
+    letters, folded = (usual, part.lower()) if style else (_letters(script), part)
+    number = 0
+    for char in folded:
+        number = number * len(letters) + letters.index(char)
+    number = permuted(number, len(letters) ** len(part), key, f"name|{gender}|{script}|{len(letters)}|{len(part)}")
+    number = 2 * (number + sum(len(letters) ** k for k in range(1, len(part)))) + (style is None) + 1
+    out = []
+    while number:
+        number, digit = divmod(number - 1, len(consonants) * len(vowels))
+        out.append(consonants[digit // len(vowels)] + vowels[digit % len(vowels)])
+    return (style or str.title)("".join([*out, endings[gender]]))
+
+
 def name_word(word: str, gender: str, key: bytes) -> str:
-    """Surrogate of one word of a name. A listed given name stays within its script and gender.
+    """Surrogate of one word of a name: a given name (``gender`` f or m) or a family name (no gender).
 
-    Other words keep script, length and capitals; they are walked past listed names, so the two kinds never meet.
+    A listed given name stays within its script and gender. Other words of letters of one script become generated names of
+    that script, with an ending that tells the gender or a family name; parts between hyphens and apostrophes each do.
+    Words of other scripts, and with digits, keep their form but have no gender. The kinds never meet.
     """
     if word in LISTED:
         return _order(tuple(NAMES[LISTED[word]]), key)[word]
-    new = word
-    while True:
-        new = reshaped(new, key, "name")
-        if new not in LISTED:
-            return new
+    parts = re.split("(['’-])", word)
+    for script in SCRIPTS:
+        if set("".join(parts[::2])) <= set(_letters(script)):
+            return "".join(_generated(part, gender, script, key) if k % 2 == 0 and part else part for k, part in enumerate(parts))
+    return reshaped(word, key, "name")
+
 
+def _entity(match: re.Match, key: bytes, families: frozenset[str] = frozenset()) -> list[tuple[str, int, int, str]]:
+    """(kind, start, end, surrogate) of what a match holds; nothing if a check digit or range tells otherwise.
 
-def _entity(match: re.Match, key: bytes) -> list[tuple[str, int, int, str]]:
-    """(kind, start, end, surrogate) of what a match holds; nothing if a check digit or range tells otherwise."""
+    The first word after a title is a given name, unless it stands alone and is one of ``families``.
+    """
     text = match.group()
     if match["secret"] is not None:
         value, (start, end) = match["value"], match.span("value")
@@ -218,7 +259,9 @@ def _entity(match: re.Match, key: bytes) -> list[tuple[str, int, int, str]]:
         return [("secret", start, end, reshaped(bare, key, "secret", "abcdef" if hexadecimal else ""))] if len(bare) >= 6 else []
     if match["name"] is not None:
         gender, begin = GENDER[match["title"]], match.start("who")
-        return [("name", begin + m.start(), begin + m.end(), name_word(m.group(), gender, key)) for m in re.finditer(r"[^ \u00a0]+", match["who"])]
+        words = list(re.finditer(r"[^ \u00a0]+", match["who"]))
+        genders = ["" if len(words) == 1 and match["who"] in families else gender, "", ""]
+        return [("name", begin + m.start(), begin + m.end(), name_word(m.group(), g, key)) for m, g in zip(words, genders)]
     kind = next(k for k in KINDS if match[k] is not None)
     start, end = match.span()
     if kind == "card":
@@ -244,7 +287,9 @@ def replace_in(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int, st
     """
     if not hinted(text):
         return text, []
-    found = [e for match in FIND.finditer(text) for e in _entity(match, key)]
+    matches = list(FIND.finditer(text))
+    families = frozenset(word for match in matches if match["who"] for word in re.split("[ \u00a0]", match["who"])[1:])
+    found = [e for match in matches for e in _entity(match, key, families)]
     names = {text[s:e]: new for kind, s, e, new in found if kind == "name"}
     if names:
         taken = [(s, e) for _, s, e, _ in found]

@@ -11,7 +11,7 @@ import tiktoken
 
 from shelfpair.llm import queries
 from shelfpair.llm.pii import KEY, LISTED, NAMES, alphabet, clashes, luhn, name_word, permuted, replace_in, reshaped, surrogates, without_private_data
-from shelfpair.llm.pii import FIND, KINDS, hinted
+from shelfpair.llm.pii import FIND, KINDS, SCRIPTS, hinted
 from shelfpair.llm.tokencounts import attributed, field_tokens, section_tokens
 from tests.conftest import SMALL
 
@@ -102,6 +102,35 @@ def test_names_keep_gender_and_script_and_person():
     assert "Thaner" not in new and "Smithson" in new and len(found) == 5
 
 
+def ending(word):
+    return next(((script, g) for script, (*_, ends) in SCRIPTS.items() for g, end in ends.items() if word.lower().endswith(end)), None)
+
+
+def test_unlisted_names_get_names_of_their_gender_and_script():
+    for text, place, want in [
+        ("Mrs Jennifer Miller came", 1, ("latin", "f")), ("Herr Wolfgang kam", 1, ("latin", "m")), ("Mr JAMIE-LEE Jones", 1, ("latin", "m")),
+        ("Sra Íñiga McKenzie", 1, ("latin", "f")), ("Mrs Jennifer Miller", 2, ("latin", "")), ("Г-жа Людмила Петрова", 1, ("cyrillic", "f")),
+        ("Г-н Тимофей Петров", 1, ("cyrillic", "m")), ("Κυρία Αφροδίτη Ν", 1, ("greek", "f")), ("Κύριος Θανάσης Ν", 1, ("greek", "m")),
+    ]:
+        new = replace_in(text, KEY)[0].split()
+        assert ending(new[place]) == want and not set(text.split()[1:place + 1]) & set(new), (text, new)
+    assert not any(map(ending, LISTED))
+
+
+def test_generated_names_never_meet():
+    words = [*LISTED, *(f"{a}{b}{c}" for a in "ABZÉ" for b in "abzé" for c in ["", *"abzéX", "ab", "-Bo", "'b"]), "BA", "BAZ", "ba", "Ба", "БА", "Βα", "X1", "漢字"]
+    for key in (KEY, b"other"):
+        unlisted = [w for w in dict.fromkeys(words) if w not in LISTED]
+        new = [name_word(w, g, key) for w in unlisted for g in ("f", "m", "")]
+        named = [n for w, n in zip([w for w in unlisted for _ in "fm-"], new) if w not in ("X1", "漢字")]
+        assert len(named) == len(set(named)) and not set(new) & set(LISTED)
+
+
+def test_one_person_keeps_one_family_name():
+    new = replace_in("Mr Wolfgang Thaner left, Mr Thaner and Mrs Jennifer Thaner stayed with Thaner", KEY)[0].split()
+    assert {new[k] for k in (2, 5, 9, 12)} == {name_word("Thaner", "", KEY)} and len({new[1], new[8]}) == 2
+
+
 def test_query_on_a_whole_table(spark, duck):
     rows = {r.doc_id: r for r in queries.op8_surrogates(spark, "/root/testdata/sf0.01").collect()}
     texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
