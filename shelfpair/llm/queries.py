@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 from shelfpair.llm.bytebpe import round_trip
 from shelfpair.llm.common import table
+from shelfpair.llm.credentials import secret_report
 from shelfpair.llm.html import main_text
 from shelfpair.llm.language import held_out, identify, train
 from shelfpair.llm.packing import pack, with_checksums
 from shelfpair.llm.pii import checked_surrogates
 from shelfpair.llm.quality import judge
+from shelfpair.llm.ranking import search
 from shelfpair.llm.simhash import simhash_groups
 from shelfpair.llm.tokencounts import section_tokens
 from shelfpair.llm.vectors import near_vectors
 from shelfpair.llm.warc import BASE32, archive_and_index
+from shelfpair.llm.whitening import whiten
 
 
 def op1_language(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,6 +112,37 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN
 """
 
 
+def op11_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_report(table(spark, folder, "documents"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
+def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+_TERMS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"""
+OP13_SQL = f"""
+WITH words AS (SELECT doc_id, {_TERMS} FROM documents),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf) AS n FROM tfs GROUP BY ALL),
+total AS (SELECT count(*) AS docs, sum(n) AS terms FROM lengths),
+norms AS (SELECT doc_id, CAST(75 + (25 * n * docs) // terms AS BIGINT) AS m FROM lengths, total),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, total GROUP BY term, docs),
+asked AS (SELECT item_id, {_TERMS} FROM benchmark),
+counted AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY ALL),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM counted JOIN weights USING (term) JOIN tfs USING (term) JOIN norms USING (doc_id) GROUP BY ALL
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_packing": op2_packing,
@@ -120,5 +154,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_surrogates": op8_surrogates,
     "op9_token_counts": op9_token_counts,
     "op10_warc": op10_warc,
+    "op11_secrets": op11_secrets,
+    "op12_whitening": op12_whitening,
+    "op13_search": op13_search,
 }
-ORACLES: dict[str, str] = {"op3_vector_duplicates": OP3_SQL, "op7_html": OP7_SQL, "op10_warc": OP10_SQL}
+ORACLES: dict[str, str] = {"op3_vector_duplicates": OP3_SQL, "op7_html": OP7_SQL, "op10_warc": OP10_SQL, "op13_search": OP13_SQL}
