@@ -7,12 +7,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfpair.llm.common import fresh
 from shelfpair.llm.components import components
-from shelfpair.llm.jaccard import SIMILARITY, WIDTH, jaccard_groups
+from shelfpair.llm.jaccard import SENT, SIMILARITY, WIDTH, jaccard_rows
 from shelfpair.session import stored
 
 BITS, SHINGLE, SEED = 64, 3, 42
@@ -120,12 +120,20 @@ def drop_near_copies(docs: DataFrame, width: int = WIDTH, similarity: float = SI
     """The rows of ``docs`` less all but one document of each group of near copies, with their own columns.
 
     Near copies have a Jaccard similarity of at least ``similarity`` of their shingles of ``width`` words (see
-    ``jaccard_groups``). Two fingerprint bits find hardly more than exact copies, and pairs at 0.8 differ in a dozen bits.
-    The smallest doc_id stays; of repeated rows with that id one stays. Rows without doc_id stay, as no group can name them.
+    ``jaccard_rows``). Two fingerprint bits find hardly more than exact copies, and pairs at 0.8 differ in a dozen bits.
+    The smallest doc_id stays. Different texts under one doc_id are documents of their own: each stays unless it is a near
+    copy of another; of near copies under the smallest doc_id the one with the smallest hash stays. Of rows with the
+    same doc_id and text one stays. Rows without doc_id stay, as no group can name them.
     """
-    kept = stored(jaccard_groups(docs, width, similarity).where("doc_id = component_id").select("doc_id").distinct())
-    mark = fresh("row_of_id", docs)
-    first = Window.partitionBy("doc_id").orderBy("doc_id")
-    named = docs.join(kept, "doc_id").withColumn(mark, F.row_number().over(first)).where(F.col(mark) == 1)
+    rows = jaccard_rows(docs, width, similarity)
+    first = F.min(F.struct("doc_id", "mark"))
+    kept = rows.groupBy("component").agg(first.alias("first")).select("first.*")
+    counted = stored(rows.groupBy("doc_id", "mark").agg(F.count("*").alias("copies")).join(kept, ["doc_id", "mark"], "left_semi"))
+    mark, copies = fresh("mark_of_text", docs), fresh("copies_of_row", docs)
+    listed = counted.select(F.col("doc_id"), F.col("mark").alias(mark), F.col("copies").alias(copies))
+    short = counted.count() <= SENT
+    named = docs.withColumn(mark, F.xxhash64("text")).join(F.broadcast(listed) if short else listed, ["doc_id", mark])
     columns = [F.col(f"`{name}`") for name in docs.columns]
-    return named.select(*columns).unionByName(docs.where("doc_id is null"))
+    once = named.where(F.col(copies) == 1).select(*columns)
+    again = named.where(F.col(copies) > 1).dropDuplicates(["doc_id", mark]).select(*columns)
+    return once.unionByName(again).unionByName(docs.where("doc_id is null"))

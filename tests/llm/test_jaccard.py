@@ -3,9 +3,11 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
-from shelfpair.llm.jaccard import jaccard_groups
+from shelfpair.llm import jaccard
+from shelfpair.llm.jaccard import jaccard_groups, may_share, shingles_of, sketch_of
 from shelfpair.llm.simhash import drop_near_copies
 from tests.conftest import SMALL
 from tests.llm.test_duplicates import brute_components
@@ -50,3 +52,42 @@ def test_edited_copies_crowds_and_stock_passages(spark, crowd):
     got = jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), crowd=crowd)
     assert dict(map(tuple, got.collect())) == want
     assert 20 < len(set(want.values())) < len(rows) - 20
+
+
+def test_sketches_bound_what_sets_share():
+    draw = np.random.default_rng(6)
+    for _ in range(200):
+        a, b = (np.unique(draw.integers(0, 4000, draw.integers(0, 3000)) * 0x9E3779B97F4A7C1) for _ in range(2))
+        assert may_share(sketch_of(a), sketch_of(b)) >= len(np.intersect1d(a, b))
+    unlike = [np.unique(draw.integers(-(2**62), 2**62, 5000)) for _ in range(2)]
+    most = may_share(*map(sketch_of, unlike))
+    assert most / (10_000 - most) < 0.7  # also for long texts
+    assert sketch_of(np.arange(300) << 20) is None and may_share(None, sketch_of(unlike[0])) is None
+
+
+def test_texts_under_one_id_repeated_rows_and_clashing_names(spark):
+    draw = random.Random(9)
+    a, b, c = (" ".join(draw.choices([f"w{k}" for k in range(500)], k=60)) for _ in range(3))
+    near = " ".join([*a.split()[:-1], "edited"])
+    rows = [(1, a), (1, b), (2, c), (3, near), (3, near), (4, b), (5, None), (6, ""), (None, a), (7, "word " * 200_000), (7, "x " + "word " * 150_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as mark", "2 as row", "3 as component").repartition(3)
+    got = drop_near_copies(docs)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id or 0), (r.text or "")[:40]) for r in got.collect()) == sorted([(0, a[:40]), (1, a[:40]), (1, b[:40]), (2, c[:40]), (5, ""), (7, ("word " * 9)[:40]), (7, ("x " + "word " * 9)[:40])])
+    assert drop_near_copies(docs.limit(0)).count() == 0
+
+
+def test_lists_too_long_to_send_and_split_hubs(spark, monkeypatch):
+    draw = random.Random(10)
+    base = draw.choices([f"w{k}" for k in range(2000)], k=80)
+    texts = []
+    for _ in range(40):
+        words = list(base)
+        words[draw.randrange(80)] = draw.choice(base)
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    monkeypatch.setattr(jaccard, "SENT", 1)
+    monkeypatch.setattr(jaccard, "TOGETHER", 200)
+    got = jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert dict(map(tuple, got.collect())) == brute_jaccard(rows)
+    assert len(shingles_of(texts[0])) > 60

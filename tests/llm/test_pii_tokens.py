@@ -10,13 +10,15 @@ import pytest
 import tiktoken
 
 from shelfpair.llm import queries
-from shelfpair.llm.pii import KEY, LISTED, NAMES, alphabet, clashes, luhn, name_word, permuted, replace_in, reshaped, surrogates, without_private_data
-from shelfpair.llm.pii import FIND, KINDS, SCRIPTS, hinted
+from shelfpair.llm.pii import LISTED, NAMES, alphabet, clashes, luhn, name_word, permuted, replace_in, reshaped, surrogates, without_private_data
+from shelfpair.llm.pii import FIND, KEY_SETTING, KINDS, SCRIPTS, hinted, secret_key
 from shelfpair.llm.tokencounts import attributed, field_tokens, section_tokens
 from tests.conftest import SMALL
 
 # surrogates
 
+KEY = b"a key for tests"
+
 PRIVATE = [
     ("write to und.34@mail7.example.com now", "und.34@mail7.example.com", r"[a-z]{3}\.\d\d@[a-z]{4}\d\.[a-z]{7}\.[a-z]{3}"),
     ("UND.34@MAIL7.EXAMPLE.COM!!", "UND.34@MAIL7.EXAMPLE.COM", r"[A-Z]{3}\.\d\d@[A-Z]{4}\d\.[A-Z]{7}\.[A-Z]{3}"),
@@ -131,6 +133,72 @@ def test_one_person_keeps_one_family_name():
     assert {new[k] for k in (2, 5, 9, 12)} == {name_word("Thaner", "", KEY)} and len({new[1], new[8]}) == 2
 
 
+def digits(text):
+    return re.sub(r"\D", "", text)
+
+
+def test_one_number_in_any_form():
+    forms = ["+1 (017) 555-7713", "+1 017 555 7713", "+1-017-555-7713"]
+    new = [replace_in(f"call {form} now", KEY)[0][5:-4] for form in forms]
+    assert len(set(map(digits, new))) == 1 and digits(new[0]) != digits(forms[0])
+    assert [re.sub(r"\d", "0", x) for x in new] == [re.sub(r"\d", "0", x) for x in forms]
+    assert all(x.startswith("+1") for x in new) and replace_in("ruf 0171 5557713 an", KEY)[0] != "ruf 0171 5557713 an"
+
+
+def test_addresses_stay_what_they_are():
+    import ipaddress
+
+    for text in ["192.168.0.1", "10.1.2.3", "172.16.5.6", "127.0.0.1", "169.254.1.1", "224.0.0.5", "8.8.8.8", "79.31.107.87", "203.0.113.9"]:
+        new = replace_in(f"at {text} here", KEY)[0][3:-5]
+        a, b = ipaddress.ip_address(text), ipaddress.ip_address(new)
+        assert a != b and (a.is_private, a.is_loopback, a.is_multicast, a.is_link_local) == (b.is_private, b.is_loopback, b.is_multicast, b.is_link_local), new
+    same = ["2001:db8::1", "2001:DB8:0:0:0:0:0:1", "2001:0db8:0000:0000:0000:0000:0000:0001", "2001:db8:0::1"]
+    found = [replace_in(f"at {text} here", KEY) for text in same]
+    assert len({ipaddress.ip_address(new[3:-5]) for new, _ in found}) == 1 and len({e[0][3] for _, e in found}) == 1
+    assert found[0][0][3:-5].startswith("2001:db8:") and "::" not in found[2][0][3:-5]
+    assert replace_in("fe80::a1b2:3 up", KEY)[0].startswith("fe8") and replace_in("std::vector a::b ::1 dead::", KEY)[1] == []
+
+
+def test_possessives_long_names_titles_and_domains():
+    new, found = replace_in("Mr. Smith's house and Smith’s dog", KEY)
+    assert new.count("'s house") == 1 and "’s dog" in new and "Smith" not in new and len(found) == 2
+    new, _ = replace_in("Mr Juan Carlos Pérez García came, Señora María de la Cruz too. García left.", KEY)
+    assert not set(re.findall(r"\w+", new)) & {"Juan", "Carlos", "Pérez", "García", "María", "Cruz"} and " de la " in new
+    assert "Weber" not in replace_in("Dr Weber and Prof. Otto Weber", KEY)[0] and "O'Brien" not in replace_in("Mrs O'Brien's car", KEY)[0]
+    a, b = (replace_in(x, KEY)[0].split("@") for x in ("anna.k@corp.example.com", "otto@corp.example.com"))
+    assert a[1] == b[1] and a[0] != b[0] and a[1].endswith(".com") and "example" not in a[1]
+
+
+def test_what_only_looks_private_stays():
+    for text in ["version 1.2.3.4", "v1.2.3.4 out", "isbn 978-316-1484", "ISBN: 978-316-1484", "auth = required", "secret: nothing"]:
+        assert replace_in(text, KEY) == (text, []), text
+
+
+@pytest.mark.parametrize("piece", ["Mr Name{} went. ", "-----BEGIN PRIVATE KEY-----\n", "Mr A{}-B ", "a@b.", "+1 2", "1:", "secret=", "Mr Aa "])
+def test_time_grows_with_the_text(piece):
+    import time
+
+    took = []
+    for n in (1000, 4000):
+        text = "".join(piece.replace("{}", "".join(chr(97 + int(d)) for d in str(k))) for k in range(n))
+        began = time.perf_counter()
+        replace_in(text, KEY)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 9 * took[0] + 0.3, took
+
+
+def test_the_key_comes_from_the_session(spark):
+    drawn = secret_key(spark)
+    assert len(drawn) == 32 and secret_key(spark) == drawn
+    docs = spark.createDataFrame([(1, "mail anna@corp.example.com")], "doc_id long, text string")
+    spark.conf.set(KEY_SETTING, "one")
+    try:
+        assert secret_key(spark) == b"one" and surrogates(docs).first().text == replace_in("mail anna@corp.example.com", b"one")[0]
+    finally:
+        spark.conf.unset(KEY_SETTING)
+    assert surrogates(docs).first().text == replace_in("mail anna@corp.example.com", drawn)[0]
+
+
 def test_query_on_a_whole_table(spark, duck):
     rows = {r.doc_id: r for r in queries.op8_surrogates(spark, "/root/testdata/sf0.01").collect()}
     texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()

@@ -7,21 +7,26 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from shelfpair.llm.language import train
-from shelfpair.llm.pii import KEY, replace_in
+from shelfpair.llm.pii import KEY_SETTING, replace_in
 from tests.conftest import SMALL
-from tests.llm.test_duplicates import brute_groups
+from tests.llm.test_jaccard import brute_jaccard
 from tests.llm.test_text_operators import brute_quality, check_packed
 
 
+KEY = b"a key for tests"
+
+
 @pytest.fixture(scope="module")
 def stages(spark):
     """Input and output of each stage."""
+    spark.conf.set(KEY_SETTING, KEY.decode())
     docs, out = spark.read.parquet(f"{SMALL}/documents.parquet"), {}
     for name, stage in corpus_pipeline.STAGES:
         after = stage(spark, docs, SMALL).cache()
         out[name] = (docs, after)
         docs = after
-    return out
+    yield out
+    spark.conf.unset(KEY_SETTING)
 
 
 def ids(df):
@@ -51,8 +56,8 @@ def test_quality_stage(stages, duck):
 
 def test_near_copies_stage(stages):
     before, after = stages["near_copies"]
-    groups = brute_groups([(r.doc_id, r.text) for r in before.collect()])
-    assert ids(after) == sorted({component for _, _, component in groups})
+    groups = brute_jaccard([(r.doc_id, r.text) for r in before.collect()])
+    assert ids(after) == sorted(set(groups.values()))
     assert len(ids(after)) < before.count()
 
 
