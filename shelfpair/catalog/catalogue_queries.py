@@ -60,6 +60,30 @@ def _(t):
     return files.read_products_csv(t.spark, path).withColumn("brand", F.when(F.col("brand") != "", F.col("brand")))
 
 
+QUARANTINE = "SELECT CASE WHEN id % 5 = 0 THEN concat('two', chr(10), 'lines ', title) ELSE title END AS title, id, brand, normalized_quantity_amount FROM products WHERE brand <> '' "
+
+
+@query(
+    "s02_rejected_lines",
+    f"""SELECT id, title, normalized_quantity_amount AS amount, CAST(NULL AS VARCHAR) AS line FROM ({QUARANTINE}) q
+    UNION ALL SELECT NULL, NULL, NULL, concat('broken,', id, ',x,much') FROM products WHERE id % 500 = 7
+    UNION ALL SELECT NULL, NULL, NULL, concat(id, ',only two') FROM products WHERE id % 500 = 8""",
+)
+def _(t):
+    """Quoted line breaks are read; lines with a wrong type or too few values are reported and not turned into NULLs."""
+    path = _folder(t, "checked-csv")
+    t.products.createOrReplaceTempView("s02_products")
+    files.write_csv(t.spark.sql(QUARANTINE.replace("FROM products", "FROM s02_products")).select("id", "title", "brand", "normalized_quantity_amount"), path)
+    bad = t.products.selectExpr("CASE id % 500 WHEN 7 THEN concat('broken,', id, ',x,much') WHEN 8 THEN concat(id, ',only two') END AS value").filter("value IS NOT NULL")
+    header = t.spark.range(1).selectExpr("'id,title,brand,normalized_quantity_amount' AS value")
+    header.unionByName(bad).coalesce(1).write.mode("append").text(path)
+    schema = StructType.fromDDL("id bigint, title string, brand string, normalized_quantity_amount double")
+    rows, rejected = files.read_checked_csv(t.spark, path, schema)
+    none = lambda kind: F.lit(None).cast(kind)
+    good = rows.select("id", "title", F.col("normalized_quantity_amount").alias("amount"), none("string").alias("line"))
+    return good.unionByName(rejected.select(none("bigint").alias("id"), none("string").alias("title"), none("double").alias("amount"), "line"))
+
+
 @query("s03_required_columns", "SELECT id, title, shop_type FROM products")
 def _(t):
     return tables.require_columns(t.products).select("id", "title", "shop_type")
@@ -121,9 +145,9 @@ def _(t):
 
 @query("s10_snapshot", f"SELECT {PAIR_SQL} FROM product_equivalence", "product_equivalence")
 def _(t):
-    base = _folder(t, "pairs-snapshots")
-    snapshots.write_snapshot(t.pairs, base, "equivalence_type", "source_product_id")
-    return _pairs(snapshots.read_snapshot(t.spark, base, schemas.PAIRS))
+    path = _folder(t, "pairs-table")
+    snapshots.write_table(t.pairs, path, "equivalence_type", "source_product_id")
+    return _pairs(snapshots.read_table(t.spark, path, schemas.PAIRS))
 
 
 @query(
@@ -667,6 +691,23 @@ def _(t):
     )
 
 
+@query(
+    "a28_fine_outliers",
+    """SELECT equivalence_type, id_1, id_2 FROM (SELECT f.*, round(abs(score - med), 6) AS dev, mad FROM fine f JOIN mids USING (equivalence_type)
+      JOIN mads USING (equivalence_type)) x WHERE dev > 2 * mad""",
+    "product_vectors",
+    S.NEIGHBOURS.format(vectors="product_vectors", on="a.block = b.block") + """,
+    fine AS (SELECT CAST(v.block AS VARCHAR) AS equivalence_type, id_1, id_2, score FROM scored JOIN product_vectors v ON v.id = id_1 WHERE id_1 < id_2 AND shop_type_1 <> shop_type_2),
+    mids AS (SELECT equivalence_type, median(score) AS med FROM fine GROUP BY 1),
+    mads AS (SELECT equivalence_type, median(round(abs(score - med), 6)) AS mad FROM fine JOIN mids USING (equivalence_type) GROUP BY 1)""",
+)
+def _(t):
+    """Scores of nine decimals: nearly every row of a class has a value of its own."""
+    scores = pairs_above(t.vectors, -2.0, ["block"]).join(t.vectors.select(F.col("id").alias("id_1"), F.col("block").cast("string").alias("equivalence_type")), "id_1")
+    rows = scores.withColumnRenamed("score", "similarity_score")
+    return reports.confidence_outliers(rows, width=2.0).select("equivalence_type", "id_1", "id_2")
+
+
 @query(
     "a29_unknown_share",
     f"SELECT p.main_category, count(*) AS labelled, round(avg(CASE WHEN e.essence = 'ring' THEN 100.0E0 ELSE 0.0E0 END), 6) AS unknown_percentage FROM products {LABELLED} GROUP BY 1",

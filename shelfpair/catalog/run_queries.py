@@ -242,6 +242,20 @@ def _(t):
     return _merged(merging.merge_pairs(t.pairs, _incoming(t), ["equivalence_type"]))
 
 
+@query(
+    "d01_written_counts",
+    "SELECT action, CAST(count(*) AS BIGINT) AS rows FROM merged GROUP BY 1 UNION ALL SELECT 'read back', count(*) FROM merged",
+    "product_equivalence incoming_pairs",
+    NEW_PAIRS + "," + merged_sql("product_equivalence", "new_pairs"),
+)
+def _(t):
+    """Counts that ride on the write of the merged table, and the rows found there."""
+    path = _folder(t, "merged")
+    counts = merging.write_counted(merging.merge_pairs(t.pairs, _incoming(t), ["equivalence_type"]), path)
+    found = t.spark.createDataFrame([(k, n) for k, n in counts.items() if n], "action string, rows bigint")
+    return found.unionByName(t.spark.read.parquet(path).agg(F.count("*").alias("rows")).selectExpr("'read back' AS action", "rows"))
+
+
 @query(
     "d02_merge_labels",
     # one product in four comes a second time, and the later row wins
@@ -434,6 +448,17 @@ def _(t):
     return matching.rule_matches(t.products)
 
 
+@query(
+    "m08_class_links",
+    """SELECT class_1, class_2, similarity_score, equivalence_type, count(*) AS pair_count FROM (
+      SELECT least(a.class_id, b.class_id) AS class_1, greatest(a.class_id, b.class_id) AS class_2, similarity_score, equivalence_type
+      FROM matches m JOIN grouped a ON a.id = m.source_product_id JOIN grouped b ON b.id = m.target_product_id) x GROUP BY ALL""",
+    ctes=S.RULE_MATCHES + ", grouped AS (SELECT id, min(id) OVER (PARTITION BY category, unit, bn, list_sort(terms), amount, bio, diet) AS class_id FROM feats)",
+)
+def _(t):
+    return matching.rule_match_links(t.products)[0]
+
+
 VECTOR_SCORES = """
 vec AS (SELECT id, list_append(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * 0.6E0), 0.8E0 + 0.1E0 * (id % 3)) AS v FROM product_vectors),
 vector_measured AS (SELECT m.*, round(list_dot_product(a.v, b.v), 9) AS score FROM measured m JOIN vec a ON a.id = m.id_1 JOIN vec b ON b.id = m.id_2)"""

@@ -1,8 +1,9 @@
 """Listing features, candidate pairs and scored matches of the rule matcher.
 
-A pair can only be kept when its title terms overlap by at least 0.3, or when its brands are at
+Listings that no measure tells apart are one class (see :mod:`shelfpair.operators.classes`); what follows is done once for
+two classes. A pair can only be kept when its title terms overlap by at least 0.3, or when its brands are at
 least 0.8 alike and its score is high enough. The two cases are generated apart and do not overlap,
-so no pair is produced twice and none has to be removed again:
+so no pair is produced twice and none has to be removed again; pairs inside a class need no search:
 
 * term case: pairs meet on their first common title term, with the terms of a title ordered by
   frequency inside the block, rarest first. Given its place in the title, a term can only be the
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from shelfpair import constants as K
 from shelfpair.functions import scoring, similarity, text
 from shelfpair.operators.brands import near_brands
+from shelfpair.operators.classes import class_members, classes_of, expand, other_shop
 from shelfpair.operators.pairing import CHUNK_ROWS, pair_across, pair_within
 from shelfpair.session import stored
 
@@ -82,7 +84,7 @@ def _term_pairing(rows: DataFrame, chunk_rows: int, tenths: int) -> DataFrame:
         once = f"({a('n')} < {b('n')} OR {a('id')} < {b('id')})"
         common = f"array_intersect({a('terms')}, {b('terms')})"
         return (
-            f"{once} AND {_other_shop(a, b)} AND {b('n')} <= {a('reach')} AND {_terms_close(a, b, tenths)} "
+            f"{once} AND {other_shop(a, b)} AND {b('n')} <= {a('reach')} AND {_terms_close(a, b, tenths)} "
             f"AND get({common}, 0) = term"
         )
 
@@ -90,10 +92,6 @@ def _term_pairing(rows: DataFrame, chunk_rows: int, tenths: int) -> DataFrame:
     return pairs.drop("term", "short", "n_1", "n_2", "reach_1", "reach_2")
 
 
-def _other_shop(a, b) -> str:
-    return f"{a('shop_type')} <> {b('shop_type')}"
-
-
 def _overlap(a, b) -> str:
     return similarity.token_overlap(a("terms"), b("terms"))
 
@@ -113,9 +111,9 @@ def _features(a, b) -> str:
 def _brand_pairing(rows: DataFrame, kept, chunk_rows: int, min_brand: float) -> DataFrame:
     """Pairs in a block with equal or near brands for which ``kept`` holds.
 
-    ``brand_ratio`` comes with the brand pair, so it is not computed again per pair of products.
+    ``brand_ratio`` comes with the brand pair, so it is not computed again per pair of classes.
     """
-    known = rows.filter("brand_norm <> 'unknown'").drop("masks")
+    known = rows.filter("brand_norm <> 'unknown'")
     equal = known.selectExpr("*", "brand_norm AS key_brand", "1D AS brand_ratio")
     same = pair_within(equal, ["block", "key_brand"], "id", kept, chunk_rows)
     # stored, so that the key expressions run once per brand and are not pushed below the distinct
@@ -132,53 +130,103 @@ def _brand_pairing(rows: DataFrame, kept, chunk_rows: int, min_brand: float) ->
     return same.unionByName(near).drop("key_brand")
 
 
-def candidate_pairs(
-    features: DataFrame,
+MEASURES = ["brand_sim", "term_sim", "size_sim", "feature_sim"]
+LINK = ["block", "id_1 AS class_1", "id_2 AS class_2"]
+
+
+def _first(name: str) -> str:
+    return f"{name}_1"
+
+
+def _second(name: str) -> str:
+    return f"{name}_2"
+
+
+def _measured(brand: str) -> list[str]:
+    """The four similarities of a pair as SQL expressions."""
+    return [f"{brand} AS brand_sim", f"{_overlap(_first, _second)} AS term_sim", f"{_size(_first, _second)} AS size_sim", f"{_features(_first, _second)} AS feature_sim"]
+
+
+def brand_dictionary(pairs: DataFrame) -> DataFrame:
+    """(brand_1, brand_2, brand_sim) for each two different brands that occur together in ``pairs``, smaller text first."""
+    lower, upper = "least(brand_norm_1, brand_norm_2)", "greatest(brand_norm_1, brand_norm_2)"
+    found = stored(pairs.filter("brand_norm_1 <> brand_norm_2").selectExpr(f"{lower} AS brand_1", f"{upper} AS brand_2").distinct())
+    return stored(found.selectExpr("brand_1", "brand_2", f"{similarity.brand_similarity('brand_1', 'brand_2')} AS brand_sim"))
+
+
+def with_brand_similarity(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (stored) with ``brand_sim`` in place of both brands; brands are compared once for each two that meet."""
+    known = brand_dictionary(pairs)
+    keyed = pairs.selectExpr("*", "least(brand_norm_1, brand_norm_2) AS brand_1", "greatest(brand_norm_1, brand_norm_2) AS brand_2")
+    equal = "IF(brand_norm_1 = 'unknown', 0D, 1D)"
+    return (
+        keyed.join(known, ["brand_1", "brand_2"], "left")
+        .withColumn("brand_sim", F.expr(f"IF(brand_norm_1 = brand_norm_2, {equal}, brand_sim)"))
+        .drop("brand_1", "brand_2", "brand_norm_1", "brand_norm_2")
+    )
+
+
+def class_links(
+    classes: DataFrame,
     brand_case_score: float | None = K.SIMILAR_SCORE,
     chunk_rows: int = CHUNK_ROWS,
     min_terms: float = K.ALTERNATIVE_TERMS,
     min_brand: float = K.SIMILAR_BRAND,
 ) -> DataFrame:
-    """Cross-shop pairs of a block that can still be classified, each once, with their measures.
+    """(block, class_1, class_2, four similarities, rule_score): pairs of classes with a cross-shop pair of members, stored.
 
-    Kept: term overlap >= ``min_terms`` (a multiple of 0.1 above 0), or brand similarity >= ``min_brand``
-    with a rule score >= ``brand_case_score`` (None: any score, for callers that bring their own).
+    Each once, the lower class first; a class with members in several shops is linked to itself. Kept: term overlap >=
+    ``min_terms`` (a multiple of 0.1 above 0), or brand similarity >= ``min_brand`` with a rule score >=
+    ``brand_case_score`` (None: any score, for callers that bring their own). ``classes``: see ``classes_of``.
     """
     tenths = round(10 * min_terms)
-    # Read by all branches below: written once, so titles are parsed once.
-    masks = f"{similarity.character_masks('brand_norm')} AS masks"
-    rows = stored(order_terms(features.selectExpr("*", masks)))
+    slim = classes.select("id", "block", "brand_norm", "terms", "amount", "bio", "diet", "shops")
+    # Read by all branches below: written once, so terms are ordered once.
+    rows = stored(order_terms(slim))
 
-    by_term = add_measures(
-        _term_pairing(rows, chunk_rows, tenths), similarity.brand_similarity("brand_norm_1", "brand_norm_2", "masks_1")
-    ).drop("masks_1", "masks_2")
+    term_pairs = _term_pairing(rows, chunk_rows, tenths).selectExpr(*LINK, "brand_norm_1", "brand_norm_2", *_measured("0D")[1:])
+    by_term = with_brand_similarity(stored(term_pairs))
 
     def shares_brand(a, b) -> str:
         apart = f"(size({a('terms')}) = 0 OR NOT {_terms_close(a, b, tenths)})"
         if brand_case_score is None:
-            return f"{_other_shop(a, b)} AND {apart}"
+            return f"{other_shop(a, b)} AND {apart}"
         score = lambda terms: scoring.rule_score(a("brand_ratio"), terms, _size(a, b), _features(a, b))
         # No array is compared while the largest overlap of this case leaves the score too low.
         possible = f"{score(f'{min_terms}D')} >= {brand_case_score}D"
-        return f"{_other_shop(a, b)} AND {possible} AND {apart} AND {score(_overlap(a, b))} >= {brand_case_score}D"
+        return f"{other_shop(a, b)} AND {possible} AND {apart} AND {score(_overlap(a, b))} >= {brand_case_score}D"
 
-    by_brand = add_measures(_brand_pairing(rows, shares_brand, chunk_rows, min_brand), "brand_ratio_1")
-    return by_term.unionByName(by_brand.drop("brand_ratio_1", "brand_ratio_2"))
+    by_brand = _brand_pairing(rows, shares_brand, chunk_rows, min_brand).selectExpr(*LINK, *_measured("brand_ratio_1"))
 
+    inside = rows.filter("size(shops) > 1").selectExpr(
+        "block", "id AS class_1", "id AS class_2", "IF(brand_norm = 'unknown', 0D, 1D) AS brand_sim", "IF(size(terms) = 0, 0D, 1D) AS term_sim",
+        f"{similarity.size_similarity('amount', 'amount')} AS size_sim", "1D AS feature_sim",
+    )
+    score = scoring.rule_score(*MEASURES)
+    enough = "" if brand_case_score is None else f" AND {score} >= {brand_case_score}D"
+    inside = inside.filter(f"term_sim >= {min_terms}D OR (brand_sim >= {min_brand}D{enough})")
+    return stored(by_term.unionByName(by_brand).unionByName(inside).selectExpr("*", f"{score} AS rule_score"))
 
-def add_measures(pairs: DataFrame, brand_similarity: str) -> DataFrame:
-    """Add the four similarities and the rule score.
 
-    The similarities come out of a generator, which the optimiser does not merge with its parents:
-    they are computed once per pair instead of once per use in the class and reason expressions.
+def candidate_pairs(
+    features: DataFrame,
+    brand_case_score: float | None = K.SIMILAR_SCORE,
+    chunk_rows: int = CHUNK_ROWS,
+    min_terms: float = K.ALTERNATIVE_TERMS,
+    min_brand: float = K.SIMILAR_BRAND,
+) -> DataFrame:
+    """Cross-shop pairs of a block that can still be classified, each once, with their measures: the class links, listed.
+
+    Parameters as in :func:`class_links`. The columns of ``features`` come as name_1 and name_2, lower id first.
     """
-    first, second = (lambda c: f"{c}_1"), (lambda c: f"{c}_2")
-    measures = (
-        f"inline_outer(array(struct({brand_similarity} AS brand_sim, {_overlap(first, second)} AS term_sim, "
-        f"{_size(first, second)} AS size_sim, {_features(first, second)} AS feature_sim)))"
-    )
-    score = scoring.rule_score("brand_sim", "term_sim", "size_sim", "feature_sim")
-    return pairs.selectExpr("*", measures).selectExpr("*", f"{score} AS rule_score")
+    members = class_members(features)
+    links = class_links(classes_of(members), brand_case_score, chunk_rows, min_terms, min_brand)
+    return expand(links, members, [c for c in features.columns if c not in ("id", "shop_type", "block")])
+
+
+def add_measures(pairs: DataFrame, brand_similarity: str) -> DataFrame:
+    """Add the four similarities of pairs of listings, for the few that no class link has measured."""
+    return pairs.selectExpr("*", *_measured(brand_similarity))
 
 
 def classified(pairs: DataFrame, score: str = "rule_score", method: str = "rule_based") -> DataFrame:

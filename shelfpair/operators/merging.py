@@ -6,7 +6,7 @@ Where the table format has MERGE INTO, the same rules can be given to it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfpair.functions.text import strip
@@ -50,6 +50,18 @@ def merge_pairs(stored_pairs: DataFrame, incoming: DataFrame, order: list[str],
     )
 
 
+def write_counted(merged: DataFrame, path: str) -> dict[str, int]:
+    """Writes a merged table without its ``action`` as Parquet and returns the rows of each action.
+
+    The counts are taken from the rows as they are written, so the merge runs once.
+    """
+    watch = Observation()
+    names = ("inserted", "updated", "unchanged")
+    counts = [F.count_if(F.col("action") == name).alias(name) for name in names]
+    merged.observe(watch, *counts).drop("action").write.parquet(path)
+    return {name: watch.get[name] for name in names}
+
+
 def written(merged: DataFrame) -> DataFrame:
     """Rows per action; inserted + updated is the number of rows written."""
     return merged.groupBy("action").agg(F.count("*").alias("rows"))

@@ -10,17 +10,38 @@ from shelfpair.functions import answers, scoring, similarity, text
 from shelfpair.functions.inference import TextFunction, ask, embed
 from shelfpair.functions.prompts import candidate_prompts
 from shelfpair.operators import candidates as C
+from shelfpair.operators.classes import class_members, classes_of, expand, with_pair_counts
 from shelfpair.operators.pairing import CHUNK_ROWS, pair_within
 from shelfpair.operators.ranking import row_numbers
-from shelfpair.operators.vectors import cross_shop_neighbours, pairs_above
+from shelfpair.operators.vectors import cross_shop_neighbours, scored_pairs
 from shelfpair.session import stored
 
+
+
 def rule_matches(products: DataFrame) -> DataFrame:
     """All identical, similar and alternative pairs of a catalogue by rule score. Ids must be unique."""
     features = C.add_features(C.fill_missing(products))
     return C.classified(C.candidate_pairs(features))
 
 
+def rule_match_links(products: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The matches of :func:`rule_matches` in a size that does not grow with copies: links of classes, and members.
+
+    Links: class_1, class_2, similarity_score, equivalence_type and pair_count, the number of matches the link stands for.
+    Members: class_id with id, shop_type and title of each listing.
+    """
+    members = class_members(C.add_features(C.fill_missing(products)))
+    classes = stored(classes_of(members))
+    links = C.class_links(classes).join(classes.select("block", "category", "unit").distinct(), "block")
+    measures = ("brand_sim", "term_sim", "size_sim", "rule_score")
+    kind = scoring.classify(*measures, "category IS NOT NULL", "unit IS NOT NULL")
+    found = with_pair_counts(links.selectExpr("*", f"{kind} AS equivalence_type").filter("equivalence_type <> 'no_match'"), classes)
+    return (
+        found.selectExpr("class_1", "class_2", "CAST(format_number(rule_score, 3) AS DOUBLE) AS similarity_score", "equivalence_type", "pair_count"),
+        members.select("class_id", "id", "shop_type", "title"),
+    )
+
+
 def embedding_texts(products: DataFrame) -> DataFrame:
     """(id, text) to embed, built from the features of each product."""
     f = C.add_features(C.fill_missing(products))
@@ -43,29 +64,28 @@ def vector_matches(products: DataFrame, vectors: DataFrame | None = None, encode
         return rule_matches(products)
     if vectors is None:
         vectors = stored(embed(embedding_texts(products), encode).select("id", "embedding"))
-    features = C.add_features(C.fill_missing(products)).join(vectors.select("id", "embedding"), "id", "left")
-    features = stored(features)
-    near = C.candidate_pairs(features.drop("embedding"), brand_case_score=None)
-    vector = lambda side: vectors.select(F.col("id").alias(f"id_{side}"), F.col("embedding").alias(f"vec_{side}"))
-    near = (
-        near.join(vector("1"), "id_1", "left")
-        .join(vector("2"), "id_2", "left")
-        .selectExpr("*", f"round({similarity.dot('vec_1', 'vec_2')}, 9) AS score", "vec_1 IS NULL OR vec_2 IS NULL AS by_rules")
-        .drop("vec_1", "vec_2")
-    )
-    near = stored(near)  # scored once, read for both methods
-    # Pairs close in vector space only.
-    close = pairs_above(
-        features.filter("embedding IS NOT NULL").select("block", "id", "shop_type", "embedding"), K.SIMILAR_SCORE_ALONE, ["block"]
-    ).select("id_1", "id_2", "score")
-    plain = features.drop("embedding").selectExpr("*", f"{similarity.character_masks('brand_norm')} AS masks")
-    renamed = lambda n: [f"{c} AS {c}_{n}" for c in plain.columns if c != "block"]
-    close = close.join(plain.selectExpr("block", *renamed("1")), "id_1").join(plain.selectExpr(*renamed("2")), "id_2")
-    close = C.add_measures(close, similarity.brand_similarity("brand_norm_1", "brand_norm_2", "masks_1"))
-    close = close.drop("masks_1", "masks_2")
-    close = close.filter((F.col("term_sim") < K.ALTERNATIVE_TERMS) & (F.col("brand_sim") < K.SIMILAR_BRAND))
-    ruled = C.classified(near.filter("by_rules"))
-    return C.classified(near.filter("NOT by_rules").drop("by_rules").unionByName(close), "score", "semantic").unionByName(ruled)
+    features = C.add_features(C.fill_missing(products))
+    members = class_members(features)
+    links = C.class_links(classes_of(members), brand_case_score=None)
+    near = expand(links, members.select("class_id", "id", "shop_type"), []).select("block", "id_1", "id_2", *C.MEASURES, "rule_score")
+    known = features.select("block", "id", "shop_type").join(vectors.select("id", "embedding").filter("embedding IS NOT NULL"), "id")
+    # one product a cell scores the candidates and finds the pairs close in vector space only
+    scored = stored(scored_pairs(known, near, K.SIMILAR_SCORE_ALONE, K.ALTERNATIVE_SCORE, ["block"]))
+    details = ["title", "brand", "category", "unit", "shop_type"]
+    close_details = [*details, "terms", "amount", "bio", "diet", "brand_norm"]
+
+    def described(pairs: DataFrame, columns: list[str]) -> DataFrame:
+        for end in ("1", "2"):
+            pairs = pairs.join(features.select(F.col("id").alias(f"id_{end}"), *[F.col(c).alias(f"{c}_{end}") for c in columns]), f"id_{end}")
+        return pairs
+
+    listed = scored.filter("listed")
+    semantic = described(listed.filter("score IS NOT NULL"), details)
+    ruled = described(listed.filter("score IS NULL"), details)
+    close = described(scored.filter("NOT listed").select("id_1", "id_2", "score"), close_details)
+    close = C.add_measures(close, similarity.brand_similarity("brand_norm_1", "brand_norm_2"))
+    found = C.classified(semantic, "score", "semantic").unionByName(C.classified(close, "score", "semantic"))
+    return found.unionByName(C.classified(ruled))
 
 
 # staged matcher
@@ -184,7 +204,7 @@ def candidate_questions(candidates: DataFrame) -> DataFrame:
         F.col("title_2").alias("candidate_title"),
         F.col("rule_score"),
     )
-    return row_numbers(rows, ["source_id"], [F.col("rule_score").desc(), F.col("candidate_id")], "position")
+    return row_numbers(rows, ["source_id"], [F.col("rule_score").desc(), F.col("candidate_id")], "position", ("source_id", "candidate_id"))
 
 
 def parse_candidate_answers(responses: DataFrame, text_column: str = "response_text") -> DataFrame:

@@ -9,6 +9,7 @@ from shelfpair import constants as K
 from shelfpair.functions import scoring, text
 from shelfpair.operators.blocking import BLOCK, active, block_inventory, paired_ids, with_block
 from shelfpair.operators.pairing import pair_within
+from shelfpair.operators.ranking import running_total
 
 
 def mean(column: str, digits: int) -> Column:
@@ -126,22 +127,33 @@ def confidence_bins(pairs: DataFrame) -> DataFrame:
     ).agg(F.count("*").alias("pair_count"))
 
 
-def confidence_outliers(pairs: DataFrame, width: float = 3.0) -> DataFrame:
-    """Pairs outside median +- ``width`` times the median absolute deviation of their class.
+def exact_medians(rows: DataFrame, group: str, value: str, out: str) -> DataFrame:
+    """(group, out): the exact median of ``value`` in each group, from counts of its different values.
 
-    Scores have three decimals, so the exact median keeps at most 1001 distinct values per class.
+    A running count over the sorted values tells where the middle is, so no task holds the values of a group, however many
+    different ones there are. Nulls do not count; an even number of rows gives the mean of the two middle values.
     """
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("_n"))
+    running = running_total(counts, [group], [F.col(value)], F.col("_n"), "_before")
+    totals = counts.groupBy(group).agg(F.sum("_n").alias("_total"))
+    same = F.col("r." + group).eqNullSafe(F.col("t." + group))
+    placed = running.alias("r").join(totals.alias("t"), same).select("r." + group, value, "_n", "_before", "_total")
+    holds = lambda place: (F.col("_before") <= place) & (place < F.col("_before") + F.col("_n"))
+    low = F.max(F.when(holds(F.expr("(_total - 1) DIV 2")), F.col(value)))
+    high = F.max(F.when(holds(F.expr("_total DIV 2")), F.col(value)))
+    return placed.groupBy(group).agg((low + (high - low) * 0.5).alias(out))
+
+
+def confidence_outliers(pairs: DataFrame, width: float = 3.0) -> DataFrame:
+    """Pairs outside median +- ``width`` times the median absolute deviation of their class, both exact."""
     rows = pairs.withColumn("_score", F.col("similarity_score").cast("double"))
-    middle = rows.groupBy("equivalence_type").agg(F.median("_score").alias("median"))
-    with_middle = rows.join(middle, "equivalence_type")
-    spread = with_middle.groupBy("equivalence_type").agg(
-        F.median(F.round(F.abs(F.col("_score") - F.col("median")), 6)).alias("mad")
-    )
-    deviation = F.round(F.abs(F.col("_score") - F.col("median")), 6)
+    with_middle = rows.join(exact_medians(rows, "equivalence_type", "_score", "median"), "equivalence_type")
+    measured = with_middle.withColumn("_deviation", F.round(F.abs(F.col("_score") - F.col("median")), 6))
+    spread = exact_medians(measured, "equivalence_type", "_deviation", "mad")
     return (
-        with_middle.join(spread, "equivalence_type")
-        .filter(deviation > F.lit(width) * F.col("mad"))
-        .drop("_score")
+        measured.join(spread, "equivalence_type")
+        .filter(F.col("_deviation") > F.lit(width) * F.col("mad"))
+        .drop("_score", "_deviation")
     )
 
 

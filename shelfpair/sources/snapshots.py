@@ -1,41 +1,24 @@
-"""Versioned table snapshots and a cache of answers keyed by a hash."""
+"""Plain tables in folders, and a cache of answers keyed by a hash."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def versions(spark: SparkSession, base: str) -> list[int]:
-    """Versions of a table, oldest first: the partitions ``v=...`` of its folder that hold files."""
-    try:
-        found = spark.read.parquet(base).select("v").distinct().collect()
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return []
-        raise
-    return sorted(r.v for r in found)
-
-
-def write_snapshot(df: DataFrame, base: str, partition_by: str | None = None, sort_by: str | None = None) -> int:
-    """Write the next version. Returns its number."""
-    number = (versions(df.sparkSession, base) or [0])[-1] + 1
+def write_table(df: DataFrame, path: str, partition_by: str | None = None, sort_by: str | None = None) -> None:
+    """Write a table to the folder the caller names, which must not hold one yet."""
     rows = df.sortWithinPartitions(sort_by) if sort_by else df
-    writer = rows.write.mode("overwrite")
+    writer = rows.write
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(f"{base}/v={number}")
-    return number
+    writer.parquet(path)
 
 
-def read_snapshot(spark: SparkSession, base: str, schema: StructType, version: int | None = None) -> DataFrame:
-    """The given or the latest version; an empty table when there is none."""
-    number = version or (versions(spark, base) or [0])[-1]
-    if not number:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{base}/v={number}")
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table in a folder, with the columns of ``schema`` in its order."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def cache_key(*parts: Column) -> Column:

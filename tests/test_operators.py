@@ -10,9 +10,11 @@ from shelfpair.functions.inference import ask
 from shelfpair.operators import batching, blocking, merging, parsing
 from shelfpair.operators.candidates import add_features, candidate_pairs
 from shelfpair.operators.pairing import pair_across, pair_within
+from shelfpair.operators import pivots
+from shelfpair.operators.classes import class_members, classes_of, expand, with_pair_counts
 from shelfpair.operators.ranking import row_numbers, running_total
-from shelfpair.operators.vectors import pairs_above, top_neighbours
-from shelfpair.plans import evaluation, labelling, matching, runs
+from shelfpair.operators.vectors import pairs_above, scored_pairs, top_neighbours
+from shelfpair.plans import evaluation, labelling, matching, reports, runs
 from shelfpair.schemas import LABELS, PAIRS, PRODUCTS
 from shelfpair.sources import files
 
@@ -322,3 +324,111 @@ def test_block_argument():
     assert blocking.parse_block_argument(" Zuivel | l ") == ("Zuivel", "l")
     with pytest.raises(ValueError):
         blocking.parse_block_argument("Zuivel")
+
+
+# classes of listings
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_copies_of_the_catalogue_add_no_links(spark):
+    once = products(spark, 60)
+    copies = once.crossJoin(spark.range(100).withColumnRenamed("id", "copy")).withColumn("id", F.col("id") + 1000 * F.col("copy")).drop("copy")
+    links, members = matching.rule_match_links(once)
+    many, all_members = matching.rule_match_links(copies)
+    key = lambda df: {(r.class_1, r.class_2): (r.equivalence_type, r.pair_count) for r in df.collect()}
+    few, crowd = key(links), key(many)
+    assert few.keys() == crowd.keys() and all_members.count() == 100 * members.count()
+    assert all(crowd[k] == (kind, 10_000 * n) for k, (kind, n) in few.items() if k[0] != k[1])
+    assert sum(n for _, n in few.values()) == matching.rule_matches(once).count()
+
+
+def test_expanded_links_are_the_pairs_they_count(spark):
+    members = class_members(add_features(products(spark, 150, seed=3)))
+    classes = classes_of(members)
+    every = classes.select("block", F.col("id").alias("class_1")).join(classes.select("block", F.col("id").alias("class_2")), "block").filter("class_1 <= class_2")
+    counted = with_pair_counts(every, classes)
+    rows = expand(every.withColumn("link", F.struct("class_1", "class_2")), members, ["title"]).collect()
+    seen = {}
+    for r in rows:
+        assert r.id_1 < r.id_2 and r.shop_type_1 != r.shop_type_2
+        seen[tuple(r.link)] = seen.get(tuple(r.link), 0) + 1
+    assert {(r.class_1, r.class_2): r.pair_count for r in counted.collect() if r.pair_count} == seen
+
+
+def test_brands_are_compared_once_for_each_two_that_meet(spark):
+    matches = matching.rule_matches(products(spark, 60))
+    assert "aggregate(" not in plan_of(matches)
+
+
+# vectors
+
+
+def vector_rows(spark, matrix, blocks=1):
+    rows = [(i, "AH" if i % 2 else "PLUS", f"b{i % blocks}", [float(x) for x in v]) for i, v in enumerate(matrix)]
+    return spark.createDataFrame(rows, "id long, shop_type string, block string, embedding array<double>")
+
+
+@pytest.mark.parametrize("chunk_rows", [4, 1000])
+def test_scores_out_of_the_cells(spark, chunk_rows):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    matrix = rng.normal(size=(40, 5))
+    matrix /= np.linalg.norm(matrix, axis=1)[:, None]
+    vectors = vector_rows(spark, matrix, 2).filter("id % 9 <> 0")
+    listed = [(f"b{i % 2}", i, j, i + j) for i in range(40) for j in range(i + 2, 40, 4)]
+    got = scored_pairs(vectors, spark.createDataFrame(listed, "block string, id_1 long, id_2 long, mark int"), 0.6, 0.1, ["block"], chunk_rows).collect()
+    scores = (matrix @ matrix.T).round(9)
+    want = {}
+    for i in range(40):
+        for j in range(i + 2, 40, 2):
+            known = (f"b{i % 2}", i, j, i + j) in listed
+            if i % 9 == 0 or j % 9 == 0:
+                want.update({(i, j): (None, True, i + j)} if known else {})
+            elif known and scores[i, j] >= 0.1 or not known and scores[i, j] >= 0.6 and i % 2 != j % 2:
+                want[i, j] = (scores[i, j], known, i + j if known else None)
+    assert {(r.id_1, r.id_2): (r.score, r.listed, r.mark) for r in got} == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("clustered", [True, False])
+def test_search_without_blocks_leaves_out_chunks_and_loses_nothing(spark, clustered):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(6, 8)) * (5 if clustered else 0)
+    matrix = (centres[rng.integers(0, 6, 600)] + rng.normal(size=(600, 8)) * (0.3 if clustered else 1)).round(3)
+    matrix[:3] = 0
+    matrix[5] = matrix[4]
+    vectors = vector_rows(spark, matrix)
+    scores = (matrix @ matrix.T).round(9)
+    got = {(r.id_1, r.id_2, r["rank"]) for r in top_neighbours(vectors, 5, chunk_rows=20).collect()}
+    assert got == {(i, j, n + 1) for i in range(600) for n, j in enumerate(sorted(range(600), key=lambda j: (-scores[i, j], j))[:5])}
+    threshold = float(np.quantile(scores, 0.995))
+    above = [(r.id_1, r.id_2) for r in pairs_above(vectors, threshold, chunk_rows=20).collect()]
+    assert sorted(above) == [(i, j) for i in range(600) for j in range(i + 1, 600) if scores[i, j] >= threshold and i % 2 != j % 2]
+    placed = pivots.place(vectors, 20)
+    cells = sum(c[2] for c in placed.cells)
+    met = pivots.visits(placed, pivots.reached(placed, 5)).count()
+    assert met <= 600 * cells
+    if clustered:  # most rows meet the cells of their own cluster only
+        assert met < 0.5 * 600 * cells
+
+
+def test_exact_medians(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, round(rng.random(), 9), 0.5])) for _ in range(201)] + [("c", 1.0), ("c", 2.0), ("d", None)]
+    got = {r.g: r.m for r in reports.exact_medians(spark.createDataFrame(rows, "g string, v double"), "g", "v", "m").collect()}
+    import statistics
+
+    want = {g: statistics.median([v for h, v in rows if h == g and v is not None]) for g in ("a", "b", None, "c")}
+    assert got == pytest.approx(want)
+
+
+def test_numbers_are_made_from_keys_alone(spark):
+    rows = products(spark, 50).repartition(3)
+    numbered = row_numbers(rows, ["shop_type"], blocking.brand_title_order(), "n")
+    files_read = [line for line in plan_of(numbered).splitlines() if "stored-" in line]
+    assert files_read and not any("title" in line for line in files_read)

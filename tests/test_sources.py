@@ -65,16 +65,20 @@ def test_logs_split_at_answers(spark, tmp_path):
     assert [r.response_text for r in found] == answers
 
 
-def test_snapshots_ignore_empty_folders(spark, tmp_path):
-    base = f"{tmp_path}/t"
-    assert snapshots.read_snapshot(spark, base, PAIRS).count() == 0
-    one = spark.range(3).selectExpr("id AS n")
-    assert snapshots.write_snapshot(one, base) == 1
-    assert snapshots.write_snapshot(one.limit(1), base) == 2
-    (tmp_path / "t" / "v=3").mkdir()
-    assert snapshots.versions(spark, base) == [1, 2]
-    assert snapshots.read_snapshot(spark, base, one.schema).count() == 1
-    assert snapshots.read_snapshot(spark, base, one.schema, version=1).count() == 3
+def test_tables_in_folders(spark, tmp_path):
+    rows = spark.range(6).selectExpr("id AS n", "CAST(id % 2 AS INT) AS half")
+    snapshots.write_table(rows, f"{tmp_path}/t", "half", "n")
+    assert {tuple(r) for r in snapshots.read_table(spark, f"{tmp_path}/t", rows.schema).collect()} == {(i, i % 2) for i in range(6)}
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        snapshots.write_table(rows, f"{tmp_path}/t")
+
+
+def test_lines_that_do_not_fit_are_rejected(spark, tmp_path):
+    schema = StructType.fromDDL("id bigint, title string, price double")
+    (tmp_path / "a.csv").write_text('id,title,price\n1,"two\nlines, ""quoted""",1.5\nx,bad id,2\n2,short\n3,,\n4,plain,2.5,extra\n')
+    rows, rejected = files.read_checked_csv(spark, str(tmp_path), schema)
+    assert sorted(map(tuple, rows.collect())) == [(1, 'two\nlines, "quoted"', 1.5), (3, None, None)]
+    assert sorted(r.line for r in rejected.collect()) == ["2,short", "4,plain,2.5,extra", "x,bad id,2"]
 
 
 def test_cache(spark):
