@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from shelfpair.llm.common import plus, set_aside, smallest_by_hash, without
+from shelfpair.llm.common import plus, set_aside, without
+from shelfpair.session import stored
 
 WINDOW, DIMS, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 12
 WIDEST = max(WIDTHS)
@@ -143,22 +144,30 @@ class Network:
         return out
 
 
-def training_windows(docs: DataFrame, most_docs: int, per_doc: int) -> DataFrame:
-    """(lang, text) of up to ``most_docs`` labelled documents outside the held-out fold: ``per_doc`` cuts of each.
+def training_windows(docs: DataFrame, per_lang: int, per_doc: int) -> DataFrame:
+    """(lang, text) of up to ``per_lang`` labelled documents of each language outside the held-out fold: ``per_doc`` cuts of each.
 
-    Cuts start at hashed places of the whole text. The documents are those smallest by hash, so the sample is bounded and
-    the same whatever the partitions. The id only picks the fold and the sample; no prediction sees it.
+    Cuts start at hashed places of the whole text. The documents are those smallest by hash in their language, so the
+    sample is the same whatever the partitions, a rare language has all its documents in it, and it grows with the number
+    of languages alone. The id only picks the fold and the sample; no prediction sees it.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     starts = [F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length("text") - WINDOW, F.lit(1))).cast("int") + 1 for k in range(per_doc)]
     cuts = F.array(*[F.substring(F.col("text"), start, F.lit(WINDOW)) for start in starts])
-    picked = smallest_by_hash(usable.select("doc_id", "lang", cuts.alias("cuts")), "doc_id", most_docs, docs.count())
-    return picked.orderBy("doc_id").select("lang", F.explode("cuts").alias("text"))
-
-
-def train(docs: DataFrame, most_docs: int = 4000, per_doc: int = 2, epochs: int = 6) -> Network:
-    """A network fitted on a bounded sample of labelled documents (``most_docs`` * ``per_doc`` windows of 256 bytes)."""
-    rows = training_windows(docs, most_docs, per_doc).collect()
+    counts = stored(usable.groupBy("lang").agg(F.count("*").alias("documents")))
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
+    # a share of the hash range that holds four times the rows wanted: tasks hand on few rows however many tasks there are
+    share = F.lit(4.0 * per_lang) / F.col("documents")
+    near = (share >= 1) | (F.col("place") < (share * 2.0**63).cast("long"))
+    first = Window.partitionBy("lang").orderBy("place", "doc_id", "cuts")
+    placed = usable.select("doc_id", "lang", cuts.alias("cuts"), place.alias("place")).join(counts, "lang").where(near)
+    picked = placed.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_lang)
+    return picked.orderBy("doc_id", "lang", "cuts").select("lang", F.explode("cuts").alias("text"))
+
+
+def train(docs: DataFrame, per_lang: int = 1000, per_doc: int = 2, epochs: int = 6) -> Network:
+    """A network fitted on a bounded sample of labelled documents (``per_lang`` * ``per_doc`` windows of 256 bytes a language)."""
+    rows = training_windows(docs, per_lang, per_doc).collect()
     rows = [(r["lang"], r["text"]) for r in rows if any(map(str.isalpha, r["text"]))]
     network = Network(sorted({lang for lang, _ in rows}))
     if rows:

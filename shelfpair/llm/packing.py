@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -88,8 +89,10 @@ def _encoder(path: str, remembered: int) -> WordEncoder:
     return _ENCODERS[path, remembered]
 
 
-def pieces(docs: DataFrame, path: str, end: int = END, longest: int = LENGTH, remembered: int = REMEMBERED) -> DataFrame:
-    """(doc_id, start, length, doc_tokens, ids) of every piece of every row of ``docs`` (doc_id, text).
+def pieces(docs: DataFrame, path: str, end: int = END, longest: int = LENGTH, remembered: int = REMEMBERED, given: tuple[str, ...] = ("ids",)) -> DataFrame:
+    """(doc_id, start, length, doc_tokens, and what ``given`` names) of every piece of every row of ``docs`` (doc_id, text).
+
+    ``given``: ids, and ids_crc32, their CRC-32 as little-endian unsigned 32-bit numbers.
 
     A document is the ids of its whole text (null: none) and ``end``. Its pieces are powers of two of at most ``longest``
     (itself one), follow each other without gap, and hold each id once. Repeated rows are cut each; further columns
@@ -110,31 +113,30 @@ def pieces(docs: DataFrame, path: str, end: int = END, longest: int = LENGTH, re
                 owner = np.repeat(np.arange(len(count)), count)
                 offsets = np.concatenate([[0], np.cumsum(flat)])
                 doc_start = np.concatenate([[0], np.cumsum(tokens)])[:-1]
-                values = pa.array(np.frombuffer(b"".join(coded), IDS).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(owner)),
-                        pa.array(offsets[:-1] - doc_start[owner]),
-                        pa.array(flat),
-                        pa.array(np.array(tokens, np.int64)[owner]),
-                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values),
-                    ],
-                    ["doc_id", "start", "length", "doc_tokens", "ids"],
-                )
+                data = b"".join(coded)
+                columns = [batch.column(0).take(pa.array(owner)), pa.array(offsets[:-1] - doc_start[owner]), pa.array(flat), pa.array(np.array(tokens, np.int64)[owner])]
+                for name in given:
+                    if name == "ids":
+                        columns.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(data, IDS).astype(np.int32))))
+                    else:
+                        ends = (4 * offsets).tolist()
+                        columns.append(pa.array([zlib.crc32(data[a:b]) for a, b in pairwise(ends)], pa.int64()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "doc_tokens", *given])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, start long, length long, doc_tokens long, ids array<int>")
+    kinds = {"ids": "array<int>", "ids_crc32": "long"}
+    return rows.mapInArrow(run, "doc_id long, start long, length long, doc_tokens long" + "".join(f", {name} {kinds[name]}" for name in given))
 
 
-def pack(docs: DataFrame, path: str | None = None, end: int = END, longest: int = LENGTH, remembered: int = REMEMBERED) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, end: int = END, longest: int = LENGTH, remembered: int = REMEMBERED, given: tuple[str, ...] = ("ids",)) -> DataFrame:
     """The pieces of ``docs`` as sequences: what ``pieces`` returns, with sequence_id and offset.
 
     A piece is a sequence of its own, so no sequence crosses documents, offset is always 0, and every length is a power of
     two: nothing is padded. Sequences of one length form a bucket (the length names it), from which batches of equal
     shape are drawn; ``write_buckets`` lays them out so. sequence_id is unique; its numbers follow the partitions of a run.
-    ``remembered`` bounds the memory of the worker processes; the result does not depend on it.
+    ``remembered`` bounds the memory of the worker processes; the result does not depend on it. ``given``: see ``pieces``.
     """
-    placed = pieces(docs, path or public_tokenizers.path(VOCABULARY), end, longest, remembered)
+    placed = pieces(docs, path or public_tokenizers.path(VOCABULARY), end, longest, remembered, given)
     return placed.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
 
 

@@ -13,7 +13,7 @@ WORD = r"[^ \t\n\x0B\f\r]"
 SYMBOL = r"[#*$%&|<>]"
 #: Number of hash buckets; it bounds the tables of counts and ratios, whatever the size of the corpus.
 BUCKETS = 1 << 16
-FACTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
+FACTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]
 
 
 def words_of(text: Column) -> Column:
@@ -121,7 +121,7 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = -0.1, most_trus
     # The optimiser does not look through a generator: a filter on the facts does not measure the text once more for each.
     measured_once = found.select(*own, F.inline(F.array(facts)))
     return measured_once.select(
-        *own, *FACTS[:5], failed.alias("base_failed"), "score", (~failed & (F.col("score") >= threshold)).alias("kept")
+        *own, *FACTS[:5], failed.alias("base_failed"), (~failed & (F.col("score") >= threshold)).alias("kept"), "score"
     )
 
 

@@ -12,7 +12,7 @@ from shelfpair.llm.common import table
 from shelfpair.llm.credentials import secret_report
 from shelfpair.llm.html import main_text
 from shelfpair.llm.language import held_out, identify, train
-from shelfpair.llm.packing import pack, with_checksums
+from shelfpair.llm.packing import pack
 from shelfpair.llm.pii import checked_surrogates
 from shelfpair.llm.quality import judge
 from shelfpair.llm.ranking import search
@@ -30,7 +30,7 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
-    packed = with_checksums(pack(table(spark, folder, "documents")))
+    packed = pack(table(spark, folder, "documents"), given=("ids_crc32",))
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

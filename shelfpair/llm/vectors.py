@@ -12,6 +12,8 @@ from shelfpair.session import stored
 
 #: Dimensions whose int8 products sum exactly in float32: 1024 * 127 ** 2 < 2 ** 24.
 EXACT_DIMS = 1024
+#: Rows of a tile whose products are in memory together.
+STRIP = 512
 #: Covers the rounding of the bounds themselves, which are computed in double precision.
 SLACK = 1e-9
 
@@ -36,13 +38,18 @@ def linked_pairs(left: np.ndarray, right: np.ndarray, threshold: float) -> tuple
     """
     lengths = [np.linalg.norm(side, axis=1) for side in (left, right)]
     (a, sa, ca, ea), (b, sb, _, eb) = (quantised(side / n[:, None]) for side, n in zip((left, right), lengths))
-    coded = np.zeros((len(a), len(b)))
-    for k in range(0, a.shape[1], EXACT_DIMS):
-        coded += a[:, k : k + EXACT_DIMS].astype(np.float32) @ b[:, k : k + EXACT_DIMS].astype(np.float32).T
-    coded *= sa[:, None]
-    coded *= sb[None, :]
-    coded += ca[:, None] * eb[None, :] + (ea[:, None] + SLACK)
-    i, j = np.nonzero(coded >= threshold)
+    found = []
+    for at in range(0, len(a), STRIP):  # products of a strip at a time, so that a tile may be large
+        rows = slice(at, at + STRIP)
+        coded = np.zeros((len(a[rows]), len(b)))
+        for k in range(0, a.shape[1], EXACT_DIMS):
+            coded += a[rows, k : k + EXACT_DIMS].astype(np.float32) @ b[:, k : k + EXACT_DIMS].astype(np.float32).T
+        coded *= sa[rows, None]
+        coded *= sb[None, :]
+        coded += ca[rows, None] * eb[None, :] + (ea[rows, None] + SLACK)
+        near = np.nonzero(coded >= threshold)
+        found.append((near[0] + at, near[1]))
+    i, j = (np.concatenate([np.empty(0, np.int64), *part]) for part in zip(*found)) if found else (np.empty(0, np.int64),) * 2
     keep = np.zeros(len(i), dtype=bool)
     for start in range(0, len(i), 1 << 16):
         part = slice(start, start + (1 << 16))
@@ -87,7 +94,7 @@ def usable(label: Column, vector: Column) -> Column:
     return F.coalesce(label.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.98, tile_rows: int = 1024) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.98, tile_rows: int = 4096) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding: array<float>, label).
 
     Vectors of one label and length link if their cosine in double precision is at least ``threshold``. n_links counts the
@@ -96,16 +103,19 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, tile_rows: int = 1
     further vectors. vec_id is meant to be unique; links of different vectors under one id are counted together.
     Further columns are ignored.
 
-    Equal vectors are one node with a number of copies, so crowds of copies meet nothing but once. The nodes of a label fall
-    into tiles of about ``tile_rows`` rows by hash; each pair of tiles is one group of bounded size, so a hot label spreads
-    over many tasks. A pair of tiles returns one row a linked node: a count, and its smallest partner for the components.
+    Equal vectors are one node with a number of copies, so crowds of copies meet nothing but once; two 64-bit hashes stand
+    for a vector wherever rows and nodes meet, so vectors themselves move to their node and to their tiles only. The nodes
+    of a label fall into tiles of about ``tile_rows`` rows by hash; each pair of tiles is one group of bounded size, so a hot
+    label spreads over many tasks. A pair of tiles returns one row a linked node: a count, and its smallest partner for
+    the components.
     """
+    mark = [F.xxhash64("label", "embedding").alias("mark"), F.xxhash64(F.reverse("embedding"), "label").alias("mark_2")]
     rows = vectors.select(F.col("vec_id").cast("long"), "label", "embedding")
-    good = rows.where(usable(F.col("label"), F.col("embedding")) & F.col("vec_id").isNotNull())
-    nodes = stored(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")))
-    sized = nodes.withColumn("dims", F.size("embedding"))
+    good = rows.where(usable(F.col("label"), F.col("embedding")) & F.col("vec_id").isNotNull()).select("vec_id", "label", "embedding", *mark)
+    nodes = good.groupBy("label", "mark", "mark_2").agg(F.first("embedding").alias("embedding"), F.min("vec_id").alias("node"), F.count("*").alias("copies"))
+    sized = stored(nodes.withColumn("dims", F.size("embedding")))
     tiles = stored(sized.groupBy("label", "dims").agg(F.ceil(F.count("*") / tile_rows).alias("tiles")))
-    dealt = sized.join(tiles, ["label", "dims"]).withColumn("tile", F.pmod(F.xxhash64("node", "embedding"), F.col("tiles")))
+    dealt = sized.join(tiles, ["label", "dims"]).withColumn("tile", F.pmod(F.xxhash64("mark", "mark_2"), F.col("tiles")))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))).select(
         "label", "dims", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"), "tile", "node", "copies", "embedding"
     )
@@ -116,13 +126,15 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, tile_rows: int = 1
     found = stored(met.groupBy("label", "dims", "first", "second").applyInArrow(run, "node long, links long, low long"))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("node").alias("a"), F.col("low").alias("b")))
-    known = stored(nodes.join(counts, "node", "left").join(groups, "node", "left"))
-    out = rows.join(known, (rows.label == known.label) & (rows.embedding == known.embedding), "left")
-    named = F.col("vec_id").isNotNull() & F.col("node").isNotNull()
-    component = F.when(named, F.coalesce("component", "node")).otherwise(F.col("vec_id"))
-    return out.select(
+    slim = sized.select("mark", "mark_2", "node", "copies")
+    known = stored(slim.join(counts, "node", "left").join(groups, "node", "left"))
+    named = good.select("vec_id", "mark", "mark_2").join(known, ["mark", "mark_2"])
+    component = F.coalesce("component", "node")
+    linked = named.select(
         "vec_id",
-        F.when(named, F.col("copies") - 1 + F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("n_links"),
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"),
         component.alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
+        (F.col("vec_id") == component).alias("kept"),
     )
+    alone = rows.where(~(usable(F.col("label"), F.col("embedding")) & F.col("vec_id").isNotNull()))
+    return linked.unionByName(alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept")))

@@ -88,6 +88,7 @@ def test_lists_too_long_to_send_and_split_hubs(spark, monkeypatch):
     rows = list(enumerate(texts))
     monkeypatch.setattr(jaccard, "SENT", 1)
     monkeypatch.setattr(jaccard, "TOGETHER", 200)
+    monkeypatch.setattr(jaccard, "KNOWN", 3)
     got = jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string"))
     assert dict(map(tuple, got.collect())) == brute_jaccard(rows)
     assert len(shingles_of(texts[0])) > 60

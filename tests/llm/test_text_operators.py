@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from shelfpair.llm import queries
 from shelfpair.llm.bytebpe import ByteEncoder, decode, encode
-from shelfpair.llm.language import Network, held_out, identify, keep_known, train, windows_of
+from shelfpair.llm.language import DIMS, FILTERS, WIDTHS, WINDOW, Network, held_out, identify, keep_known, train, windows_of
 from shelfpair.llm.packing import WordEncoder, cut, pack, with_checksums, write_buckets
 from shelfpair.llm.quality import BUCKETS, judge
 from tests.conftest import SMALL
@@ -204,7 +204,7 @@ def brute_quality(rows, trusted, threshold=-0.1):
 def same(got, want):
     assert got.keys() == want.keys()
     for key in want:
-        *a, s, k = got[key]
+        *a, k, s = got[key]
         *b, t, m = want[key]
         assert a == b and k == m and (s == t if t is None else abs(s - t) < 1e-9), (key, got[key], want[key])
 
@@ -284,6 +284,50 @@ def test_gradients_match_differences():
             assert abs((up - down) / 2e-6 - found[key][index]) < 1e-6
 
 
+def plain_network(network, window):
+    """Probabilities of one window by plain loops over filters, positions and classes."""
+    p = {name: values.astype(float) for name, values in network.p.items()}
+    pooled = []
+    for k, width in enumerate(WIDTHS):
+        for f in range(k * FILTERS, (k + 1) * FILTERS):
+            best = -math.inf
+            for at in range(len(window) - max(WIDTHS) + 1):
+                total = 0.0
+                for j in range(width):
+                    for d in range(DIMS):
+                        total += p["embedding"][window[at + j], d] * p["filters"][j * DIMS + d, f]
+                best = max(best, total)
+            pooled.append(max(0.0, best + p["bias"][f]))
+    logits = [sum(x * p["out"][f, c] for f, x in enumerate(pooled)) + p["shift"][c] for c in range(len(network.classes))]
+    odds = [math.exp(x - max(logits)) for x in logits]
+    return [x / sum(odds) for x in odds]
+
+
+def test_predictions_by_plain_loops(spark, duck):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    network = train(docs, epochs=2)
+    rows = [(d, t) for d, t in duck.execute("select doc_id, text from documents order by length(text), doc_id limit 40").fetchall()]
+    found = {r.doc_id: r for r in identify(docs, network).collect()}
+    for doc_id, text in rows:
+        if not text or not any(c.isalpha() for c in text):
+            assert (found[doc_id].lang_pred, found[doc_id].score) == ("und", 0.0)
+            continue
+        windows = windows_of(text)
+        sizes = [min(WINDOW, len(text.encode()) - k * WINDOW) for k in range(len(windows))]
+        odds = [plain_network(network, w) for w in windows]
+        mean = [sum(o[c] * n for o, n in zip(odds, sizes)) / sum(sizes) for c in range(len(network.classes))]
+        assert found[doc_id].lang_pred == network.classes[mean.index(max(mean))] and abs(found[doc_id].score - max(mean)) < 1e-3
+
+
+def test_a_rare_language_is_learned(spark):
+    rows = [(i, " ".join(["the", "cat", "and", "dog"][(i + j) % 4] for j in range(20)), "en") for i in range(6000)]
+    rows += [(10_000 + i, "żółw święty łódź " * (3 + i % 3), "pl") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = train(docs, per_lang=200)
+    assert network.classes == ["en", "pl"]
+    assert network.predict(["święty żółw łódź i żółw", "the dog and the cat"])[0] == ["pl", "en"]
+
+
 def test_language_odd_rows(spark):
     train_rows = [(i, ("the cat and the dog " if i % 2 else "le chat et le chien ") * (i % 5 + 1), "en" if i % 2 else "fr") for i in range(200)]
     docs = spark.createDataFrame(train_rows, "doc_id long, text string, lang string")

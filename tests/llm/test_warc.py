@@ -1,6 +1,7 @@
 """Archives: exact round trips, revisits, and the order of the merged index."""
 
 import base64
+import gzip
 import hashlib
 from collections import defaultdict
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 
 from shelfpair.llm import queries
-from shelfpair.llm.warc import archive_and_index, merge_runs, parse_archive, records, url_key
+from shelfpair.llm.warc import archive_and_index, merge_runs, parse_record, read_archives, record_at, records, url_key, write_archives
 from tests.conftest import SMALL
 
 
@@ -68,8 +69,33 @@ def test_url_keys():
     assert url_key("http://a.example.com") == "com,example,a)/" and url_key(None) == ""
 
 
+def test_seeking_reading_in_parts_and_other_readers(spark, tmp_path):
+    import random
+
+    draw = random.Random(7)
+    pages = spark.createDataFrame([(p, f"http://h/{p}", "".join(draw.choices("abcdefgh <>é", k=draw.randrange(4000)))) for p in range(300)] + [(999, "http://h/copy", "x"), (1000, None, "x")], "page_id long, url string, html string")
+    folder = f"{tmp_path}/archives"
+    write_archives(records(pages.coalesce(1)), folder, 200)
+    files = {f.name: f.read_bytes() for f in (tmp_path / "archives").glob("part-*")}
+    size, spark_size = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(size, "50k")
+    try:
+        read = read_archives(spark, folder)
+        got = read.collect()
+    finally:
+        spark.conf.set(size, spark_size)
+    assert len(got) == 302 and max(map(len, files.values())) > 4 * 50_000
+    for r in got:  # seek by file and offset
+        capture = parse_record(r.file, r.offset, record_at(files[r.file], r.offset))
+        assert capture[5] == r.page_id and capture[7] == r.payload_digest
+    whole = b"".join(gzip.decompress(data) for data in files.values())  # a reader that knows members only
+    assert whole.count(b"WARC/1.1\r\n") == 302 and whole.endswith(b"\r\n\r\n")
+    again = whole[whole.index(b"WARC-Type: revisit") :]
+    assert b"WARC-Refers-To-Target-URI: http://h/copy\r\n" in again and b"WARC-Refers-To-Date: 2020-01-01T00:16:39Z" in again
+
+
 def test_damage_is_noticed():
     body = b"HTTP/1.1 200 OK\r\nContent-Length: 1\r\n\r\nx"
     record = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Date: d\r\nWARC-Payload-Digest: sha1:AA\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n" % (len(body), body)
-    with pytest.raises(ValueError):
-        list(parse_archive("f", record))
+    with pytest.raises(ValueError, match="payload"):
+        parse_record("f", 0, gzip.compress(record))
