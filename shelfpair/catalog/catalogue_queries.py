@@ -53,6 +53,18 @@ def _(t):
     return blocking.active(t.products)
 
 
+@query(
+    "s01_parquet_read",
+    "SELECT id, title, main_category FROM products WHERE is_active AND main_category = 'PROMO'",
+)
+def _(t):
+    """A catalogue table in a folder; the filters and the three columns reach the scan."""
+    path = _folder(t, "catalogue-table")
+    snapshots.write_table(t.products, path)
+    rows = blocking.active(tables.read_parquet(t.spark, path, schemas.PRODUCTS))
+    return rows.filter(F.col("main_category") == "PROMO").select("id", "title", "main_category")
+
+
 @query("s02_csv_products", f"SELECT {PRODUCT_COLUMNS.replace('brand', 'nullif(brand, chr(0)) AS brand')} FROM products".replace("chr(0)", "''"))
 def _(t):
     path = _folder(t, "products-csv")

@@ -164,7 +164,7 @@ def _(t):
 
 @query("t07_preview_batch", "SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY main_category ORDER BY id) AS r FROM products) x WHERE r <= 15")
 def _(t):
-    return batching.id_batches(t.products, 15).filter("batch_id = 0").select("id")
+    return batching.first_batches(t.products, 15).select("id")
 
 
 # set operations
@@ -289,6 +289,13 @@ def _(t):
     return merging.clean_up_counts(t.pairs, t.products)
 
 
+@query("m03_written_clean_up", CLEAN_UP, "products product_equivalence", f"live AS ({LIVE})")
+def _(t):
+    """The same numbers, taken while the table that stays is written."""
+    counts = merging.write_cleaned(t.pairs, t.products, _folder(t, "cleaned"))
+    return t.spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts))
+
+
 @query(
     "d04_review_decisions",
     """SELECT source_product_id, target_product_id, CASE decision WHEN 'approve' THEN 'approved' WHEN 'reject' THEN 'rejected' WHEN 'defer' THEN 'deferred' ELSE 'queued' END AS status
@@ -558,3 +565,24 @@ staged AS (SELECT * FROM stage_1 UNION ALL SELECT * FROM stage_2 UNION ALL SELEC
 )
 def _(t):
     return matching.staged_matches(t.products, t.vectors.select("id", "embedding"), even_candidates, threshold=0.3)
+
+
+CLASS_STAGE = STAGED[: STAGED.index("stage_3 AS")] + """
+grouped_rest AS (SELECT id, shop_type, min(id) OVER w AS class_id FROM feats WINDOW w AS (PARTITION BY category, unit, bn, list_sort(terms), amount, bio, diet)),
+second AS (SELECT g.class_id, min(g.id) AS other FROM grouped_rest g JOIN grouped_rest f ON f.id = g.class_id WHERE g.shop_type <> f.shop_type GROUP BY 1),
+stage_3 AS (SELECT id_1 AS lo, id_2 AS hi, 0.9E0 AS confidence, 'similar' AS kind, 3 AS stage, 2 AS n, 1 AS pairs
+  FROM measured m JOIN grouped_rest a ON a.id = id_1 JOIN grouped_rest b ON b.id = id_2 LEFT JOIN second s ON s.class_id = a.class_id
+  WHERE (term_sim >= 0.3E0 OR brand_sim >= 0.8E0) AND rule_score >= 0.5E0
+    AND CASE WHEN a.class_id = b.class_id THEN s.other ELSE greatest(a.class_id, b.class_id) END % 2 = 0),
+staged AS (SELECT * FROM stage_1 UNION ALL SELECT * FROM stage_2 UNION ALL SELECT * FROM stage_3)"""
+
+
+@query(
+    "m12_staged_by_class",
+    "SELECT lo AS source_product_id, hi AS target_product_id, confidence, kind AS equivalence_type, stage, n AS product_count, pairs AS pair_count FROM staged",
+    "products product_vectors",
+    CLASS_STAGE,
+)
+def _(t):
+    vectors = t.vectors.select("id", "embedding")
+    return matching.staged_matches(t.products, vectors, even_candidates, threshold=0.3, by_class=True).drop("action")

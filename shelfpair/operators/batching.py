@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfpair import constants as K
 from shelfpair.functions.text import brand_key
 from shelfpair.operators.blocking import BLOCK, brand_title_order
-from shelfpair.operators.ranking import row_numbers, running_total
+from shelfpair.operators.ranking import row_numbers, running_total, top_per_group
 
 
 def interleave(products: DataFrame) -> DataFrame:
@@ -70,3 +70,9 @@ def id_batches(products: DataFrame, batch_size: int = K.LABEL_BATCH, group: str
     """Add ``position`` and ``batch_id`` per group in id order."""
     placed = row_numbers(products, [group], [F.col("id")], "position")
     return placed.withColumn("batch_id", F.floor(F.col("position") / batch_size).cast("bigint"))
+
+
+def first_batches(products: DataFrame, batch_size: int = K.LABEL_BATCH, group: str = "main_category") -> DataFrame:
+    """Batch 0 of each group as in :func:`id_batches`, by a top-n of each group: the other rows get no number."""
+    first = top_per_group(products, [group], [F.col("id")], batch_size, "position")
+    return first.withColumn("position", F.col("position").cast("bigint") - 1).withColumn("batch_id", F.lit(0).cast("bigint"))

@@ -150,7 +150,7 @@ def _measured(brand: str) -> list[str]:
 def brand_dictionary(pairs: DataFrame) -> DataFrame:
     """(brand_1, brand_2, brand_sim) for each two different brands that occur together in ``pairs``, smaller text first."""
     lower, upper = "least(brand_norm_1, brand_norm_2)", "greatest(brand_norm_1, brand_norm_2)"
-    found = stored(pairs.filter("brand_norm_1 <> brand_norm_2").selectExpr(f"{lower} AS brand_1", f"{upper} AS brand_2").distinct())
+    found = pairs.filter("brand_norm_1 <> brand_norm_2").selectExpr(f"{lower} AS brand_1", f"{upper} AS brand_2").distinct()
     return stored(found.selectExpr("brand_1", "brand_2", f"{similarity.brand_similarity('brand_1', 'brand_2')} AS brand_sim"))
 
 
@@ -173,7 +173,7 @@ def class_links(
     min_terms: float = K.ALTERNATIVE_TERMS,
     min_brand: float = K.SIMILAR_BRAND,
 ) -> DataFrame:
-    """(block, class_1, class_2, four similarities, rule_score): pairs of classes with a cross-shop pair of members, stored.
+    """(block, class_1, class_2, four similarities, rule_score): pairs of classes with a cross-shop pair of members.
 
     Each once, the lower class first; a class with members in several shops is linked to itself. Kept: term overlap >=
     ``min_terms`` (a multiple of 0.1 above 0), or brand similarity >= ``min_brand`` with a rule score >=
@@ -205,7 +205,7 @@ def class_links(
     score = scoring.rule_score(*MEASURES)
     enough = "" if brand_case_score is None else f" AND {score} >= {brand_case_score}D"
     inside = inside.filter(f"term_sim >= {min_terms}D OR (brand_sim >= {min_brand}D{enough})")
-    return stored(by_term.unionByName(by_brand).unionByName(inside).selectExpr("*", f"{score} AS rule_score"))
+    return by_term.unionByName(by_brand).unionByName(inside).selectExpr("*", f"{score} AS rule_score")
 
 
 def candidate_pairs(
@@ -229,8 +229,8 @@ def add_measures(pairs: DataFrame, brand_similarity: str) -> DataFrame:
     return pairs.selectExpr("*", *_measured(brand_similarity))
 
 
-def classified(pairs: DataFrame, score: str = "rule_score", method: str = "rule_based") -> DataFrame:
-    """Matches in the export layout; pairs without a class are left out."""
+def classified(pairs: DataFrame, score: str = "rule_score", method: str = "'rule_based'") -> DataFrame:
+    """Matches in the export layout; pairs without a class are left out. ``method``: an SQL expression."""
     same_category = "coalesce(category_1 = category_2, FALSE)"
     same_unit = "coalesce(unit_1 = unit_2, FALSE)"
     measures = ("brand_sim", "term_sim", "size_sim", score)
@@ -242,7 +242,7 @@ def classified(pairs: DataFrame, score: str = "rule_score", method: str = "rule_
             "id_2 AS target_product_id",
             f"CAST(format_number({score}, 3) AS DOUBLE) AS similarity_score",
             "equivalence_type",
-            f"'{method}' AS method",
+            f"{method} AS method",
             f"{scoring.reason('equivalence_type', *measures, same_category)} AS reasoning",
             "shop_type_1 AS shop_1",
             "shop_type_2 AS shop_2",

@@ -93,21 +93,31 @@ def clean_up(pairs: DataFrame, products: DataFrame) -> DataFrame:
     return live_pairs(pairs, products)
 
 
-def clean_up_counts(pairs: DataFrame, products: DataFrame) -> DataFrame:
-    """One row: pairs before, kept and removed, in one pass over the pairs."""
+def _with_live_ends(pairs: DataFrame, products: DataFrame) -> tuple[DataFrame, Column]:
+    """The pairs with a mark for either active end, and the condition that both are."""
     ids = products.filter("is_active").select("id")
     left = ids.select(F.col("id").alias("source_product_id"), F.lit(True).alias("_s"))
     right = ids.select(F.col("id").alias("target_product_id"), F.lit(True).alias("_t"))
-    both = F.col("_s").isNotNull() & F.col("_t").isNotNull()
-    return (
-        pairs.join(left, "source_product_id", "left")
-        .join(right, "target_product_id", "left")
-        .agg(
-            F.count("*").alias("before"),
-            F.count_if(both).alias("kept"),
-            F.count_if(~both).alias("removed"),
-        )
-    )
+    marked = pairs.join(left, "source_product_id", "left").join(right, "target_product_id", "left")
+    return marked, F.col("_s").isNotNull() & F.col("_t").isNotNull()
+
+
+def _clean_up_totals(both: Column) -> list[Column]:
+    return [F.count("*").alias("before"), F.count_if(both).alias("kept"), F.count_if(~both).alias("removed")]
+
+
+def clean_up_counts(pairs: DataFrame, products: DataFrame) -> DataFrame:
+    """One row: pairs before, kept and removed, in one pass over the pairs."""
+    marked, both = _with_live_ends(pairs, products)
+    return marked.agg(*_clean_up_totals(both))
+
+
+def write_cleaned(pairs: DataFrame, products: DataFrame, path: str) -> dict[str, int]:
+    """Writes the pairs that stay as Parquet and returns the numbers of :func:`clean_up_counts`, taken on the way."""
+    marked, both = _with_live_ends(pairs, products)
+    watch = Observation()
+    marked.observe(watch, *_clean_up_totals(both)).filter(both).select(*pairs.columns).write.parquet(path)
+    return {name: watch.get[name] for name in ("before", "kept", "removed")}
 
 
 def apply_decisions(queue: DataFrame, decisions: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from shelfpair import constants as K
 from shelfpair.functions.inference import TextFunction, ask
 from shelfpair.functions.prompts import label_prompts
 from shelfpair.operators import merging, parsing
-from shelfpair.operators.batching import id_batches
+from shelfpair.operators.batching import first_batches, id_batches
 from shelfpair.plans import reports
 from shelfpair.session import stored
 
@@ -39,9 +39,7 @@ def label_products(
     todo = reports.unlabelled(products.filter(F.col("main_category").isNotNull()), labels, category)
     if limit:
         todo = reports.page(todo, limit, offset)
-    batched = id_batches(todo, batch_size)
-    if preview:
-        batched = batched.filter(F.col("batch_id") == 0)
+    batched = first_batches(todo, batch_size) if preview else id_batches(todo, batch_size)
     batched = stored(batched.withColumn("slot", (F.col("position") % batch_size).cast("int")))
     prompts = label_prompts(batched, batch_size).select(*BATCH, "prompt")
     replies = stored(ask(prompts, answer, millis="processing_time_ms").drop("prompt"))

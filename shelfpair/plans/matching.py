@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfpair import constants as K
@@ -12,7 +12,6 @@ from shelfpair.functions.prompts import candidate_prompts
 from shelfpair.operators import candidates as C
 from shelfpair.operators.classes import class_members, classes_of, expand, with_pair_counts
 from shelfpair.operators.pairing import CHUNK_ROWS, pair_within
-from shelfpair.operators.ranking import row_numbers
 from shelfpair.operators.vectors import cross_shop_neighbours, scored_pairs
 from shelfpair.session import stored
 
@@ -67,7 +66,7 @@ def vector_matches(products: DataFrame, vectors: DataFrame | None = None, encode
     features = C.add_features(C.fill_missing(products))
     members = class_members(features)
     links = C.class_links(classes_of(members), brand_case_score=None)
-    near = expand(links, members.select("class_id", "id", "shop_type"), []).select("block", "id_1", "id_2", *C.MEASURES, "rule_score")
+    near = expand(links, members.select("class_id", "id", "shop_type"), []).select("block", "id_1", "id_2", *C.MEASURES[:3], "rule_score")
     known = features.select("block", "id", "shop_type").join(vectors.select("id", "embedding").filter("embedding IS NOT NULL"), "id")
     # one product a cell scores the candidates and finds the pairs close in vector space only
     scored = stored(scored_pairs(known, near, K.SIMILAR_SCORE_ALONE, K.ALTERNATIVE_SCORE, ["block"]))
@@ -79,13 +78,12 @@ def vector_matches(products: DataFrame, vectors: DataFrame | None = None, encode
             pairs = pairs.join(features.select(F.col("id").alias(f"id_{end}"), *[F.col(c).alias(f"{c}_{end}") for c in columns]), f"id_{end}")
         return pairs
 
-    listed = scored.filter("listed")
-    semantic = described(listed.filter("score IS NOT NULL"), details)
-    ruled = described(listed.filter("score IS NULL"), details)
+    listed = described(scored.filter("listed"), details).withColumn("by_rules", F.col("score").isNull())
+    listed = listed.withColumn("score", F.coalesce("score", "rule_score"))
     close = described(scored.filter("NOT listed").select("id_1", "id_2", "score"), close_details)
     close = C.add_measures(close, similarity.brand_similarity("brand_norm_1", "brand_norm_2"))
-    found = C.classified(semantic, "score", "semantic").unionByName(C.classified(close, "score", "semantic"))
-    return found.unionByName(C.classified(ruled))
+    found = C.classified(listed, "score", "IF(by_rules, 'rule_based', 'semantic')")
+    return found.unionByName(C.classified(close, "score", "'semantic'"))
 
 
 # staged matcher
@@ -204,7 +202,25 @@ def candidate_questions(candidates: DataFrame) -> DataFrame:
         F.col("title_2").alias("candidate_title"),
         F.col("rule_score"),
     )
-    return row_numbers(rows, ["source_id"], [F.col("rule_score").desc(), F.col("candidate_id")], "position", ("source_id", "candidate_id"))
+    order = Window.partitionBy("source_id").orderBy(F.col("rule_score").desc(), "candidate_id")  # the candidates of one listing
+    return rows.withColumn("position", F.row_number().over(order).cast("bigint") - 1)
+
+
+def class_candidates(members: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Links of listing classes with a rule score of at least ``threshold``, each with one listing of either side to ask about.
+
+    id_1 and id_2 with shop, brand and title stand for class_1 and class_2: their lowest ids. For a link of a class to itself,
+    id_2 is the lowest id of another shop than that of id_1. ``members``: see ``class_members``.
+    """
+    links = C.class_links(classes_of(members), brand_case_score=threshold).filter(F.col("rule_score") >= threshold)
+    listing = ["id", "shop_type", "brand", "title"]
+    first = members.filter("id = class_id")
+    named = lambda rows, end: rows.select("class_id", *[F.col(c).alias(f"{c}_{end}") for c in listing])
+    second = members.join(first.select("class_id", F.col("shop_type").alias("first_shop")), "class_id").filter("shop_type <> first_shop")
+    second = second.groupBy("class_id").agg(F.min_by(F.struct(*listing), "id").alias("r")).select("class_id", "r.*")
+    apart = links.filter("class_1 <> class_2").join(named(first, 2).withColumnRenamed("class_id", "class_2"), "class_2")
+    inside = links.filter("class_1 = class_2").join(named(second, 2).withColumnRenamed("class_id", "class_2"), "class_2")
+    return apart.unionByName(inside).join(named(first, 1).withColumnRenamed("class_id", "class_1"), "class_1")
 
 
 def parse_candidate_answers(responses: DataFrame, text_column: str = "response_text") -> DataFrame:
@@ -227,6 +243,7 @@ def staged_matches(
     answer: TextFunction,
     k: int = K.NEIGHBOURS,
     threshold: float = K.NEIGHBOUR_THRESHOLD,
+    by_class: bool = False,
 ) -> DataFrame:
     """Fingerprints first, then vector neighbours of the rest, then a model for what remains.
 
@@ -234,6 +251,8 @@ def staged_matches(
     stage 1 ties a product to the lowest id of its exact group (see :func:`exact_matches`); rows of the
     later stages are pairs. ``vectors``: id and embedding. Neighbours are sought within a block (category and unit).
     Later stages see only products that no earlier stage has matched; one without a vector goes on to stage 3.
+    ``by_class``: stage 3 asks once for listings that no measure tells apart (see ``class_candidates``), and the answer holds
+    for every cross-shop pair of them; otherwise it asks about every pair.
     """
     rows = stored(with_fingerprint(products))
     members = exact_members(rows)
@@ -246,19 +265,28 @@ def staged_matches(
     matched = stage_2.select(F.explode(F.array("source_product_id", "target_product_id")).alias("id"))
     rest = rest.join(matched, "id", "left_anti").drop("fingerprint")
 
-    questions = candidate_questions(loose_candidates(rest))
+    if by_class:
+        members = class_members(C.add_features(C.fill_missing(rest)))
+        candidates = stored(class_candidates(members))
+    else:
+        candidates = loose_candidates(rest)
+    questions = candidate_questions(candidates)
     replies = stored(ask(candidate_prompts(questions), answer)).filter(F.col("response_text").isNotNull())
-    asked = questions.select("source_id", "candidate_id")
-    stage_3 = (
-        parse_candidate_answers(replies)
-        .join(asked, ["source_id", "candidate_id"], "left_semi")
-        .select(
-            F.least("source_id", "candidate_id").alias("source_product_id"),
-            F.greatest("source_id", "candidate_id").alias("target_product_id"),
-            "confidence",
-            F.lit("similar").alias("equivalence_type"),
-            F.lit(3).alias("stage"),
-        )
+    accepted = parse_candidate_answers(replies)
+    if by_class:  # an answer about two listings is one about all members of their classes
+        links = candidates.select(F.col("id_1").alias("source_id"), F.col("id_2").alias("candidate_id"), "class_1", "class_2")
+        links = accepted.join(links, ["source_id", "candidate_id"]).groupBy("class_1", "class_2").agg(F.max("confidence").alias("confidence"))
+        found = expand(links, members.select("class_id", "id", "shop_type"), []).select("id_1", "id_2", "confidence")
+    else:
+        asked = questions.select("source_id", "candidate_id")
+        lower, higher = F.least("source_id", "candidate_id"), F.greatest("source_id", "candidate_id")
+        found = accepted.join(asked, ["source_id", "candidate_id"], "left_semi").select(lower.alias("id_1"), higher.alias("id_2"), "confidence")
+    stage_3 = found.select(
+        F.col("id_1").alias("source_product_id"),
+        F.col("id_2").alias("target_product_id"),
+        "confidence",
+        F.lit("similar").alias("equivalence_type"),
+        F.lit(3).alias("stage"),
     )
     pairs = combine_scores(stage_2.unionByName(stage_3)).withColumns(
         {"product_count": F.lit(2).cast("bigint"), "pair_count": F.lit(1).cast("bigint")}

@@ -17,9 +17,9 @@ from shelfpair.session import stored
 PART, PARTS = "part", 64
 
 
-def block_part(category: Column, unit: Column) -> Column:
-    """Part of a table that holds a block. Their number is fixed, whatever the number of blocks."""
-    return F.pmod(F.xxhash64(category, unit), F.lit(PARTS)).cast("int")
+def block_part(category: Column, unit: Column, parts: int) -> Column:
+    """Part of a table that holds a block."""
+    return F.pmod(F.xxhash64(category, unit), F.lit(parts)).cast("int")
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -39,9 +39,10 @@ def write_parts(rows: DataFrame, path: str, parts: list[int]) -> None:
     every.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
 
 
-def load_pairs(pairs: DataFrame, table_folder: str) -> None:
-    """Start with these pairs. They move to the parts of their products once those arrive."""
-    write_parts(pairs.select(*PAIRS.fieldNames()).withColumn(PART, F.lit(0)), f"{table_folder}/pairs", [0])
+def load_pairs(pairs: DataFrame, table_folder: str, parts: int = PARTS) -> None:
+    """Start with these pairs, spread over the parts. They move to the parts of their products once those arrive."""
+    placed = F.pmod(F.xxhash64("source_product_id"), F.lit(parts)).cast("int")
+    write_parts(pairs.select(*PAIRS.fieldNames()).withColumn(PART, placed), f"{table_folder}/pairs", list(range(parts)))
 
 
 def upsert_products(known: DataFrame, arrived: DataFrame) -> DataFrame:
@@ -56,9 +57,13 @@ def start_incremental(
     checkpoint: str,
     answer: TextFunction,
     batch_size: int = K.PAIR_BATCH_RUN,
+    parts_of_tables: int = PARTS,
 ) -> StreamingQuery:
     """Process all product files that have arrived, then stop.
 
+    ``parts_of_tables``: how many parts the tables have; it must stay the same for a table, so choose it by the size the
+    catalogue will have.
+
     Each micro-batch updates the product table and runs the incremental matcher. Both tables lie in parts by block, and
     only parts with something to do are read whole and written: those of the arrived products, of their earlier rows, and
     of pairs that name them. Of the rest, ids alone are read. Repeating a micro-batch gives the same tables, so a retry
@@ -72,14 +77,14 @@ def start_incremental(
     def process(arrived: DataFrame, _batch_id: int) -> None:
         session = arrived.sparkSession
         latest = arrived.groupBy("id").agg(F.max_by(F.struct(*arrived.columns), F.struct(*arrived.columns)).alias("r"))
-        part = block_part(*[F.col(name) for name in BLOCK]).alias(PART)
+        part = block_part(*[F.col(name) for name in BLOCK], parts_of_tables).alias(PART)
         new = stored(latest.select("r.*").select("*", part))
         ids = new.select("id")
         products, pairs = read_table(session, products_path, PRODUCTS), read_table(session, pairs_path, PAIRS)
         ends = pairs.select(PART, F.explode(F.array("source_product_id", "target_product_id")).alias("id"))
         to_do = new.select(PART).unionByName(products.join(ids, "id", "left_semi").select(PART))
         to_do = to_do.unionByName(ends.join(ids, "id", "left_semi").select(PART)).distinct()
-        parts = sorted(r[0] for r in to_do.collect())  # at most PARTS numbers
+        parts = sorted(r[0] for r in to_do.collect())  # at most parts_of_tables numbers
         if not parts:
             return
 
@@ -90,7 +95,8 @@ def start_incremental(
         merged = incremental_run(here.drop(PART), stored_pairs, answer, batch_size, catalogue=everywhere).merged
         rows = merged.withColumn("id", F.lit(None).cast("bigint")).select(*PAIRS.fieldNames())
         source = here.select(F.col("id").alias("source_product_id"), PART)
-        placed = rows.join(source, "source_product_id", "left").withColumn(PART, F.coalesce(PART, F.lit(parts[0])))
+        spread = F.array(*map(F.lit, parts))[F.pmod(F.xxhash64("source_product_id"), F.lit(len(parts))).cast("int")]
+        placed = rows.join(source, "source_product_id", "left").withColumn(PART, F.coalesce(PART, spread))
         write_parts(stored(placed.select(*rows.columns, PART)), pairs_path, parts)
 
     return (

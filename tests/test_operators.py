@@ -432,3 +432,23 @@ def test_numbers_are_made_from_keys_alone(spark):
     numbered = row_numbers(rows, ["shop_type"], blocking.brand_title_order(), "n")
     files_read = [line for line in plan_of(numbered).splitlines() if "stored-" in line]
     assert files_read and not any("title" in line for line in files_read)
+
+
+def test_classes_are_asked_about_once(spark):
+    """Copies inside one shop have one fingerprint and no exact match, so they reach the third stage."""
+    from shelfpair.functions.prompts import candidate_prompts
+
+    once = products(spark, 40).filter("shop_type IN ('AH', 'PLUS')").withColumn("title", F.concat("title", F.when(F.col("shop_type") == "AH", " melk").otherwise(" kaas")))
+    copies = once.crossJoin(spark.range(5).withColumnRenamed("id", "copy")).withColumn("id", F.col("id") + 1000 * F.col("copy")).drop("copy")
+
+    def prompts(rows):
+        members = class_members(add_features(rows))
+        return candidate_prompts(matching.candidate_questions(matching.class_candidates(members))).count()
+
+    assert prompts(copies) == prompts(once) > 0
+    yes = lambda texts: texts.map(lambda p: '{"matches": [' + ", ".join(f'{{"candidate_id": {line.split(":")[0]}, "confidence": 0.9, "reasoning": ""}}' for line in p.splitlines() if line[:1].isdigit()) + "]}")
+    none = spark.createDataFrame([], "id long, embedding array<double>")
+    by_class = matching.staged_matches(copies, none, yes, by_class=True).filter("stage = 3")
+    each = matching.staged_matches(copies, none, yes).filter("stage = 3")
+    key = lambda df: sorted((r.source_product_id, r.target_product_id, r.confidence) for r in df.collect())
+    assert key(by_class) == key(each)
