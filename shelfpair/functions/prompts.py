@@ -23,10 +23,10 @@ alternative (other brand, same kind of product)."""
 
 GUIDANCE_DEFAULT = "Drogisterij"
 GUIDANCE = {
-    "Drogisterij": "Personal care and health: tell product forms apart, such as shampoo, conditioner, tandpasta, luiers.",
-    "Zuivel": "Dairy: keep fat content and ripeness, such as halfvolle melk, griekse yoghurt, oude kaas.",
-    "Vlees": "Meat and fish: keep the animal and the preparation, such as rund gehakt, kip filet, gekookte ham.",
-    "Brood & Gebak": "Bread and pastry: keep the grain or kind, such as volkoren brood, croissant.",
+    "Drogisterij": "Personal care and health: tell product forms apart, such as scheerschuim, haarlak, mondwater, wattenschijfjes.",
+    "Zuivel": "Dairy: keep fat content and ripeness, such as karnemelk, magere kwark, belegen plakken.",
+    "Vlees": "Meat and fish: keep the animal and the preparation, such as lamsbout, gerookte makreel, kalkoenreepjes.",
+    "Brood & Gebak": "Bread and pastry: keep the grain or kind, such as roggebolletjes, krentenwegge.",
 }
 
 
