@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from shelfpair.llm import jaccard
-from shelfpair.llm.jaccard import jaccard_groups, may_share, shingles_of, sketch_of
+from shelfpair.llm.jaccard import counters_of, jaccard_groups, may_share, shingles_of, sketch_of
 from shelfpair.llm.simhash import drop_near_copies
 from tests.conftest import SMALL
 from tests.llm.test_duplicates import brute_components
@@ -58,7 +58,10 @@ def test_sketches_bound_what_sets_share():
     draw = np.random.default_rng(6)
     for _ in range(200):
         a, b = (np.unique(draw.integers(0, 4000, draw.integers(0, 3000)) * 0x9E3779B97F4A7C1) for _ in range(2))
-        assert may_share(sketch_of(a), sketch_of(b)) >= len(np.intersect1d(a, b))
+        shared = len(np.intersect1d(a, b))
+        assert may_share(sketch_of(a), sketch_of(b)) >= shared
+        x, y = counters_of(a), counters_of(b)
+        assert (x is None) == (len(a) > jaccard.SMALL) and (x is None or y is None or np.minimum(x, y).sum() >= shared)
     unlike = [np.unique(draw.integers(-(2**62), 2**62, 5000)) for _ in range(2)]
     most = may_share(*map(sketch_of, unlike))
     assert most / (10_000 - most) < 0.7  # also for long texts
