@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from shelfpair.functions.inference import ask
 from shelfpair.operators import batching, blocking, merging, parsing
-from shelfpair.operators.candidates import add_features, candidate_pairs
+from shelfpair.operators.candidates import add_features, candidate_pairs, class_links, classified
 from shelfpair.operators.pairing import pair_across, pair_within
-from shelfpair.operators import pivots
-from shelfpair.operators.classes import class_members, classes_of, expand, with_pair_counts
+from shelfpair.operators import candidates, pivots
+from shelfpair.operators.classes import PACK, class_members, classes_of, expand, packs_of, with_pair_counts
 from shelfpair.operators.ranking import row_numbers, running_total
 from shelfpair.operators.vectors import pairs_above, scored_pairs, top_neighbours
 from shelfpair.plans import evaluation, labelling, matching, reports, runs
@@ -363,6 +363,57 @@ def test_brands_are_compared_once_for_each_two_that_meet(spark):
     assert "aggregate(" not in plan_of(matches)
 
 
+def copied(spark, n, times):
+    rows = spark.range(times).withColumnRenamed("id", "copy")
+    return products(spark, n).crossJoin(rows).withColumn("id", F.col("id") + 1000 * F.col("copy")).drop("copy")
+
+
+def test_matches_are_listed_after_the_last_shuffle_and_described_once_a_link(spark):
+    matches = matching.rule_matches(copied(spark, 60, 20))
+    above, _, below = plan_of(matches).partition("Generate explode(ids_2")
+    assert below and "Exchange" not in above and "format_number" not in above
+    described = classified(candidate_pairs(add_features(copied(spark, 60, 20))))
+    above, _, below = plan_of(described).partition("Generate explode(ids_2")
+    assert below and "Exchange" not in above and "format_number" not in above
+
+
+def test_packs_hold_a_bounded_number_of_ids(spark):
+    members = class_members(add_features(copied(spark, 3, 1500)))
+    packs = packs_of(members, ["title"]).collect()
+    assert sorted(i for r in packs for i in r.ids) == sorted(r.id for r in members.collect())
+    assert len(packs) < 40 and max(len(r.ids) for r in packs) < 2 * PACK
+
+
+def test_terms_are_compared_once_for_each_two_sets(spark, monkeypatch):
+    """Forty classes, but two sets of terms."""
+    rows = [(i, "AH" if i % 2 else "PLUS", f"volle melk {'vers' if i < 20 else 'houdbaar'}", f"merk{i}", float(i)) for i in range(40)]
+    frame = spark.createDataFrame(rows, "id long, shop_type string, title string, brand string, normalized_quantity_amount double")
+    frame = frame.withColumns({"main_category": F.lit("zuivel"), "normalized_quantity_unit": F.lit("l")})
+    compared, pairing = [], candidates._term_pairing
+    monkeypatch.setattr(candidates, "_term_pairing", lambda rows, *rest: compared.append(rows.count()) or pairing(rows, *rest))
+    found = class_links(classes_of(class_members(add_features(frame))))
+    assert compared == [2]
+    assert found.count() == 400  # all cross-shop pairs: 2 of 3 or 4 terms in common
+
+
+def test_counted_chosen_and_lowest_matches_agree_with_the_listing(spark):
+    rows = copied(spark, 60, 5)
+    listed = matching.rule_matches(rows)
+    for report in (reports.matches_by_type, reports.score_bands):
+        assert sorted(report(matching.rule_matches(rows, counted=True)).collect()) == sorted(report(listed).collect())
+    assert reports.best_matches(matching.rule_matches(rows, lowest=7), 7).collect() == reports.best_matches(listed, 7).collect()
+    pair = ["source_product_id", "target_product_id"]
+    chosen = matching.rule_matches(rows, chosen=lambda links: reports.confidence_outliers(links, 1.0))
+    want = reports.confidence_outliers(listed, 1.0).select(*pair).collect()
+    assert want and sorted(chosen.select(*pair).collect()) == sorted(want)
+
+
+def test_medians_of_rows_that_stand_for_several(spark):
+    rows = [("a", 0.1, 5), ("a", 0.1004, 1), ("a", 0.9, 5), ("b", 3.0, 2), ("b", 4.0, 2)]
+    got = {r.g: r.m for r in reports.exact_medians(spark.createDataFrame(rows, "g string, v double, pair_count long"), "g", "v", "m").collect()}
+    assert got == {"a": 0.1004, "b": 3.5}
+
+
 # vectors
 
 
