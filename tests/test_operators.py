@@ -3,6 +3,7 @@
 import random
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -468,6 +469,27 @@ def test_search_without_blocks_leaves_out_chunks_and_loses_nothing(spark, cluste
         assert met < 0.5 * 600 * cells
 
 
+def test_visits_are_not_sent_to_all_tasks(spark):
+    """Visits are far more rows than the size of their file tells."""
+    rng = np.random.default_rng(4)
+    placed = pivots.place(vector_rows(spark, rng.normal(size=(600, 8))), 16)
+    found = pivots.neighbours(placed, pivots.visits(placed, pivots.reached(placed, 5)), 5)
+    assert "BroadcastHashJoin" not in plan_of(found)
+
+
+@pytest.mark.parametrize("chunk_rows", [4, 16])
+def test_neighbours_in_strips_of_large_cells(spark, chunk_rows):
+    rng = np.random.default_rng(5)
+    matrix = np.round(np.repeat(rng.normal(size=(60, 4)), 5, axis=0), 1)  # five copies of each, so ties
+    scores = np.round(matrix @ matrix.T, 9)
+    want = {i: [int(j) for j in np.lexsort((np.arange(300), -scores[i]))[:7]] for i in range(300)}
+    rows = top_neighbours(vector_rows(spark, matrix), 7, chunk_rows=chunk_rows).orderBy("id_1", "rank").collect()
+    got = {i: [r.id_2 for r in rows if r.id_1 == i] for i in range(300)}
+    assert got == want
+    cells = pivots.place(vector_rows(spark, matrix), chunk_rows, 8 * chunk_rows).cells
+    assert len(cells) < len(pivots.place(vector_rows(spark, matrix), chunk_rows).cells)
+
+
 def test_exact_medians(spark):
     rng = random.Random(8)
     rows = [(rng.choice(["a", "b", None]), rng.choice([None, round(rng.random(), 9), 0.5])) for _ in range(201)] + [("c", 1.0), ("c", 2.0), ("d", None)]
