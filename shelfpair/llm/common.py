@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
@@ -45,6 +46,17 @@ def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFram
     return renamed, lambda later: later.select(*[F.col(f"`{new.get(name, name)}`").alias(name) for name in before])
 
 
+#: Rows that a worker turns into Python objects at a time.
+SLICE = 256
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in pieces of at most ``rows``: a worker then holds the Python objects of few texts, not of a batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def plus(df: DataFrame, **added: DataType) -> StructType:
     """The schema of ``df`` with further columns."""
     return StructType([*df.schema.fields, *[StructField(name, kind) for name, kind in added.items()]])

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from shelfpair.llm.common import plus, set_aside, without
+from shelfpair.llm.common import plus, set_aside, slices, without
 from shelfpair.session import stored
 
 WINDOW, DIMS, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 12
@@ -117,20 +119,29 @@ class Network:
                     step = first[k] / (1 - 0.9**steps) / (np.sqrt(second[k] / (1 - 0.99**steps)) + 1e-8)
                     self.p[k] -= (rate * step).astype(np.float32)
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Language and score of whole texts: the windows' probabilities, averaged by their number of bytes."""
-        langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        known = [i for i, t in enumerate(texts) if t and self.classes and any(map(str.isalpha, t))]
-        part: list[int] = []
-        cut: list[np.ndarray] = []
-        for i in known:
-            part.append(i)
-            cut.append(windows_of(texts[i]))
-            if i == known[-1] or sum(map(len, cut)) >= self.TOGETHER:
-                for k, row in zip(part, self._sums(cut)):
-                    best = int(row.argmax())
-                    langs[k], scores[k] = self.classes[best], round(min(1.0, float(row[best])), 6)
-                part, cut = [], []
+    def predict(self, texts: Iterable[str | None]) -> tuple[list[str], list[float]]:
+        """Language and score of whole texts: the windows' probabilities, averaged by their number of bytes.
+
+        Texts are taken one by one, and only the windows of those not yet worked off are held.
+        """
+        langs, scores, part, cut = [], [], [], []
+
+        def work_off() -> None:
+            for k, row in zip(part, self._sums(cut)):
+                best = int(row.argmax())
+                langs[k], scores[k] = self.classes[best], round(min(1.0, float(row[best])), 6)
+            part.clear(), cut.clear()
+
+        for i, text in enumerate(texts):
+            langs.append(UNKNOWN)
+            scores.append(0.0)
+            if text and self.classes and any(map(str.isalpha, text)):
+                part.append(i)
+                cut.append(windows_of(text))
+                if sum(map(len, cut)) >= self.TOGETHER:
+                    work_off()
+        if part:
+            work_off()
         return langs, scores
 
     def _sums(self, cut: list[np.ndarray]) -> list[np.ndarray]:
@@ -189,7 +200,7 @@ def identify(docs: DataFrame, network: Network) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            langs, scores = network.predict(batch.column(at).to_pylist())
+            langs, scores = network.predict(text for piece in slices([batch]) for text in piece.column(at).to_pylist())
             columns = [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names)
 

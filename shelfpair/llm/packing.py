@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from tokenizers import Tokenizer
 
-from shelfpair.llm.common import plus, without
+from shelfpair.llm.common import plus, slices, without
 
 VOCABULARY = "word_bpe_49k.json"
 LENGTH, END = 2048, 1
@@ -102,26 +102,24 @@ def pieces(docs: DataFrame, path: str, end: int = END, longest: int = LENGTH, re
     def run(batches):
         encoder = _encoder(path, remembered)
         tail = np.array([end], IDS).tobytes()
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                coded = [encoder.encode(text) + tail for text in batch.column(1).to_pylist()]
-                tokens = [len(ids) // 4 for ids in coded]
-                lengths = [cut(n, longest) for n in tokens]
-                flat = np.array([n for row in lengths for n in row], np.int64)
-                count = np.array([len(row) for row in lengths])
-                owner = np.repeat(np.arange(len(count)), count)
-                offsets = np.concatenate([[0], np.cumsum(flat)])
-                doc_start = np.concatenate([[0], np.cumsum(tokens)])[:-1]
-                data = b"".join(coded)
-                columns = [batch.column(0).take(pa.array(owner)), pa.array(offsets[:-1] - doc_start[owner]), pa.array(flat), pa.array(np.array(tokens, np.int64)[owner])]
-                for name in given:
-                    if name == "ids":
-                        columns.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(data, IDS).astype(np.int32))))
-                    else:
-                        ends = (4 * offsets).tolist()
-                        columns.append(pa.array([zlib.crc32(data[a:b]) for a, b in pairwise(ends)], pa.int64()))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "doc_tokens", *given])
+        for batch in slices(batches):
+            coded = [encoder.encode(text) + tail for text in batch.column(1).to_pylist()]
+            tokens = [len(ids) // 4 for ids in coded]
+            lengths = [cut(n, longest) for n in tokens]
+            flat = np.array([n for row in lengths for n in row], np.int64)
+            count = np.array([len(row) for row in lengths])
+            owner = np.repeat(np.arange(len(count)), count)
+            offsets = np.concatenate([[0], np.cumsum(flat)])
+            doc_start = np.concatenate([[0], np.cumsum(tokens)])[:-1]
+            data = b"".join(coded)
+            columns = [batch.column(0).take(pa.array(owner)), pa.array(offsets[:-1] - doc_start[owner]), pa.array(flat), pa.array(np.array(tokens, np.int64)[owner])]
+            for name in given:
+                if name == "ids":
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(data, IDS).astype(np.int32))))
+                else:
+                    ends = (4 * offsets).tolist()
+                    columns.append(pa.array([zlib.crc32(data[a:b]) for a, b in pairwise(ends)], pa.int64()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "doc_tokens", *given])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     kinds = {"ids": "array<int>", "ids_crc32": "long"}

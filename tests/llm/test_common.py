@@ -1,6 +1,9 @@
 """Helpers of the package."""
 
-from shelfpair.llm.common import Recent, fresh, set_aside, smallest_by_hash, without
+import pyarrow as pa
+
+from shelfpair.llm.common import SLICE, Recent, fresh, set_aside, slices, smallest_by_hash, without
+from shelfpair.llm.language import Network
 
 
 def test_sample_is_bounded_and_the_same_in_any_partitions(spark):
@@ -29,3 +32,13 @@ def test_clashing_names(spark):
     own, restored = set_aside(df, "score")
     assert "Score" not in own.columns and restored(own.selectExpr("*", "9 AS score")).collect() == df.collect()
     assert restored(own).columns == df.columns
+
+
+def test_workers_turn_few_rows_into_objects_at_a_time():
+    texts = [None, "", "1 2", *[f"some words and number {k} " * (k % 90) for k in range(3 * SLICE + 2)]]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    pieces = list(slices([batch, batch.slice(0, 0)]))
+    assert [p.num_rows for p in pieces] == [SLICE] * 3 + [5] and [t for p in pieces for t in p.column(0).to_pylist()] == texts
+    network = Network(["de", "en"])
+    assert network.predict(t for t in texts) == network.predict(texts)  # one by one, in the same matrix products
+    assert network.predict(texts)[0][:3] == ["und"] * 3
