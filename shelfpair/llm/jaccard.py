@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfpair.llm.common import slices
 from shelfpair.llm.components import components
 from shelfpair.session import stored
 
@@ -61,12 +62,13 @@ def _marked(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
 
 
-def _heads(docs: DataFrame, width: int, part: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """(row, doc_id, mark, digest, size, sketch, counters, head) of every row; head is ``part`` of the whole set."""
+def _heads(docs: DataFrame, width: int, part: Callable[[np.ndarray], np.ndarray], fingerprint: Callable[[str | None], int] | None = None) -> DataFrame:
+    """(row, doc_id, mark, digest, size, sketch, counters, head, fingerprint) of every row; head is ``part`` of the whole set."""
 
     def run(batches):
-        for batch in batches:
-            sets = [shingles_of(text, width) for text in batch.column(2).to_pylist()]
+        for batch in slices(batches):
+            texts = batch.column(2).to_pylist()
+            sets = [shingles_of(text, width) for text in texts]
             heads = [part(s) for s in sets]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in heads])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -78,11 +80,13 @@ def _heads(docs: DataFrame, width: int, part: Callable[[np.ndarray], np.ndarray]
                     pa.array([sketch_of(s) for s in sets], pa.binary()),
                     pa.array([counters_of(s) for s in sets], pa.list_(pa.int16())),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, "<i8"), *heads]), pa.int64())),
+                    pa.array([fingerprint(text) if fingerprint else None for text in texts], pa.int64()),
                 ],
-                ["doc_id", "mark", "digest", "size", "sketch", "counters", "head"],
+                ["doc_id", "mark", "digest", "size", "sketch", "counters", "head", "fingerprint"],
             )
 
-    rows = _marked(docs).mapInArrow(run, "doc_id long, mark long, digest binary, size int, sketch binary, counters array<short>, head array<long>")
+    kinds = "doc_id long, mark long, digest binary, size int, sketch binary, counters array<short>, head array<long>, fingerprint long"
+    rows = _marked(docs).mapInArrow(run, kinds)
     return rows.withColumn("row", F.monotonically_increasing_id())
 
 
@@ -155,7 +159,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, names: DataFrame, width: int, s
     wanted = stored(pairs.select(F.explode(F.array("node", "hub")).alias("node")).distinct().join(names.select("node", "doc_id", "mark"), "node"))
 
     def sets_of(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles_of(text, width).tobytes() for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
@@ -182,7 +186,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, names: DataFrame, width: int, s
     return others.unionByName(hubs).groupBy("hub", "part").applyInArrow(verify, "a long, b long").distinct()
 
 
-def jaccard_rows(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, crowd: int = 100) -> DataFrame:
+def jaccard_rows(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, crowd: int = 100, first: tuple[Callable, Callable] | None = None) -> DataFrame:
     """(doc_id, mark, digest, component) for every row of ``docs`` (doc_id, text) that has a doc_id, stored.
 
     Documents link if the Jaccard similarity of their shingle sets is at least ``similarity``; component tells the groups of
@@ -195,14 +199,18 @@ def jaccard_rows(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILA
     with one of them first, twice; then all pairs that are still in different components are, unless their whole heads
     tell that they share too little. So a crowd of near copies costs about a pair a document. A pair is looked at once: sizes, places, then sketches, then whole sets. ``crowd`` changes
     the work, not the result.
+
+    ``first``: a function from a text to a fingerprint (long), and one from (node, fingerprint) of the different sets to pairs (node, hub).
+    These pairs are compared before all others, by the same sketches and whole sets, so they set the work and never the result.
     """
+    fingerprint, close = first or (None, None)
     late = _frequent(docs, width, similarity, crowd)
 
     def head(values: np.ndarray) -> np.ndarray:
         last = np.isin(values, late)
         return np.concatenate([values[~last], values[last]])[: head_length(len(values), similarity)]
 
-    rows = stored(_heads(docs, width, head))
+    rows = stored(_heads(docs, width, head, fingerprint))
     names = stored(rows.groupBy("digest").agg(F.min("row").alias("node")))
     own = stored(rows.join(_listed(names.select(F.col("node").alias("row"))), "row", "left_semi").withColumnRenamed("row", "node"))
     entries = own.select("node", "size", F.posexplode("head").alias("place", "h"))
@@ -211,6 +219,20 @@ def jaccard_rows(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILA
     sketches, texts = own.select("node", "size", "sketch"), _marked(docs)
 
     links = component = tried = None
+
+    def compare(met: DataFrame) -> None:
+        """Settles the pairs (node, hub) that were not tried before, once a pair, whichever end is the hub."""
+        nonlocal links, component, tried
+        met = met.groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).agg(F.min("hub").alias("hub"))
+        met = stored(met if tried is None else met.join(tried, ["a", "b"], "left_anti"))
+        tried = met.select("a", "b") if tried is None else tried.unionByName(met.select("a", "b"))
+        pairs = met.select(F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node"), "hub")
+        found = _similar(stored(_possible(pairs, sketches, similarity)), texts, rows.select(F.col("row").alias("node"), "doc_id", "mark"), width, similarity)
+        links = stored(found if links is None else links.unionByName(found))
+        component = components(links)
+
+    if close:
+        compare(close(own.select("node", "fingerprint")))
     length = lambda n: n - F.ceil(similarity * n - 1e-9) + 1  # noqa: E731  as head_length
     for turn in (0, 1, None):
         known = F.lit(None).cast("long") if component is None else F.col("component")
@@ -221,8 +243,8 @@ def jaccard_rows(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILA
             rest = rest.join(_known_heads(shared), "node").join(own.select("node", "counters"), "node")
         other = rest.select("h", *[F.col(c).alias("hub" if c == "node" else f"hub_{c}") for c in rest.columns if c != "h"])
         if turn is not None:
-            first = F.min(F.struct(F.xxhash64("hub", F.lit(turn)).alias("order"), "hub", "hub_size", "hub_place", "hub_part")).alias("first")
-            other = other.groupBy("h").agg(first).select("h", "first.*")
+            lowest = F.min(F.struct(F.xxhash64("hub", F.lit(turn)).alias("order"), "hub", "hub_size", "hub_place", "hub_part")).alias("first")
+            other = other.groupBy("h").agg(lowest).select("h", "first.*")
         needed = similarity / (1 + similarity) * (F.col("size") + F.col("hub_size")) - 1e-9
         left = F.least(F.col("size") - F.col("place"), F.col("hub_size") - F.col("hub_place"))
         apart = (F.col("part") != F.col("hub_part")) & (F.least("size", "hub_size") >= similarity * F.greatest("size", "hub_size") - 1e-9)
@@ -239,15 +261,7 @@ def jaccard_rows(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILA
             shared_enough &= F.coalesce(most >= needed, F.lit(True))  # null for large sets
             enough = F.when(F.col("tokens").isNull() | F.col("hub_tokens").isNull(), enough).otherwise(shared_enough)
             apart &= F.col("node") < F.col("hub")
-        met = rest.join(other, "h").where(apart & enough).select("node", "hub")
-        # once a pair, whichever end is the hub
-        met = met.groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).agg(F.min("hub").alias("hub"))
-        met = stored(met if tried is None else met.join(tried, ["a", "b"], "left_anti"))
-        tried = met.select("a", "b") if tried is None else tried.unionByName(met.select("a", "b"))
-        pairs = met.select(F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node"), "hub")
-        found = _similar(stored(_possible(pairs, sketches, similarity)), texts, rows.select(F.col("row").alias("node"), "doc_id", "mark"), width, similarity)
-        links = stored(found if links is None else links.unionByName(found))
-        component = components(links)
+        compare(rest.join(other, "h").where(apart & enough).select("node", "hub"))
     grouped = names.join(component, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     return stored(rows.select("doc_id", "mark", "digest").join(grouped, "digest"))
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfpair.llm.common import fresh
+from shelfpair.llm.common import fresh, slices
 from shelfpair.llm.components import components
 from shelfpair.llm.jaccard import SENT, SIMILARITY, WIDTH, jaccard_rows
 from shelfpair.session import stored
@@ -47,7 +47,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint: long) of every row of ``docs`` (doc_id, text; further columns are ignored)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             values = [fingerprint_of(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], ["doc_id", "fingerprint"])
 
@@ -116,16 +116,30 @@ def simhash_groups(docs: DataFrame, distance: int = 2, blocks: int = 8) -> DataF
     )
 
 
+def like_first(nodes: DataFrame, distance: int = 2, blocks: int = 8) -> DataFrame:
+    """(node, hub) for ``nodes`` (node, fingerprint; node distinct): texts whose fingerprints differ in at most ``distance`` bits.
+
+    Nodes of one fingerprint meet the smallest of them, and these meet for each close pair of fingerprints: a crowd costs a pair a node.
+    """
+    named = stored(nodes.groupBy("fingerprint").agg(F.min("node").alias("hub")))
+    equal = nodes.join(named, "fingerprint").where("node <> hub").select("node", "hub")
+    pairs = stored(close_pairs(named.select("fingerprint"), distance, blocks))
+    ends = [named.select(F.col("fingerprint").alias(end), F.col("hub").alias(name)) for end, name in (("a", "hub"), ("b", "node"))]
+    return equal.unionByName(pairs.join(ends[0], "a").join(ends[1], "b").select("node", "hub"))
+
+
 def drop_near_copies(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` less all but one document of each group of near copies, with their own columns.
 
     Near copies have a Jaccard similarity of at least ``similarity`` of their shingles of ``width`` words (see
-    ``jaccard_rows``). Two fingerprint bits find hardly more than exact copies, and pairs at 0.8 differ in a dozen bits.
+    ``jaccard_rows``). SimHash finds the first candidates, by the pigeonhole blocks of ``simhash_groups``; the exact similarity
+    is checked for each. Two fingerprint bits find hardly more than exact copies, and pairs at 0.8 differ in a dozen bits, so
+    the turns of ``jaccard_rows`` then find all that are left.
     The smallest doc_id stays. Different texts under one doc_id are documents of their own: each stays unless it is a near
     copy of another; of near copies under the smallest doc_id the one with the smallest hash stays. Of rows with the
     same doc_id and text one stays. Rows without doc_id stay, as no group can name them.
     """
-    rows = jaccard_rows(docs, width, similarity)
+    rows = jaccard_rows(docs, width, similarity, first=(fingerprint_of, like_first))
     first = F.min(F.struct("doc_id", "mark"))
     kept = rows.groupBy("component").agg(first.alias("first")).select("first.*")
     counted = stored(rows.groupBy("doc_id", "mark").agg(F.count("*").alias("copies")).join(kept, ["doc_id", "mark"], "left_semi"))

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from shelfpair.llm import jaccard
+from shelfpair.llm import jaccard, simhash
 from shelfpair.llm.jaccard import counters_of, jaccard_groups, may_share, shingles_of, sketch_of
 from shelfpair.llm.simhash import drop_near_copies
 from tests.conftest import SMALL
@@ -95,3 +95,30 @@ def test_lists_too_long_to_send_and_split_hubs(spark, monkeypatch):
     got = jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string"))
     assert dict(map(tuple, got.collect())) == brute_jaccard(rows)
     assert len(shingles_of(texts[0])) > 60
+
+
+def edited(count, seed=9):
+    draw = random.Random(seed)
+    base = [f"w{k}" for k in draw.choices(range(3000), k=150)]
+    texts = [None, "", "one two", "One  two"]
+    for k in range(count):
+        words = list(base)
+        for _ in range(k % 6):
+            words[draw.randrange(len(words))] = f"edit{draw.randrange(3000)}"
+        texts.append(" ".join(words))
+    return list(enumerate(texts))
+
+
+def test_near_copies_are_sought_by_fingerprints_first(spark, monkeypatch):
+    rows, asked = edited(40), []
+    plain = simhash.close_pairs
+    monkeypatch.setattr(simhash, "close_pairs", lambda prints, *rest: asked.append(prints.count()) or plain(prints, *rest))
+    monkeypatch.setattr(simhash, "fingerprint_of", lambda text: 7)  # candidates that are no near copies are told by the exact check
+    got = drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(brute_jaccard(rows).values())) and asked == [1]
+
+
+def test_first_candidates_are_stars_and_close_fingerprints(spark):
+    nodes = spark.createDataFrame([(5, 0), (3, 0), (9, 0), (4, 3), (8, 3), (6, 7), (7, -1), (2, -2)], "node long, fingerprint long")
+    got = sorted((min(r), max(r)) for r in simhash.like_first(nodes).collect())
+    assert got == [(2, 7), (3, 4), (3, 5), (3, 9), (4, 6), (4, 8)]
