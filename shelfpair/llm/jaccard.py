@@ -9,7 +9,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfpair.llm.common import slices
@@ -134,6 +134,53 @@ def _known_heads(shared: DataFrame) -> DataFrame:
     return stored(counted.select("node").join(tokens, "node", "left"))
 
 
+#: Nodes that the shingles of a crowd may choose to be compared with in the second turn.
+HUBS = 16
+#: Shingles before each one of a head that travel with it in the last turn.
+BEFORE = 4
+
+
+def _with_earlier(rest: DataFrame) -> DataFrame:
+    """Adds ``earlier``: the up to BEFORE shingles that stand before this one among the rows of its node, by ``place``.
+
+    Two nodes that meet at a shingle and have one of these in common have met there before, so a pair that shares many
+    shingles leaves the join about once a run of them. The first shingle that two nodes share has none in common before it,
+    and it leaves most behind it, so no pair is lost.
+    """
+    before = Window.partitionBy("node").orderBy("place").rowsBetween(-BEFORE, -1)  # the head of one text
+    return rest.withColumn("earlier", F.collect_list("h").over(before))
+
+
+def _joined(component: DataFrame | None, found: DataFrame) -> DataFrame:
+    """(node, component) after the links ``found`` (a, b), from (node, component) before them, stored.
+
+    Links are between components by then, once each, so what was linked before is not passed through again.
+    """
+    if component is None:
+        return components(found)
+    for end in ("a", "b"):
+        known = component.select(F.col("node").alias(end), F.col("component").alias(f"{end}_component"))
+        found = found.join(known, end, "left").withColumn(end, F.coalesce(f"{end}_component", end)).drop(f"{end}_component")
+    links = found.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    merged = components(stored(links))
+    whole = merged.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    before = component.join(whole, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    return stored(before.unionByName(merged.join(component, "node", "left_anti")))
+
+
+#: One in so many pairs of the last turn is settled before the others.
+SOONER = 4
+
+
+def _apart(pairs: DataFrame, component: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are not in one component yet."""
+    columns = pairs.columns
+    for end in ("a", "b"):
+        known = component.select(F.col("node").alias(end), F.col("component").alias(f"{end}_component"))
+        pairs = pairs.join(known, end, "left")
+    return pairs.where(F.coalesce("a_component", "a") != F.coalesce("b_component", "b")).select(*columns)
+
+
 def _possible(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
     """The pairs (node, hub) whose sketches leave room for the similarity, with the size of node."""
     for end in ("node", "hub"):
@@ -196,7 +243,8 @@ def jaccard_rows(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILA
 
     Shingles are ordered by their hash, frequent ones last (``_frequent``); two similar sets share a shingle among the first
     ones (``head_length``), and the first they share leaves enough behind it in both. Documents that share one are compared
-    with one of them first, twice; then all pairs that are still in different components are, unless their whole heads
+    with one of them first, twice, the second time with up to HUBS in a crowd, so that most of one whose texts are alike,
+    but seldom enough, fall together there; then all pairs that are still in different components are, unless their whole heads
     tell that they share too little. So a crowd of near copies costs about a pair a document. A pair is looked at once: sizes, places, then sketches, then whole sets. ``crowd`` changes
     the work, not the result.
 
@@ -218,18 +266,24 @@ def jaccard_rows(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILA
     shared = stored(entries.join(crowded, "h"))
     sketches, texts = own.select("node", "size", "sketch"), _marked(docs)
 
-    links = component = tried = None
+    component = tried = None
+
+    def compare(met: DataFrame, sooner: bool = False) -> None:
+        """Settles the pairs (node, hub) that were not tried before, once a pair, whichever end is the hub.
 
-    def compare(met: DataFrame) -> None:
-        """Settles the pairs (node, hub) that were not tried before, once a pair, whichever end is the hub."""
-        nonlocal links, component, tried
+        ``sooner``: one in SOONER of them first, then those of the others that this has not brought into one component.
+        """
+        nonlocal component, tried
         met = met.groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).agg(F.min("hub").alias("hub"))
         met = stored(met if tried is None else met.join(tried, ["a", "b"], "left_anti"))
         tried = met.select("a", "b") if tried is None else tried.unionByName(met.select("a", "b"))
-        pairs = met.select(F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node"), "hub")
-        found = _similar(stored(_possible(pairs, sketches, similarity)), texts, rows.select(F.col("row").alias("node"), "doc_id", "mark"), width, similarity)
-        links = stored(found if links is None else links.unionByName(found))
-        component = components(links)
+        chance = F.pmod(F.xxhash64("a", "b"), F.lit(SOONER))
+        for some in (met.where(chance == 0), met.where(chance > 0)) if sooner else (met,):
+            if sooner and component is not None:
+                some = _apart(some, component)
+            pairs = some.select(F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node"), "hub")
+            found = _similar(stored(_possible(pairs, sketches, similarity)), texts, rows.select(F.col("row").alias("node"), "doc_id", "mark"), width, similarity)
+            component = _joined(component, stored(found))
 
     if close:
         compare(close(own.select("node", "fingerprint")))
@@ -240,10 +294,11 @@ def jaccard_rows(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILA
         mixed = named.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("h")
         rest = stored(named.join(mixed, "h", "left_semi").select("h", "node", "size", "place", "part"))
         if turn is None:
-            rest = rest.join(_known_heads(shared), "node").join(own.select("node", "counters"), "node")
+            rest = _with_earlier(rest.join(_known_heads(shared), "node").join(own.select("node", "counters"), "node"))
         other = rest.select("h", *[F.col(c).alias("hub" if c == "node" else f"hub_{c}") for c in rest.columns if c != "h"])
         if turn is not None:
-            lowest = F.min(F.struct(F.xxhash64("hub", F.lit(turn)).alias("order"), "hub", "hub_size", "hub_place", "hub_part")).alias("first")
+            chance = F.pmod("h", F.lit(HUBS)) if turn else F.lit(0)
+            lowest = F.min(F.struct(F.xxhash64("hub", chance, F.lit(turn)).alias("order"), "hub", "hub_size", "hub_place", "hub_part")).alias("first")
             other = other.groupBy("h").agg(lowest).select("h", "first.*")
         needed = similarity / (1 + similarity) * (F.col("size") + F.col("hub_size")) - 1e-9
         left = F.least(F.col("size") - F.col("place"), F.col("hub_size") - F.col("hub_place"))
@@ -259,9 +314,10 @@ def jaccard_rows(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILA
             shared_enough = some & (F.size(both) + behind >= needed) & (F.get(both, F.lit(0)) == _short(F.col("h")))
             most = F.aggregate(F.zip_with("counters", "hub_counters", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
             shared_enough &= F.coalesce(most >= needed, F.lit(True))  # null for large sets
+            enough &= ~F.arrays_overlap("earlier", "hub_earlier")
             enough = F.when(F.col("tokens").isNull() | F.col("hub_tokens").isNull(), enough).otherwise(shared_enough)
             apart &= F.col("node") < F.col("hub")
-        compare(rest.join(other, "h").where(apart & enough).select("node", "hub"))
+        compare(rest.join(other, "h").where(apart & enough).select("node", "hub"), turn is None)
     grouped = names.join(component, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     return stored(rows.select("doc_id", "mark", "digest").join(grouped, "digest"))
 

@@ -122,3 +122,18 @@ def test_first_candidates_are_stars_and_close_fingerprints(spark):
     nodes = spark.createDataFrame([(5, 0), (3, 0), (9, 0), (4, 3), (8, 3), (6, 7), (7, -1), (2, -2)], "node long, fingerprint long")
     got = sorted((min(r), max(r)) for r in simhash.like_first(nodes).collect())
     assert got == [(2, 7), (3, 4), (3, 5), (3, 9), (4, 6), (4, 8)]
+
+
+def test_links_already_joined_are_not_passed_through_again(spark, monkeypatch):
+    passed, components = [], jaccard.components
+    monkeypatch.setattr(jaccard, "components", lambda links: passed.append(links.count()) or components(links))
+    docs = spark.createDataFrame([(k, f"{edited(1)[0]} {k}") for k in range(30)], "doc_id long, text string")
+    assert drop_near_copies(docs).count() == 1
+    assert sum(passed) < 2 * 30  # a link a text; the turns after found nothing and passed none of them again
+
+
+def test_long_heads_meet_once_a_run(spark):
+    shared = [(h, node, place) for node in (1, 2) for place, h in enumerate(range(100, 180))]
+    rest = jaccard._with_earlier(spark.createDataFrame(shared, "h long, node long, place int"))
+    pairs = rest.alias("x").join(rest.alias("y"), "h").where("x.node < y.node and not arrays_overlap(x.earlier, y.earlier)")
+    assert [r.h for r in pairs.select("h").collect()] == [100]
