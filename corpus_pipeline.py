@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfpair.llm.common import table
+from shelfpair.llm.common import small_batches, table
 from shelfpair.llm.language import keep_known
 from shelfpair.llm.packing import bucketed, pack
 from shelfpair.llm.pii import without_private_data
@@ -21,6 +21,7 @@ from shelfpair.session import stored
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a score of at least 0.4; texts without a letter go."""
+    small_batches(spark)
     return keep_known(docs)
 
 
@@ -31,11 +32,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
+    small_batches(spark)
     return drop_near_copies(docs)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for personal data and secrets."""
+    small_batches(spark)
     return without_private_data(docs)
 
 
@@ -44,6 +47,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Worker processes serve all stages, so this one remembers fewer chunks than it would alone.
     """
+    small_batches(spark)
     return bucketed(pack(docs, remembered=100_000, given=("ids", "ids_crc32")))
 
 

@@ -46,6 +46,21 @@ def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFram
     return renamed, lambda later: later.select(*[F.col(f"`{new.get(name, name)}`").alias(name) for name in before])
 
 
+#: Rows of a batch that goes to a worker process, at most.
+BATCH = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on rows go to the worker processes of this session in batches of at most BATCH rows.
+
+    An executor holds a batch twice outside its heap (the vectors and what is sent), with room to grow, and the worker holds it
+    once; that is for each of its tasks. A smaller number that the session has already stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH:  # none above 0: without bound
+        spark.conf.set(key, str(BATCH))
+
+
 #: Rows that a worker turns into Python objects at a time.
 SLICE = 256
 
@@ -55,6 +70,7 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        pa.default_memory_pool().release_unused()  # a worker outlives its task, so it would keep what its largest batch took
 
 
 def plus(df: DataFrame, **added: DataType) -> StructType:

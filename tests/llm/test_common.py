@@ -2,7 +2,8 @@
 
 import pyarrow as pa
 
-from shelfpair.llm.common import SLICE, Recent, fresh, set_aside, slices, smallest_by_hash, without
+import corpus_pipeline
+from shelfpair.llm.common import BATCH, SLICE, Recent, fresh, set_aside, slices, small_batches, smallest_by_hash, without
 from shelfpair.llm.language import Network
 
 
@@ -42,3 +43,25 @@ def test_workers_turn_few_rows_into_objects_at_a_time():
     network = Network(["de", "en"])
     assert network.predict(t for t in texts) == network.predict(texts)  # one by one, in the same matrix products
     assert network.predict(texts)[0][:3] == ["und"] * 3
+
+
+def test_rows_of_the_pipeline_travel_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def counted(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    try:
+        docs = spark.range(0, 3 * BATCH, 1, 1).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+        for more in ("10000", "0"):
+            spark.conf.set(key, more)
+            kept = corpus_pipeline.private_data(spark, docs, "")
+            sizes = [r.n for r in kept.mapInArrow(counted, "n long").collect()]
+            assert sum(sizes) == 3 * BATCH and max(sizes) <= BATCH
+        spark.conf.set(key, "70")
+        small_batches(spark)
+        assert spark.conf.get(key) == "70"
+    finally:
+        spark.conf.set(key, before)
