@@ -243,6 +243,23 @@ def test_products_without_vector_are_scored_by_rules(spark):
     assert {(r.source_product_id, r.target_product_id, r.method) for r in found} == {(0, 1, "semantic"), (1, 2, "rule_based")}
 
 
+def test_pairs_without_two_vectors_are_listed_from_links(spark, monkeypatch):
+    """Twenty copies, vectors for the products of one: only their pairs go to the cells, one by one."""
+    frame = copied(spark, 60, 20)
+    vectors = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(60)], "id long, embedding array<float>")
+    sent, score = [], matching.scored_pairs
+    monkeypatch.setattr(matching, "scored_pairs", lambda rows, listed, *rest: sent.append({(r.id_1, r.id_2) for r in listed.collect()}) or score(rows, listed, *rest))
+    matches = matching.vector_matches(frame, vectors)
+    assert sent[0] and all(a < 60 and b < 60 for a, b in sent[0])
+    above, _, below = plan_of(matches.filter("method = 'rule_based'")).rpartition("Generate explode(ids_2")
+    assert below
+    found = matches.collect()
+    by_rules = [tuple(r) for r in found if r.method == "rule_based"]
+    want = [tuple(r) for r in matching.rule_matches(frame).collect() if r.source_product_id >= 60 or r.target_product_id >= 60]
+    assert sorted(by_rules, key=str) == sorted(want, key=str) and len(want) > 1000
+    assert all(r.source_product_id < 60 and r.target_product_id < 60 for r in found if r.method == "semantic")
+
+
 def test_skipped_batches_and_dry_run(spark):
     p = products(spark)
     empty = spark.createDataFrame([], PAIRS)
