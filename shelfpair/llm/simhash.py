@@ -74,6 +74,8 @@ def close_pairs(prints: DataFrame, distance: int = 2, blocks: int = 8) -> DataFr
     ``distance`` blocks open (16 bits by default), so even a crowd of near copies falls apart into groups of at most 2**16
     distinct values, whatever the size of the table; copies were merged before.
     A pair agrees under several keys if its differing bits lie in fewer blocks; only the first such key reports it.
+
+    Both sides are shuffled: Spark sizes them before the ``explode`` and would send a row a key and fingerprint to the driver.
     """
     own, keys = _masks(blocks, distance)
     choices = list(combinations(range(blocks), distance))
@@ -81,7 +83,7 @@ def close_pairs(prints: DataFrame, distance: int = 2, blocks: int = 8) -> DataFr
         "fingerprint",
         F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(_signed(mask)) for mask in keys])).alias("choice", "key"),
     )
-    left = keyed.withColumnRenamed("fingerprint", "a")
+    left = keyed.withColumnRenamed("fingerprint", "a").hint("merge")
     right = keyed.withColumnRenamed("fingerprint", "b")
     mixed = F.col("a").bitwiseXOR(F.col("b"))
     # the first choice that contains every block with a differing bit

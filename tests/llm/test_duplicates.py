@@ -9,6 +9,7 @@ import xxhash
 from shelfpair.llm import queries
 from shelfpair.llm.simhash import close_pairs, drop_near_copies, fingerprint_of, simhash_groups
 from shelfpair.llm.vectors import linked_pairs, near_vectors
+from shelfpair.session import stored
 from tests.conftest import SMALL
 from tests.oracle import compare
 
@@ -142,3 +143,10 @@ def test_near_vectors_empty_and_without_id(spark):
 def test_query_against_its_twin(spark, duck, name):
     ok, note = compare(spark, duck, name, queries.QUERIES[name], queries.ORACLES[name], SMALL)
     assert ok, note
+
+
+def test_exploded_keys_are_not_sent_to_all_tasks(spark):
+    """Spark sizes a table before an explode, so a table under its threshold could become a row a key on the driver."""
+    prints = stored(spark.createDataFrame([(v * v,) for v in range(50)], "fingerprint long"))
+    plan = close_pairs(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
