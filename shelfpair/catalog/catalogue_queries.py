@@ -12,7 +12,7 @@ from shelfpair import schemas
 from shelfpair.catalog import twins as S
 from shelfpair.catalog.registry import Tables, query
 from shelfpair.operators import blocking, merging, parsing
-from shelfpair.operators.candidates import add_features, candidate_pairs, fill_missing
+from shelfpair.operators.candidates import add_features, candidate_pairs, fill_missing, rounded
 from shelfpair.operators.ranking import top_per_group
 from shelfpair.operators.vectors import cross_shop_neighbours, pairs_above, top_neighbours
 from shelfpair.plans import evaluation, matching, reports, siblings
@@ -324,7 +324,8 @@ def _(t):
 def _(t):
     pairs = candidate_pairs(add_features(fill_missing(t.products)))
     measures = ["brand_sim", "term_sim", "size_sim", "rule_score"]
-    return pairs.select("id_1", "id_2", *[F.round(m, 9).alias(m) for m in measures])
+    pairs = candidate_pairs(add_features(fill_missing(t.products)), columns=[], each=rounded(measures))
+    return pairs.select("id_1", "id_2", *measures)
 
 
 UNMATCHED = f"SELECT p.id FROM products p WHERE {S.ACTIVE} AND NOT EXISTS (SELECT 1 FROM {{pairs}} e WHERE e.source_product_id = p.id OR e.target_product_id = p.id)"

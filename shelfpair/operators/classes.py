@@ -26,7 +26,7 @@ def class_members(features: DataFrame) -> DataFrame:
     class is told to its members by a join on a digest of the key, so a class may have any number of members.
     """
     sorted_terms = features.filter("shop_type IS NOT NULL").withColumn("terms", F.array_sort("terms")).withColumn("amount", F.col("amount") + F.lit(0.0))
-    keyed = sorted_terms.withColumn("class_key", F.md5(F.to_json(F.struct(*CLASS_KEY))))
+    keyed = stored(sorted_terms.withColumn("class_key", F.md5(F.to_json(F.struct(*CLASS_KEY)))))  # read twice, made once
     lowest = keyed.groupBy("class_key").agg(F.min("id").alias("class_id"))
     return stored(keyed.join(lowest, "class_key").drop("class_key"))
 

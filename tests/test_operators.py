@@ -542,3 +542,8 @@ def test_classes_are_asked_about_once(spark):
     each = matching.staged_matches(copies, none, yes).filter("stage = 3")
     key = lambda df: sorted((r.source_product_id, r.target_product_id, r.confidence) for r in df.collect())
     assert key(by_class) == key(each)
+
+
+def test_small_files_are_dealt_out_before_features(spark, tmp_path):
+    products(spark, 20).coalesce(1).write.parquet(str(tmp_path / "p"))
+    assert add_features(spark.read.parquet(str(tmp_path / "p"))).rdd.getNumPartitions() == 8
