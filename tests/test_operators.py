@@ -547,3 +547,15 @@ def test_classes_are_asked_about_once(spark):
 def test_small_files_are_dealt_out_before_features(spark, tmp_path):
     products(spark, 20).coalesce(1).write.parquet(str(tmp_path / "p"))
     assert add_features(spark.read.parquet(str(tmp_path / "p"))).rdd.getNumPartitions() == 8
+
+
+@pytest.mark.parametrize("name", ["j01_candidate_pairs", "x06_x10_measures", "x45_title_class", "j14_strict_candidates"])
+def test_measures_are_rounded_once_a_link(spark, name):
+    """Before pairs are made: the listing itself (the top of the plan) holds no more than ids and ready columns."""
+    from shelfpair.catalog import catalogue_queries, text_queries  # noqa: F401
+    from shelfpair.catalog.registry import QUERIES
+    from tests.conftest import SMALL
+
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    listing = plan[: plan.index("Generate")]
+    assert "round(" not in listing and "CASE" not in listing and "array_sort" not in listing
