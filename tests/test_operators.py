@@ -571,3 +571,28 @@ def test_links_are_made_once_for_chosen_matches(spark, monkeypatch):
 
     found = matching.rule_matches(products(spark, 80, seed=2), chosen=choose)
     assert found.count() and "Join" not in plans[0]
+
+
+def test_ordered_matches_are_the_sorted_listing_without_a_shuffle_of_pairs(spark, monkeypatch):
+    """Ids that are missing or come twice are listed as without the order; parts of a range of ids are used."""
+    from shelfpair.operators import classes
+
+    rows = products(spark, 120, seed=3).unionByName(products(spark, 30, seed=5))
+    rows = rows.unionByName(rows.limit(4).withColumn("id", F.lit(None).cast("long")))
+    monkeypatch.setattr(classes, "SORTED", 40)
+    ordered = matching.rule_matches(rows, ordered=True)
+    got, listed = ordered.collect(), matching.rule_matches(rows).collect()
+    assert got and sorted(map(str, got)) == sorted(map(str, listed))
+    place = lambda r: (-r.similarity_score, r.source_product_id is not None, r.source_product_id or 0, r.target_product_id is not None, r.target_product_id or 0)
+    assert [place(r) for r in got] == sorted(map(place, got))
+    assert ordered.rdd.getNumPartitions() > 8  # more than one part a score
+    plan = files.export_rows(ordered, ordered=True)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and plan.index("Generate") < plan.index("Exchange")
+
+
+def test_parts_of_an_order_hold_a_bounded_number_of_pairs():
+    from shelfpair.operators import classes
+
+    pieces = classes._pieces([(0.9, 3), (0.8, 2), (0.7, 4 * classes.SORTED), (None, 1)], list(range(1001)), 1)
+    assert [p[1] for p in pieces] == [0, 0, 1, 2, 3, 4, 5] and [p[4] for p in pieces] == [False, False, True, True, True, True, False]
+    assert pieces[2][2] is None and pieces[5][3] is None and all(a[3] == b[2] for a, b in zip(pieces[2:5], pieces[3:6]))
